@@ -12,6 +12,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "tx": ((), """SELECT event_id AS tx_id, ts, user_id,
         CAST(epoch_us(ts) - min(epoch_us(ts)) OVER () AS DOUBLE) / 1000000.0 AS "Time",
         value AS "Amount", CAST(event_type = 'error' AS INTEGER) AS "Class" FROM events"""),
+    "txe": (("tx",), """SELECT tx.*, e.event_type FROM tx JOIN events e ON tx.tx_id = e.event_id"""),
     "num": ((), """SELECT l_quantity, l_extendedprice, l_discount, l_tax,
         CAST(l_returnflag = 'R' AS INTEGER) AS "Class" FROM lineitem"""),
     "scored": (("num",), """SELECT *, round(l_extendedprice, -2) / 200000.0 AS p FROM num"""),
@@ -28,6 +29,18 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "uris": ((), """SELECT page_id, url FROM pages"""),
     "ref": (("tx",), """SELECT * FROM tx WHERE ts < TIMESTAMP '2024-01-16 00:00:00'"""),
     "cur": (("tx",), """SELECT * FROM tx WHERE ts >= TIMESTAMP '2024-01-16 00:00:00'"""),
+    "refe": (("txe",), """SELECT * FROM txe WHERE ts < TIMESTAMP '2024-01-16 00:00:00'"""),
+    "cure": (("txe",), """SELECT * FROM txe WHERE ts >= TIMESTAMP '2024-01-16 00:00:00'"""),
+    "fspl": (("feat",), """SELECT * EXCLUDE (rk, n), CASE WHEN rk <= n - ceil(CAST(0.3 AS DOUBLE) * n) THEN 'train'
+        WHEN rk <= n - ceil(CAST(0.3 AS DOUBLE) * n) + floor(ceil(CAST(0.3 AS DOUBLE) * n) * CAST(0.5 AS DOUBLE)) THEN 'val'
+        ELSE 'test' END AS split
+        FROM (SELECT *, row_number() OVER (PARTITION BY "Class"
+                          ORDER BY md5(concat_ws('|', '42', CAST(tx_id AS VARCHAR))), tx_id) AS rk,
+                     count(*) OVER (PARTITION BY "Class") AS n FROM feat) r"""),
+    "fref": (("fspl",), """SELECT * FROM fspl WHERE split = 'train'"""),
+    "fcur": (("fspl",), """SELECT * FROM fspl WHERE split = 'test'"""),
+    "pref": (("pred",), """SELECT * FROM pred WHERE "timestamp" < TIMESTAMP '2024-01-16 00:00:00'"""),
+    "pcur": (("pred",), """SELECT * FROM pred WHERE "timestamp" >= TIMESTAMP '2024-01-16 00:00:00'"""),
 }
 
 

@@ -41,6 +41,12 @@ def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tx_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`tx` plus the categorical event_type (for the categorical drift test)."""
+    ev = fixture_table(spark, sf_dir, "events").select(F.col("event_id").alias("tx_id"), "event_type")
+    return tx(spark, sf_dir).join(ev, "tx_id")
+
+
 def num(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four numeric lineitem columns and Class = returned."""
     li = fixture_table(spark, sf_dir, "lineitem")
@@ -104,6 +110,14 @@ def uris(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture_table(spark, sf_dir, "pages").select("page_id", "url")
 
 
+def feat_ref_cur(spark: SparkSession, sf_dir: str, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Reference = train split, current = test split of `feat` (the monitor compares training data with new rows)."""
+    from ..operators.features import stratified_split
+
+    s = stratified_split(feat(spark, sf_dir), "Class", "tx_id", seed)
+    return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
+
+
 def ref_cur(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Reference (before the split time) and current (at or after) samples of `tx`."""
     t = source if source is not None else tx(spark, sf_dir)
