@@ -22,7 +22,7 @@ DEFAULT_BUCKETS = 64
 
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], by: Sequence[str] = (),
                 descending: bool = False, n_buckets: int = DEFAULT_BUCKETS,
-                accuracy: int = 10000, with_next: bool = False) -> DataFrame:
+                accuracy: int = 1000, with_next: bool = False) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in the order of ``order_col`` within ``by``.
 
     ``df`` must hold one row per (by, order_col) value, i.e. be pre-aggregated,

@@ -47,10 +47,12 @@ def trailing_rows(df: DataFrame, key: str, order_value: Column, n: int, aggs: di
         raise ValueError("chunk_rows must be at least n")
     r = exact_rank(df, key, order_value, n_buckets)
     pos = F.col("_rank") - 1
-    own = r.withColumn("_chunk", F.floor(pos / chunk_rows)).withColumn("_halo", F.lit(False))
-    halo = (r.where((pos % chunk_rows) >= chunk_rows - (n - 1))
-            .withColumn("_chunk", F.floor(pos / chunk_rows) + 1).withColumn("_halo", F.lit(True)))
-    both = own.unionByName(halo)
+    chunk = F.floor(pos / chunk_rows)
+    own = F.struct(chunk.alias("_chunk"), F.lit(False).alias("_halo"))
+    halo = F.struct((chunk + 1).alias("_chunk"), F.lit(True).alias("_halo"))
+    # rows in the last n-1 places of a chunk also go to the next chunk, as its halo
+    copies = F.when((pos % chunk_rows) >= chunk_rows - (n - 1), F.array(own, halo)).otherwise(F.array(own))
+    both = r.select("*", F.explode(copies).alias("_ch")).select("*", "_ch._chunk", "_ch._halo").drop("_ch")
     w = Window.partitionBy(key, "_chunk").orderBy("_rank").rowsBetween(-(n - 1), 0)
     out = both.select("*", *[a.over(w).alias(name) for name, a in aggs.items()])
     return out.where(~F.col("_halo")).drop("_chunk", "_halo", "_rank")
