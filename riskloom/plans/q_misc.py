@@ -157,11 +157,13 @@ def w2_trailing_metrics(spark, sf):
               ["trailing_fraud_rate", "trailing_avg_probability"], 4)
 
 
-RULES = [
-    ("l_quantity must be > 0", F.col("l_quantity") > 0),
-    ("l_discount must be in [0, 0.1)", (F.col("l_discount") >= 0) & (F.col("l_discount") < 0.1)),
-    ("l_tax must be <= 0.08", F.col("l_tax") <= 0.08),
-]
+def rules():
+    """Validation rules of the lineitem check (built per call: Columns need an active session)."""
+    return [
+        ("l_quantity must be > 0", F.col("l_quantity") > 0),
+        ("l_discount must be in [0, 0.1)", (F.col("l_discount") >= 0) & (F.col("l_discount") < 0.1)),
+        ("l_tax must be <= 0.08", F.col("l_tax") <= 0.08),
+    ]
 
 
 @query("p6_validation_counts", """
@@ -176,7 +178,7 @@ SELECT CAST(n_rows AS BIGINT) AS n_rows, CAST(n_rejected AS BIGINT) AS n_rejecte
 UNION ALL SELECT n_rows, n_rejected, 'l_discount must be in [0, 0.1)', r1 FROM c
 UNION ALL SELECT n_rows, n_rejected, 'l_tax must be <= 0.08', r2 FROM c""")
 def p6_validation_counts(spark, sf):
-    return va.error_counts(fixture_table(spark, sf, "lineitem"), RULES)
+    return va.error_counts(fixture_table(spark, sf, "lineitem"), rules())
 
 
 @query("p6_rejected_rows", """
@@ -188,7 +190,7 @@ FROM lineitem WHERE NOT (coalesce(l_quantity > 0, false) AND coalesce(l_discount
                          AND coalesce(l_tax <= 0.08, false))""")
 def p6_rejected_rows(spark, sf):
     li = fixture_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
-    _, rejected = va.split_valid(li, RULES)
+    _, rejected = va.split_valid(li, rules())
     return rejected
 
 
