@@ -21,6 +21,16 @@ def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(small)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a frame that several branches read: a reliable checkpoint into the folder the
+    cluster names in ``spark.checkpoint.dir`` (set only when unset, for local runs). The frame is
+    computed once; a lost executor re-reads the checkpoint instead of recomputing the upstream."""
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def one_row_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a frame that is one row by construction (a global aggregate)."""
     return F.broadcast(df)

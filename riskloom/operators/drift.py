@@ -68,8 +68,13 @@ def numeric_tests(long: DataFrame, threshold: float = 0.05, ref_tag: str = "ref"
     per = e.groupBy("column_name").agg(
         F.max(gap).alias("ks_stat"), F.sum(gap * F.col("dx")).alias("wasserstein"),
         F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"))
-    std_ref = (long.where((F.col("sample") == ref_tag) & F.col("value").isNotNull())
-               .groupBy("column_name").agg(F.stddev_pop("value").alias("std_ref")))
+    # population std of the reference, two passes over the per-value counts (not the raw rows)
+    mean_ref = e.groupBy("column_name").agg(
+        (F.sum(F.col("c_ref") * F.col("value")) / F.sum("c_ref")).alias("_mean"))
+    std_ref = (e.join(F.broadcast(mean_ref), "column_name")
+               .groupBy("column_name")
+               .agg(F.sqrt(F.sum(F.col("c_ref") * F.pow(F.col("value") - F.col("_mean"), 2)) / F.sum("c_ref"))
+                    .alias("std_ref")))
     n, m = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
     lam = F.col("ks_stat") * F.sqrt(n * m / (n + m))
     out = (per.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))

@@ -15,14 +15,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_of, checked_broadcast
+from .common import bucket_of, checked_broadcast, materialize
 
 DEFAULT_BUCKETS = 64
 
 
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], by: Sequence[str] = (),
                 descending: bool = False, n_buckets: int = DEFAULT_BUCKETS,
-                accuracy: int = 1000, with_next: bool = False) -> DataFrame:
+                accuracy: int = 1000, with_next: bool = False, materialized: bool = False) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in the order of ``order_col`` within ``by``.
 
     ``df`` must hold one row per (by, order_col) value, i.e. be pre-aggregated,
@@ -30,10 +30,16 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], by: Sequ
     cut-point and offset tables hold ``groups x n_buckets`` rows and are
     broadcast. Adds ``cum_<c>`` for every sum column and, with ``with_next``,
     ``next_<order_col>``: the following value in the order (null at the end).
+
+    The input is read by three branches (cut points, bucket totals, running
+    sums); unless the caller passes ``materialized=True`` it is checkpointed
+    once so the upstream is not recomputed per branch.
     """
     by = list(by)
     sign = -1.0 if descending else 1.0
     d = df.where(F.col(order_col).isNotNull()).withColumn("_k", F.col(order_col) * F.lit(sign))
+    if not materialized:
+        d = materialize(d)
 
     probs = [i / n_buckets for i in range(1, n_buckets)]
     if by:
@@ -103,13 +109,12 @@ def ecdf_diff(long_df: DataFrame, sample_col: str = "sample", group_col: str = "
     """
     is_ref = F.col(sample_col) == ref_tag
     is_cur = F.col(sample_col) == cur_tag
-    counts = (long_df.where(F.col(value_col).isNotNull())
-              .groupBy(group_col, value_col)
-              .agg(F.count_if(is_ref).alias("c_ref"), F.count_if(is_cur).alias("c_cur")))
+    counts = materialize(long_df.where(F.col(value_col).isNotNull())
+                         .groupBy(group_col, value_col)
+                         .agg(F.count_if(is_ref).alias("c_ref"), F.count_if(is_cur).alias("c_cur")))
     ps = prefix_sums(counts, value_col, ["c_ref", "c_cur"], by=[group_col], n_buckets=n_buckets,
-                     with_next=True)
-    totals = long_df.where(F.col(value_col).isNotNull()).groupBy(group_col).agg(
-        F.count_if(is_ref).alias("n_ref"), F.count_if(is_cur).alias("n_cur"))
+                     with_next=True, materialized=True)
+    totals = counts.groupBy(group_col).agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
     return (ps.join(F.broadcast(totals), group_col)
             .select(group_col, value_col, "c_ref", "c_cur", "n_ref", "n_cur",
                     F.try_divide(F.col("cum_c_ref"), F.col("n_ref")).alias("F_ref"),
