@@ -42,13 +42,16 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], by: Sequ
         d = materialize(d)
 
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    if by:
-        cuts = d.groupBy(*by).agg(F.percentile_approx("_k", probs, accuracy).alias("_cuts"))
-        d = d.join(F.broadcast(cuts), by, "inner")
+    if not probs:  # one bucket: no cut points
+        d = d.withColumn("_bucket", F.lit(0))
     else:
-        cuts = d.agg(F.percentile_approx("_k", probs, accuracy).alias("_cuts"))
-        d = d.crossJoin(F.broadcast(cuts))
-    d = d.withColumn("_bucket", bucket_of(F.col("_k"), F.col("_cuts"))).drop("_cuts")
+        pct = F.coalesce(F.percentile_approx("_k", probs, accuracy), F.array().cast("array<double>"))
+        if by:
+            cuts = d.groupBy(*by).agg(pct.alias("_cuts"))
+            d = d.join(F.broadcast(cuts), by, "inner")
+        else:
+            d = d.crossJoin(F.broadcast(d.agg(pct.alias("_cuts"))))
+        d = d.withColumn("_bucket", bucket_of(F.col("_k"), F.col("_cuts"))).drop("_cuts")
 
     totals = d.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols],
                                            F.min("_k").alias("_bmin"))
