@@ -76,7 +76,9 @@ def test_run_monitor_end_to_end_and_failure_row(spark, tmp_dir):
     out = monitor.run_monitor(spark, ref, log, ["Amount"], 500, os.path.join(tmp_dir, "r"), os.path.join(tmp_dir, "t"))
     row = out.collect()[0]
     assert row.error is None and row.number_of_columns == 1
-    bad = monitor.run_monitor(spark, ref, log.drop("timestamp"), ["Amount"], 500, os.path.join(tmp_dir, "r2"),
+    blocker = os.path.join(tmp_dir, "blocker")
+    open(blocker, "w").close()  # a file where the report folder should go: the write fails
+    bad = monitor.run_monitor(spark, ref, log, ["Amount"], 500, os.path.join(blocker, "reports"),
                               os.path.join(tmp_dir, "t2")).collect()[0]
     assert bad.triggered is False and bad.error
 
