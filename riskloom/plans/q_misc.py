@@ -246,7 +246,11 @@ def w7_daily_trend(spark, sf):
     return _r(out, ["fraud_rate", "change"])
 
 
-@query("t4_sliding_rollup")
+@query("t4_sliding_rollup", """
+WITH w AS (SELECT time_bucket(INTERVAL 6 HOUR, "timestamp") - k * INTERVAL 6 HOUR AS window_start, fraud_probability
+           FROM pred, range(0, 4) t(k))
+SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, CAST(count(*) AS BIGINT) AS count,
+       round(avg(fraud_probability), 6) AS avg_probability FROM w GROUP BY window_start""", ("pred",))
 def t4_sliding_rollup(spark, sf):
     """Batch twin of the sliding form: 1-day windows every 6 hours."""
     p = fx.pred(spark, sf)
@@ -255,6 +259,23 @@ def t4_sliding_rollup(spark, sf):
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "count", "avg_probability")
 
 
+@query("t4_session_rollup", """
+WITH e AS (SELECT user_id, ts, value / (value + 50.0) AS p,
+                  CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 30 MINUTE
+                       THEN 0 ELSE 1 END AS brk, event_id FROM events),
+s AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM e)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, CAST(count(*) AS BIGINT) AS count,
+       round(avg(p), 6) AS avg_probability FROM s GROUP BY user_id, sid""")
+def t4_session_rollup(spark, sf):
+    """Batch twin of the session form: per user, activity sessions closed by 30 minutes of silence."""
+    ev = fixture_table(spark, sf, "events")
+    g = (ev.withColumn("p", F.col("value") / (F.col("value") + F.lit(50.0)))
+         .groupBy("user_id", F.session_window("ts", "30 minutes").alias("s"))
+         .agg(F.count(F.lit(1)).alias("count"), F.round(F.avg("p"), 6).alias("avg_probability")))
+    return g.select("user_id", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
+                    "count", "avg_probability")
+
+
 @query("p5_u1_u3_column_sets")
 def p5_u1_u3_column_sets(spark, sf):
     """Expected request columns against the reference sample (feat) and a current sample (tx):
