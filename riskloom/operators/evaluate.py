@@ -164,3 +164,22 @@ def evaluate(df: DataFrame, label: str = "Class", score: str = "p", threshold: f
             .withColumn("improvement_over_random", F.try_divide(F.col("average_precision"), F.col("prevalence")))
             .withColumn("model_version", F.lit(model_version).cast("string"))
             .withColumn("path", F.lit(path).cast("string")))
+
+
+COMPARE_METRICS = ["roc_auc", "average_precision", "precision", "recall", "f1", "prevalence"]
+
+
+def compare_versions(run_metrics: DataFrame, versions: Sequence[str],
+                     metrics: Sequence[str] = tuple(COMPARE_METRICS)) -> DataFrame:
+    """Metric report for model versions side by side.
+
+    ``run_metrics`` holds one row per version (the output of ``evaluate``). The
+    result has one row per metric, one column per version and ``change`` from
+    the first to the last version. The pivot values are given, so Spark does
+    not run a distinct job to find them.
+    """
+    long = run_metrics.select("model_version", F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])).alias("s"))
+    wide = (long.select("model_version", "s.*").groupBy("metric")
+            .pivot("model_version", list(versions)).agg(F.first("value")))
+    return wide.withColumn("change", F.col(versions[-1]) - F.col(versions[0]))

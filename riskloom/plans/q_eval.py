@@ -125,3 +125,38 @@ def m8_evaluate(spark, sf):
     r = ev.evaluate(fx.scored(spark, sf), "Class", "p", THRESHOLD, model_version="scored-v1", path="fixture:scored")
     return _r6(r, ["prevalence", "roc_auc", "average_precision", "precision", "recall", "f1",
                    "improvement_over_random"])
+
+
+def _metrics_sql(score: str, pre: str) -> str:
+    """CTE chain ending in `{pre}m`: the metric row of the scored view for one score expression."""
+    return f"""{pre}s AS (SELECT "Class", {score} AS p FROM scored),
+{pre}sc AS (SELECT p, count_if("Class" = 1) AS pos, count_if("Class" <> 1) AS neg FROM {pre}s WHERE p IS NOT NULL GROUP BY p),
+{pre}cc AS (SELECT p, pos, neg,
+         sum(pos) OVER (ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+         sum(neg) OVER (ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp FROM {pre}sc),
+{pre}t AS (SELECT sum(pos) AS n_pos, sum(neg) AS n_neg FROM {pre}sc),
+{pre}c AS (SELECT avg(CAST("Class" AS DOUBLE)) AS prevalence, count_if("Class" <> 1 AND p >= 0.25) AS fp,
+                  count_if("Class" = 1 AND p < 0.25) AS fn, count_if("Class" = 1 AND p >= 0.25) AS tp FROM {pre}s),
+{pre}m AS (SELECT (SELECT sum(neg * (tp - pos / 2.0)) FROM {pre}cc) / (n_pos * n_neg) AS roc_auc,
+                  (SELECT sum(pos * tp / (tp + fp)) FROM {pre}cc) / n_pos AS average_precision,
+                  CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS precision,
+                  CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS recall,
+                  CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END AS f1, prevalence
+           FROM {pre}t, {pre}c)"""
+
+
+_M12 = " UNION ALL ".join(
+    f"SELECT '{m}' AS metric, round(a.{m}, 6) AS v1, round(b.{m}, 6) AS v2, round(b.{m} - a.{m}, 6) AS change "
+    f"FROM a_m a, b_m b" for m in ev.COMPARE_METRICS)
+
+
+@query("m12_version_comparison", f"""WITH {_metrics_sql('p', 'a_')},
+{_metrics_sql('l_discount * 5.0', 'b_')}
+{_M12}""", ("scored",))
+def m12_version_comparison(spark, sf):
+    """Two scores of the same rows as versions v1 (price score) and v2 (discount score), side by side."""
+    s = fx.scored(spark, sf)
+    v1 = ev.evaluate(s, "Class", "p", THRESHOLD, model_version="v1")
+    v2 = ev.evaluate(s.withColumn("p", F.col("l_discount") * 5.0), "Class", "p", THRESHOLD, model_version="v2")
+    cmp = ev.compare_versions(v1.unionByName(v2), ["v1", "v2"])
+    return _r6(cmp, ["v1", "v2", "change"])

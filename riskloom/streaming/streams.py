@@ -168,7 +168,11 @@ def drift_check_query(src: DataFrame, ref: DataFrame, numeric: Sequence[str], lo
 
 
 def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Rows the stateful operators dropped as late, summed over the query's recent progress."""
+    """Rows the stateful operators dropped as late, summed over the query's recent progress.
+
+    Spark counts after partial aggregation, so for a windowed aggregate this is
+    the number of late (window, input partition) groups, not of input rows.
+    """
     total = 0
     for p in query.recentProgress:
         for op in p.get("stateOperators", []) if isinstance(p, dict) else []:

@@ -169,3 +169,65 @@ def test_scoring_stream_logs_every_valid_row(spark, tmp_path_factory, tmp_dir):
     log = spark.read.parquet(out)
     assert log.count() == rows.count()
     assert log.where("fraud_probability < 0 or fraud_probability > 1").count() == 0
+
+
+def test_session_stream_matches_closed_batch_sessions(spark, replay, tmp_dir):
+    path, schema = replay
+    src = st.event_time(st.file_source(spark, path, schema), "timestamp")
+    q = (st.session_stream(src, "model_version", gap="30 minutes", watermark="1 hour").writeStream
+         .outputMode("append").format("memory").queryName("session_t")
+         .option("checkpointLocation", os.path.join(tmp_dir, "ck")).trigger(availableNow=True).start())
+    _drain(q)
+    got = {(r.model_version, r.session_start.replace(tzinfo=None)): r["count"] for r in spark.table("session_t").collect()}
+    batch = (fx.pred(spark, SF).groupBy("model_version", F.session_window("timestamp", "30 minutes").alias("s"))
+             .count().collect())
+    want = {(r.model_version, r.s.start): r["count"] for r in batch}
+    assert got and all(want[k] == v for k, v in got.items())
+
+
+def test_late_rows_are_counted(spark, tmp_path_factory, tmp_dir):
+    path = str(tmp_path_factory.mktemp("late"))
+    p = fx.pred(spark, SF)
+    cut = F.lit("2024-01-05 00:00:00").cast("timestamp_ntz")
+    st.write_replay(p.where(F.col("timestamp") >= cut), path, "timestamp", 2)
+    late_dir = os.path.join(tmp_dir, "late_tmp")
+    p.where(F.col("timestamp") < cut).coalesce(1).write.parquet(late_dir)
+    for name in os.listdir(late_dir):
+        if name.endswith(".parquet"):
+            dst = os.path.join(path, "part-00009.parquet")
+            os.replace(os.path.join(late_dir, name), dst)
+            os.utime(dst, (1_700_000_100, 1_700_000_100))
+    src = st.event_time(st.file_source(spark, path, p.schema), "timestamp")
+    q = (st.rollup_stream(src, every="1 day", watermark="1 hour").writeStream.outputMode("append")
+         .format("memory").queryName("late_t").option("checkpointLocation", os.path.join(tmp_dir, "ck"))
+         .trigger(availableNow=True).start())
+    _drain(q)
+    # the operator counts dropped rows after partial aggregation: one per late window and input partition
+    late_days = p.where(F.col("timestamp") < cut).select(F.to_date("timestamp")).distinct().count()
+    assert st.dropped_by_watermark(q) == late_days
+    emitted = {r.window_start.replace(tzinfo=None) for r in spark.table("late_t").collect()}
+    assert min(emitted).day >= 5  # late windows never reach the output
+
+
+def test_drift_check_stream_writes_report(spark, replay, tmp_dir):
+    path, schema = replay
+    src = st.event_time(st.file_source(spark, path, schema, files_per_trigger=2), "timestamp").drop("event_time")
+    ref, _ = fx.ref_cur(spark, SF)
+    log_path, rep, trig = (os.path.join(tmp_dir, x) for x in ("log", "rep", "trig"))
+    q = st.drift_check_query(src.withColumnRenamed("amount", "Amount"), ref, ["Amount"], log_path, 200, rep, trig,
+                             os.path.join(tmp_dir, "ck"))
+    _drain(q)
+    assert spark.read.parquet(log_path).count() == fx.pred(spark, SF).count()
+    assert logs.read_reports(spark, rep).count() == 2  # one report per micro-batch, one column each
+
+
+def test_gbt_with_validation_indicator(spark):
+    feats = [f"V{i}" for i in range(1, 29)] + ["Amount"]
+    s = fe.stratified_split(fx.feat(spark, SF), "Class", "tx_id", 42)
+    tv = s.where("split <> 'test'").withColumn("is_val", F.col("split") == "val")
+    model = mo.fit_gbt(fe.class_weight(tv), feats, "Class", mo.GBTParams(max_depth=2, step_size=0.1, max_iter=3),
+                       validation_col="is_val")
+    scored = mo.score(model, s.where("split = 'test'"), keep=["tx_id"])
+    assert scored.count() == s.where("split = 'test'").count()
+    imp = mo.importances(model, feats, 15).collect()
+    assert len(imp) == 15 and all(r.importance >= 0 for r in imp)
