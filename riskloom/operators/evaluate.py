@@ -155,11 +155,14 @@ def evaluate(df: DataFrame, label: str = "Class", score: str = "p", threshold: f
              n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """One metric row for a scored table (M8): counts, prevalence, AUC, AP, confusion, rates."""
     y = _label(label)
-    base = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(y).alias("positives"),
-                  F.avg(F.col(label).cast("double")).alias("prevalence"))
-    conf = with_rates(confusion(df, label, score, threshold))
+    hit = F.col(score) >= F.lit(threshold)
+    base = with_rates(df.agg(  # counts and the confusion cells in one pass
+        F.count(F.lit(1)).alias("n"), F.count_if(y).alias("positives"),
+        F.avg(F.col(label).cast("double")).alias("prevalence"),
+        F.count_if(~y & ~hit).alias("tn"), F.count_if(~y & hit).alias("fp"),
+        F.count_if(y & ~hit).alias("fn"), F.count_if(y & hit).alias("tp")))
     metrics = auc_ap(df, label, score, n_buckets)
-    return (base.crossJoin(metrics).crossJoin(conf)
+    return (base.crossJoin(metrics)  # two one-row results
             .withColumn("threshold", F.lit(float(threshold)))
             .withColumn("improvement_over_random", F.try_divide(F.col("average_precision"), F.col("prevalence")))
             .withColumn("model_version", F.lit(model_version).cast("string"))

@@ -79,13 +79,21 @@ def hour_class_counts(df: DataFrame, label: str = "Class", time_col: str = "Time
     return df.groupBy(hour_of_time(time_col).alias("hour"), F.col(label)).agg(F.count(F.lit(1)).alias("count"))
 
 
+WIDE_CORR_COLUMNS = 40  # above this many columns the pairwise aggregate list gets too long
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column pair, long form (a, b, r), diagonal included.
 
-    One aggregate pass computes every unordered pair; the result is mirrored.
+    Up to 40 columns: one aggregate pass computes every unordered pair (pairwise
+    complete rows) and the result is mirrored. Wider tables use Spark ML's
+    ``Correlation`` (one tree aggregate over assembled vectors, rows with a null
+    left out); its matrix is columns x columns, bounded by the schema.
     Columns with no variance give null, as in pandas.
     """
     cols = list(columns)
+    if len(cols) > WIDE_CORR_COLUMNS:
+        return _corr_matrix_wide(df, cols)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
     row = df.agg(*[F.corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs],
                  *[F.stddev_pop(c).alias(f"sd{i}") for i, c in enumerate(cols)])
@@ -100,6 +108,18 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _explode_structs(row, structs)
 
 
+def _corr_matrix_wide(df: DataFrame, cols: list[str]) -> DataFrame:
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(
+        df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    m = Correlation.corr(vec, "_v", "pearson").collect()[0][0].toArray()
+    rows = [(a, b, None if math.isnan(m[i][j]) else float(m[i][j]))
+            for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+
+
 def top_corr_with(df: DataFrame, target: str, columns: Sequence[str], k: int = 5) -> DataFrame:
     """The k columns most correlated (by |r|) with ``target``, target itself excluded (D3)."""
     cols = [c for c in columns if c != target]

@@ -2,10 +2,11 @@
 
 A window partitioned only by the key sends a hot key (a third of all rows)
 to one task. ``last_n_per_key`` relies on Spark's window group limit (each
-task keeps its local top n before the shuffle). ``trailing_rows`` ranks rows
-exactly per key, cuts each key into fixed-size chunks and copies the last
-n-1 rows of a chunk into the next one as a halo, so every task holds at most
-``chunk_rows + n - 1`` rows whatever the key skew.
+task keeps its local top n before the shuffle). ``trailing_rows`` keeps
+ordinary keys in an ordinary window and splits hot keys: exact per-key
+ranks, fixed-size chunks, and the last n-1 rows of a chunk copied into the
+next one as a halo, so every task holds at most ``chunk_rows + n - 1`` rows
+whatever the key skew.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import checked_broadcast
 from .prefix import DEFAULT_BUCKETS, prefix_sums
 
 
@@ -25,8 +27,9 @@ def last_n_per_key(df: DataFrame, key: str, ts: str, tie: str, n: int) -> DataFr
 def exact_rank(df: DataFrame, key: str, order_value: Column, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """1-based rank of each row within its key by a numeric order value unique per key.
 
-    Uses the bucketed prefix count, so no task holds a whole key. ``key``
-    must be of low cardinality (cut points are broadcast per key).
+    Uses the bucketed prefix count, so no task holds a whole key. Meant for a
+    bounded set of keys (the hot keys of ``trailing_rows``): cut points and
+    offsets are broadcast per key.
     """
     d = df.withColumn("_ov", order_value)
     counts = d.groupBy(key, "_ov").agg(F.count(F.lit(1)).alias("_c"))
@@ -35,24 +38,41 @@ def exact_rank(df: DataFrame, key: str, order_value: Column, n_buckets: int = DE
     return d.join(ranks, [key, "_ov"]).drop("_ov")
 
 
-def trailing_rows(df: DataFrame, key: str, order_value: Column, n: int, aggs: dict[str, Column],
-                  chunk_rows: int = 1_000_000, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Aggregates over the trailing ``n`` rows (this row and n-1 before it) per key, at every row.
-
-    ``aggs`` maps output names to aggregate expressions (e.g. ``{"avg_x": F.avg("x")}``);
-    they are evaluated over ``rowsBetween(-(n-1), 0)`` in rank order. Exact:
-    chunks overlap by n-1 rows, and only each chunk's own rows are emitted.
-    """
-    if chunk_rows < n:
-        raise ValueError("chunk_rows must be at least n")
-    r = exact_rank(df, key, order_value, n_buckets)
+def _chunked(r: DataFrame, key: str, n: int, aggs: dict[str, Column], chunk_rows: int) -> DataFrame:
+    """Trailing-n aggregates over rows that carry an exact per-key ``_rank``: fixed-size chunks per key,
+    the last n-1 rows of every chunk copied into the next one as its halo."""
     pos = F.col("_rank") - 1
     chunk = F.floor(pos / chunk_rows)
     own = F.struct(chunk.alias("_chunk"), F.lit(False).alias("_halo"))
     halo = F.struct((chunk + 1).alias("_chunk"), F.lit(True).alias("_halo"))
-    # rows in the last n-1 places of a chunk also go to the next chunk, as its halo
     copies = F.when((pos % chunk_rows) >= chunk_rows - (n - 1), F.array(own, halo)).otherwise(F.array(own))
     both = r.select("*", F.explode(copies).alias("_ch")).select("*", "_ch._chunk", "_ch._halo").drop("_ch")
     w = Window.partitionBy(key, "_chunk").orderBy("_rank").rowsBetween(-(n - 1), 0)
     out = both.select("*", *[a.over(w).alias(name) for name, a in aggs.items()])
     return out.where(~F.col("_halo")).drop("_chunk", "_halo", "_rank")
+
+
+def trailing_rows(df: DataFrame, key: str, order_value: Column, n: int, aggs: dict[str, Column],
+                  chunk_rows: int = 1_000_000, n_buckets: int = DEFAULT_BUCKETS,
+                  max_hot_keys: int = 100_000) -> DataFrame:
+    """Aggregates over the trailing ``n`` rows (this row and n-1 before it) per key, at every row.
+
+    ``aggs`` maps output names to aggregate expressions (e.g. ``{"avg_x": F.avg("x")}``), evaluated
+    over ``rowsBetween(-(n-1), 0)`` in ``order_value`` order (unique per key). Keys are split by size:
+    a key with at most ``chunk_rows`` rows is one window partition (bounded by construction); a hot key
+    is ranked exactly with the bucketed prefix count and cut into chunks with an (n-1)-row halo, so no
+    task holds more than ``chunk_rows + n - 1`` rows whatever the skew. The hot-key list is bounded by
+    rows / chunk_rows and its size is checked before it is broadcast.
+    """
+    if chunk_rows < n:
+        raise ValueError("chunk_rows must be at least n")
+    d = df.withColumn("_ov", order_value)
+    sizes = d.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot_keys = checked_broadcast(sizes.where(F.col("_n") > chunk_rows).select(key), max_hot_keys)
+    flagged = d.join(hot_keys.withColumn("_hot", F.lit(True)), key, "left")
+    cold = flagged.where(F.col("_hot").isNull()).drop("_hot")
+    hot = flagged.where(F.col("_hot")).drop("_hot")
+    w = Window.partitionBy(key).orderBy("_ov").rowsBetween(-(n - 1), 0)
+    cold_out = cold.select("*", *[a.over(w).alias(name) for name, a in aggs.items()]).drop("_ov")
+    ranked = exact_rank(hot, key, F.col("_ov"), n_buckets)
+    return cold_out.unionByName(_chunked(ranked, key, n, aggs, chunk_rows))

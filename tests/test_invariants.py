@@ -84,3 +84,29 @@ def test_last_n_per_key_limits_before_the_shuffle(spark):
     df = ro.last_n_per_key(fx.pred(spark, SF), "model_version", "timestamp", "prediction_id", 5)
     df.collect()
     assert "WindowGroupLimit" in _plan(df)
+
+
+def test_trailing_rows_with_hot_and_cold_keys(spark):
+    ev_ = fx.tx(spark, SF).withColumn(
+        "k", F.when(F.col("user_id") % 10 == 0, F.lit("hot")).otherwise(F.col("user_id").cast("string")))
+    order = F.unix_micros(F.col("ts").cast("timestamp"))
+    got = ro.trailing_rows(ev_, "k", order, 5, {"s": F.sum("Amount"), "n": F.count(F.lit(1))}, chunk_rows=20)
+    w = Window.partitionBy("k").orderBy("ts").rowsBetween(-4, 0)
+    want = ev_.select("tx_id", F.sum("Amount").over(w).alias("s"), F.count(F.lit(1)).over(w).alias("n"))
+    g = {r.tx_id: (r.n, round(r.s, 9)) for r in got.select("tx_id", "n", "s").collect()}
+    h = {r.tx_id: (r.n, round(r.s, 9)) for r in want.collect()}
+    assert g == h
+
+
+def test_wide_correlation_matches_pairwise(spark):
+    from riskloom.operators import profile as pr
+
+    f = fx.feat(spark, SF)
+    cols = [f"V{i}" for i in range(1, 29)] + ["Amount", "Time"] + [f"V{i}" for i in range(1, 12)]
+    wide = f.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    names = [f"c{i}" for i in range(len(cols))]
+    assert len(names) > pr.WIDE_CORR_COLUMNS
+    big = {(r.a, r.b): r.r for r in pr.corr_matrix(wide, names).collect()}
+    small = {(r.a, r.b): r.r for r in pr.corr_matrix(wide, names[:6]).collect()}
+    for k, v in small.items():
+        assert big[k] == pytest.approx(v, abs=1e-9)
