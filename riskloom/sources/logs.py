@@ -114,8 +114,10 @@ def report_rows(table: DataFrame, summary: DataFrame, hist: DataFrame, run_ts: C
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """Drift-report sink (S9): JSON partitioned by the run stamp."""
-    report.write.mode("append").partitionBy("run_ts").json(path)
+    """Drift-report sink (S9): JSON partitioned by the run stamp. Only the run's own partition is
+    replaced, so a re-run of the same check does not leave a duplicate report."""
+    (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_ts").json(path))
 
 
 def read_reports(spark: SparkSession, path: str) -> DataFrame:
@@ -136,9 +138,20 @@ def drift_history(reports: DataFrame) -> DataFrame:
 
 
 def write_trigger(payload: DataFrame, path: str) -> int:
-    """Retrain-trigger sink (S11): appends only fired decisions; returns rows written."""
-    fired = payload.where("triggered")
+    """Retrain-trigger sink (S11): writes only fired decisions, partitioned by their timestamp so a
+    re-run replaces its own record instead of adding a second one; returns rows written."""
+    fired = materialize_small(payload.where("triggered"))
     n = fired.count()
     if n:
-        fired.write.mode("append").json(path)
+        (fired.withColumn("fired_at", F.col("timestamp")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("fired_at").json(path))
     return n
+
+
+def materialize_small(df: DataFrame, max_rows: int = 1000) -> DataFrame:
+    """A result of at most a few rows, computed once (a trigger record): fetched with a bound and
+    planned as a local relation, so counting and writing it do not evaluate it twice."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"expected at most {max_rows} rows")
+    return df.sparkSession.createDataFrame(rows, df.schema)
