@@ -51,10 +51,20 @@ def zero_div(num: Column, den: Column) -> Column:
     return F.coalesce(F.try_divide(num, F.when(den != 0, den)), F.lit(0.0))
 
 
-def bucket_of(value: Column, cuts: Column) -> Column:
-    """Index of the range a value falls in, given an ascending array of cut points.
+def literal_bucket(value: Column, cuts: list[float], inclusive: bool = False) -> Column:
+    """Number of literal cut points below ``value`` (``<=`` with ``inclusive``), as a balanced CASE tree.
 
-    Counts the cuts strictly below the value, so the index never decreases as
-    the value grows; duplicate cuts only leave empty ranges.
+    O(log n) comparisons per row and plain codegen'd expressions (no lambda).
     """
-    return F.size(F.filter(cuts, lambda c: c < value))
+    cuts = sorted(cuts)
+
+    def below(c):
+        return (F.lit(c) <= value) if inclusive else (F.lit(c) < value)
+
+    def tree(lo: int, hi: int) -> Column:  # answer lies in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2  # is the mid-th cut (1-based) below the value?
+        return F.when(below(cuts[mid - 1]), tree(mid, hi)).otherwise(tree(lo, mid - 1))
+
+    return tree(0, len(cuts))

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_of, zero_div
+from .common import literal_bucket, zero_div
 from .prefix import DEFAULT_BUCKETS, prefix_sums
 
 
@@ -115,7 +115,7 @@ def threshold_sweep(df: DataFrame, thresholds: Sequence[float], label: str = "Cl
     T = len(ths)
     cuts = F.array(*[F.lit(t) for t in ths])
     # bin b = number of thresholds <= score: the row is a hit for thresholds 0..b-1
-    b = F.size(F.filter(cuts, lambda t: t <= F.col(score)))
+    b = literal_bucket(F.col(score), ths, inclusive=True)
     spark = df.sparkSession
     per_bin = (df.where(F.col(score).isNotNull())
                .groupBy(b.alias("bin"))

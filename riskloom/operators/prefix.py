@@ -1,11 +1,11 @@
 """Exact ordered prefix sums without a single-partition window (K1, K2, K3).
 
 A plain ``Window.orderBy(x)`` puts every row in one task. Here the ordered
-domain is cut into value ranges ("buckets") by approximate quantiles, each
-bucket's totals are turned into offsets in a table of at most
-``groups x n_buckets`` rows, and the running sum inside a bucket is a window
-partitioned by (group, bucket). The result is exact whatever the cut points
-are; the cut points only decide how even the tasks are.
+domain is cut into value ranges ("buckets") by Spark's range partitioner,
+each bucket's totals are turned into offsets in a table of at most
+``n_buckets + groups`` rows, and the running sum inside a bucket is a window
+partitioned by (group, bucket). The result is exact whatever the bucket
+bounds are; the bounds only decide how even the tasks are.
 """
 
 from __future__ import annotations
@@ -15,62 +15,60 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_of, checked_broadcast, materialize
+from pyspark.storagelevel import StorageLevel
+
+from .common import checked_broadcast, materialize
 
 DEFAULT_BUCKETS = 64
 
 
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], by: Sequence[str] = (),
-                descending: bool = False, n_buckets: int = DEFAULT_BUCKETS,
-                accuracy: int = 1000, with_next: bool = False, materialized: bool = False) -> DataFrame:
+                descending: bool = False, n_buckets: int = DEFAULT_BUCKETS, with_next: bool = False,
+                with_totals: bool = False, materialized: bool = False) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in the order of ``order_col`` within ``by``.
 
     ``df`` must hold one row per (by, order_col) value, i.e. be pre-aggregated,
     and ``by`` must be of low cardinality (column names, a class label): the
-    cut-point and offset tables hold ``groups x n_buckets`` rows and are
-    broadcast. Adds ``cum_<c>`` for every sum column and, with ``with_next``,
-    ``next_<order_col>``: the following value in the order (null at the end).
-
-    The input is read by three branches (cut points, bucket totals, running
-    sums); unless the caller passes ``materialized=True`` it is checkpointed
-    once so the upstream is not recomputed per branch.
+    offsets table holds at most ``n_buckets + groups`` rows and is broadcast.
+    Adds ``cum_<c>`` for every sum column; with ``with_next`` also
+    ``next_<order_col>`` (the following value in the order, null at the end);
+    with ``with_totals`` also ``tot_<c>`` (the group total).
+
+    Buckets come from ``repartitionByRange`` on (by, order): Spark samples the
+    bounds and places every row by binary search in the JVM, and the partition
+    index is the bucket. The bucketed rows are written once by a checkpoint, so
+    every branch (bucket totals, running sums) sees the same bucket and the
+    upstream is computed once (``materialized=True`` when the input already is).
     """
     by = list(by)
     sign = -1.0 if descending else 1.0
     d = df.where(F.col(order_col).isNotNull()).withColumn("_k", F.col(order_col) * F.lit(sign))
+    src = d if materialized else d.persist(StorageLevel.MEMORY_AND_DISK)  # read by the sampling and the write
+    bucketed = materialize(src.repartitionByRange(n_buckets, *[F.col(c) for c in by], F.col("_k"))
+                           .withColumn("_bucket", F.spark_partition_id()))
     if not materialized:
-        d = materialize(d)
-
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    if not probs:  # one bucket: no cut points
-        d = d.withColumn("_bucket", F.lit(0))
-    else:
-        pct = F.coalesce(F.percentile_approx("_k", probs, accuracy), F.array().cast("array<double>"))
-        if by:
-            cuts = d.groupBy(*by).agg(pct.alias("_cuts"))
-            d = d.join(F.broadcast(cuts), by, "inner")
-        else:
-            d = d.crossJoin(F.broadcast(d.agg(pct.alias("_cuts"))))
-        d = d.withColumn("_bucket", bucket_of(F.col("_k"), F.col("_cuts"))).drop("_cuts")
-
-    totals = d.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols],
-                                           F.min("_k").alias("_bmin"))
+        src.unpersist()
+
+    totals = bucketed.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols],
+                                                  F.min("_k").alias("_bmin"))
     wb = Window.partitionBy(*by).orderBy("_bucket")
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *by, "_bucket",
         *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
+        *[F.sum(f"_t_{c}").over(Window.partitionBy(*by)).alias(f"tot_{c}") for c in sum_cols],
         F.lead("_bmin").over(wb).alias("_next_bmin"),
     )
-    out = d.join(F.broadcast(offsets), [*by, "_bucket"], "inner")
+    # at most n_buckets + groups rows: range partitions are contiguous in (by, order)
+    out = bucketed.join(F.broadcast(offsets), [*by, "_bucket"], "inner")
 
     w = Window.partitionBy(*by, "_bucket").orderBy("_k")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols = [F.col(f"_o_{c}") + F.sum(c).over(upto) for c in sum_cols]
-    out = out.select(*df.columns, *[c.alias(f"cum_{n}") for c, n in zip(cols, sum_cols)],
-                     *([(F.coalesce(F.lead("_k").over(w), F.col("_next_bmin")) * F.lit(sign))
-                        .alias(f"next_{order_col}")] if with_next else []))
-    return out
+    return out.select(*df.columns, *[c.alias(f"cum_{n}") for c, n in zip(cols, sum_cols)],
+                      *([(F.coalesce(F.lead("_k").over(w), F.col("_next_bmin")) * F.lit(sign))
+                         .alias(f"next_{order_col}")] if with_next else []),
+                      *([F.col(f"tot_{c}") for c in sum_cols] if with_totals else []))
 
 
 def stratified_rank(df: DataFrame, strata: Sequence[str], key_cols: Sequence[str], seed: int | str,
@@ -112,13 +110,12 @@ def ecdf_diff(long_df: DataFrame, sample_col: str = "sample", group_col: str = "
     """
     is_ref = F.col(sample_col) == ref_tag
     is_cur = F.col(sample_col) == cur_tag
-    counts = materialize(long_df.where(F.col(value_col).isNotNull())
-                         .groupBy(group_col, value_col)
-                         .agg(F.count_if(is_ref).alias("c_ref"), F.count_if(is_cur).alias("c_cur")))
+    counts = (long_df.where(F.col(value_col).isNotNull())
+              .groupBy(group_col, value_col)
+              .agg(F.count_if(is_ref).alias("c_ref"), F.count_if(is_cur).alias("c_cur")))
     ps = prefix_sums(counts, value_col, ["c_ref", "c_cur"], by=[group_col], n_buckets=n_buckets,
-                     with_next=True, materialized=True)
-    totals = counts.groupBy(group_col).agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
-    return (ps.join(F.broadcast(totals), group_col)
+                     with_next=True, with_totals=True)
+    return (ps.withColumnRenamed("tot_c_ref", "n_ref").withColumnRenamed("tot_c_cur", "n_cur")
             .select(group_col, value_col, "c_ref", "c_cur", "n_ref", "n_cur",
                     F.try_divide(F.col("cum_c_ref"), F.col("n_ref")).alias("F_ref"),
                     F.try_divide(F.col("cum_c_cur"), F.col("n_cur")).alias("F_cur"),
