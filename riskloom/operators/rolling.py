@@ -76,3 +76,54 @@ def trailing_rows(df: DataFrame, key: str, order_value: Column, n: int, aggs: di
     cold_out = cold.select("*", *[a.over(w).alias(name) for name, a in aggs.items()]).drop("_ov")
     ranked = exact_rank(hot, key, F.col("_ov"), n_buckets)
     return cold_out.unionByName(_chunked(ranked, key, n, aggs, chunk_rows))
+
+
+def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, aggs: dict[str, Column],
+             chunk_rows: int = 1_000_000, n_buckets: int = DEFAULT_BUCKETS,
+             max_hot_keys: int = 100_000) -> DataFrame:
+    """Activity sessions per key: a session ends after ``gap_seconds`` without an event (T4 session
+    form, batch). Output: key, session_start (first event), session_end (last event + gap) and ``aggs``
+    over the session's rows. Event times must be unique per key.
+
+    The same split as ``trailing_rows``: ordinary keys use plain per-key windows; a hot key is ranked
+    exactly, cut into chunks (a one-row halo gives each chunk's first row its predecessor), and the
+    session id (the start time of the row's session, a running max) is carried across chunks by a
+    per-chunk maxima table.
+    """
+    gap_us = int(gap_seconds) * 1_000_000
+    d = df.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
+    sizes = d.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot_keys = checked_broadcast(sizes.where(F.col("_n") > chunk_rows).select(key), max_hot_keys)
+    flagged = d.join(hot_keys.withColumn("_hot", F.lit(True)), key, "left")
+    cold = flagged.where(F.col("_hot").isNull()).drop("_hot")
+    hot = flagged.where(F.col("_hot")).drop("_hot")
+
+    def start_of(prev: Column) -> Column:
+        return F.when(prev.isNull() | (F.col("_us") - prev >= gap_us), F.col("_us"))
+
+    wk = Window.partitionBy(key).orderBy("_us")
+    cold_s = (cold.withColumn("_start", start_of(F.lag("_us").over(wk)))
+              .withColumn("_sid", F.max("_start").over(wk.rowsBetween(Window.unboundedPreceding, 0))))
+
+    r = exact_rank(hot, key, F.col("_us"), n_buckets)
+    pos = F.col("_rank") - 1
+    chunk = F.floor(pos / chunk_rows)
+    own = F.struct(chunk.alias("_chunk"), F.lit(False).alias("_halo"))
+    halo = F.struct((chunk + 1).alias("_chunk"), F.lit(True).alias("_halo"))
+    copies = F.when(pos % chunk_rows == chunk_rows - 1, F.array(own, halo)).otherwise(F.array(own))
+    both = r.select("*", F.explode(copies).alias("_ch")).select("*", "_ch._chunk", "_ch._halo").drop("_ch")
+    wc = Window.partitionBy(key, "_chunk").orderBy("_rank")
+    local = (both.withColumn("_start", start_of(F.lag("_us").over(wc))).where(~F.col("_halo"))
+             .withColumn("_lmax", F.max("_start").over(wc.rowsBetween(Window.unboundedPreceding, 0))))
+    chunk_max = local.groupBy(key, "_chunk").agg(F.max("_start").alias("_cm"))  # rows / chunk_rows rows
+    offsets = chunk_max.select(key, "_chunk", F.max("_cm").over(
+        Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))
+    hot_s = (local.join(offsets, [key, "_chunk"])
+             .withColumn("_sid", F.greatest("_lmax", "_off"))
+             .drop("_rank", "_chunk", "_halo", "_lmax", "_off"))
+
+    rows = cold_s.unionByName(hot_s)
+    return rows.groupBy(key, "_sid").agg(
+        F.min(ts).alias("session_start"),
+        (F.max(ts) + F.make_interval(secs=F.lit(int(gap_seconds)))).alias("session_end"),
+        *[a.alias(n) for n, a in aggs.items()]).drop("_sid")

@@ -267,13 +267,11 @@ s AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS U
 SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, CAST(count(*) AS BIGINT) AS count,
        round(avg(p), 6) AS avg_probability FROM s GROUP BY user_id, sid""")
 def t4_session_rollup(spark, sf):
-    """Batch twin of the session form: per user, activity sessions closed by 30 minutes of silence."""
-    ev = fixture_table(spark, sf, "events")
-    g = (ev.withColumn("p", F.col("value") / (F.col("value") + F.lit(50.0)))
-         .groupBy("user_id", F.session_window("ts", "30 minutes").alias("s"))
-         .agg(F.count(F.lit(1)).alias("count"), F.round(F.avg("p"), 6).alias("avg_probability")))
-    return g.select("user_id", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
-                    "count", "avg_probability")
+    """Batch twin of the session form: per user, activity sessions closed by 30 minutes of silence
+    (hot users split into chunks, see ``rolling.sessions``)."""
+    ev = fixture_table(spark, sf, "events").withColumn("p", F.col("value") / (F.col("value") + F.lit(50.0)))
+    s = ro.sessions(ev, "user_id", "ts", 30 * 60, {"count": F.count(F.lit(1)), "avg_probability": F.avg("p")})
+    return _r(s.select("user_id", "session_start", "session_end", "count", "avg_probability"), ["avg_probability"])
 
 
 @query("p5_u1_u3_column_sets")

@@ -110,3 +110,16 @@ def test_wide_correlation_matches_pairwise(spark):
     small = {(r.a, r.b): r.r for r in pr.corr_matrix(wide, names[:6]).collect()}
     for k, v in small.items():
         assert big[k] == pytest.approx(v, abs=1e-9)
+
+
+@pytest.mark.parametrize("chunk", [7, 1_000_000])
+def test_sessions_equal_session_window_with_a_hot_key(spark, chunk):
+    ev_ = spark.read.parquet(f"{SF}/events.parquet").withColumn(
+        "k", F.when(F.col("user_id") % 10 == 0, F.lit("hot")).otherwise(F.col("user_id").cast("string")))
+    got = ro.sessions(ev_, "k", "ts", 6 * 3600, {"n": F.count(F.lit(1)), "v": F.sum("value")}, chunk_rows=chunk)
+    want = (ev_.groupBy("k", F.session_window("ts", "6 hours").alias("s"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
+            .select("k", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "n", "v"))
+    g = sorted((r.k, r.session_start, r.session_end, r.n, round(r.v, 6)) for r in got.collect())
+    h = sorted((r.k, r.session_start, r.session_end, r.n, round(r.v, 6)) for r in want.collect())
+    assert g == h
