@@ -145,10 +145,25 @@ def _rolling_fn(n: int):
     return fn
 
 
+def _local_newest(n: int):
+    """Per input partition, keep only the newest n rows of every key (older rows can never be in a
+    key's newest n), so a hot key sends at most partitions x n rows to its state task per batch."""
+    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [b for b in batches if len(b)]
+        if not parts:
+            return
+        pdf = pd.concat(parts, ignore_index=True)
+        pdf = pdf.sort_values(["event_time", "prediction_id"], ascending=[False, True])
+        yield pdf.groupby("model_version", sort=False).head(n)
+    return fn
+
+
 def rolling_metrics_stream(src: DataFrame, n: int = 100, key: str = "model_version") -> DataFrame:
     """Per key, count / fraud rate / mean probability over its newest n predictions, kept as bounded
-    state (n rows per key) by applyInPandasWithState."""
+    state (n rows per key) by applyInPandasWithState; each partition first drops rows that cannot be in
+    a key's newest n."""
     d = src.select(F.col(key).alias("model_version"), "prediction_id", "event_time", "is_fraud", "fraud_probability")
+    d = d.mapInPandas(_local_newest(n), d.schema)
     return d.groupBy("model_version").applyInPandasWithState(
         _rolling_fn(n), ROLLING_OUT, ROLLING_STATE, "update", GroupStateTimeout.NoTimeout)
 
