@@ -173,13 +173,11 @@ def exact_percentiles(df: DataFrame, column: str, qs: Sequence[float],
     targets = n.select(F.array(*[F.struct(F.lit(float(q)).alias("q"), (F.lit(float(q)) * (F.col("n") - 1)).alias("h"))
                                  for q in qs]).alias("tg"))  # one row
     first, last = F.col("cum_c") - F.col("c"), F.col("cum_c") - 1
-
-    def inside(r):
-        return (r >= first) & (r <= last)
-
-    hits = ps.crossJoin(F.broadcast(targets)).select(
-        x.alias("v"), F.explode(F.filter("tg", lambda t: inside(F.floor(t["h"])) | inside(F.ceil(t["h"])))).alias("t"),
-        first.alias("first"), last.alias("last"))
+    # one row per (distinct value, requested level), kept only where the level's rank falls in the value's range
+    hits = (ps.crossJoin(F.broadcast(targets))  # one row
+            .select(x.alias("v"), F.explode("tg").alias("t"), first.alias("first"), last.alias("last"))
+            .where(((F.floor("t.h") >= F.col("first")) & (F.floor("t.h") <= F.col("last")))
+                   | ((F.ceil("t.h") >= F.col("first")) & (F.ceil("t.h") <= F.col("last")))))
     lo_hit = (F.floor("t.h") >= F.col("first")) & (F.floor("t.h") <= F.col("last"))
     hi_hit = (F.ceil("t.h") >= F.col("first")) & (F.ceil("t.h") <= F.col("last"))
     per_q = hits.groupBy(F.col("t.q").alias("q")).agg(

@@ -236,3 +236,17 @@ def test_histogram_density_integrates_to_one(spark):
     h = pr.histogram(df, "x", 5).collect()
     assert sum(r["count"] for r in h) == 6
     assert sum(r.density * (r.hi - r.lo) for r in h) == pytest.approx(1.0)
+
+
+def test_column_names_normalised_case_insensitively(spark):
+    from riskloom.plans import monitor
+
+    df = spark.createDataFrame([(1.0, 2.0)], "AMOUNT double, v1 double")
+    assert monitor.normalise_names(df, ["Amount", "V1"]).columns == ["Amount", "V1"]
+
+
+def test_nulls_are_left_out_of_a_columns_test(spark):
+    ref = spark.createDataFrame([(float(v),) for v in range(40)] + [(None,)] * 5, "x double")
+    cur = spark.createDataFrame([(float(v),) for v in range(35)] + [(None,)] * 9, "x double")
+    t = dr.drift_table(ref, cur, ["x"]).collect()[0]
+    assert (t.n_ref, t.n_cur) == (40, 35)
