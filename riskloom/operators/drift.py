@@ -230,8 +230,8 @@ def sample_warnings(ref: DataFrame, cur: DataFrame, expected: Sequence[str] = ()
     missing_ref = [c for c in expected if c not in ref.columns]
     missing_cur = [c for c in expected if c not in cur.columns]
     testable = [c for c in expected if c in ref.columns and c in cur.columns]
-    n = (ref.agg(F.count(F.lit(1)).alias("n_reference"))
-         .crossJoin(cur.agg(F.count(F.lit(1)).alias("n_current"))))  # two one-row aggregates
+    n = ref.agg(F.count(F.lit(1)).alias("n_reference")).withColumn(
+        "n_current", cur.agg(F.count(F.lit(1))).scalar())  # the current size as a scalar subquery
     msgs = [
         F.when(F.col("n_current") == 0, F.lit("current sample is empty; drift not computed")),
         F.when((F.col("n_current") > 0) & (F.col("n_current") < MIN_SAMPLE_ROWS),
@@ -267,8 +267,10 @@ def trigger_payload(decision: DataFrame, table: DataFrame, warnings: DataFrame,
     Only decisions that fired produce a row (S11).
     """
     scores = table.agg(F.map_from_entries(F.collect_list(F.struct(  # one entry per tested column
-        "column_name", F.round("drift_score", 6)))).alias("feature_drift_scores"))
-    rec = decision.crossJoin(scores).crossJoin(warnings)  # one-row frames
+        "column_name", F.round("drift_score", 6))))).scalar()
+    warn = warnings.select(F.struct("n_current", "warnings")).scalar()
+    rec = decision.select("*", scores.alias("feature_drift_scores"), warn["n_current"].alias("n_current"),
+                          warn["warnings"].alias("warnings"))
     metrics = F.struct(
         F.col("share_of_drifted_columns").alias("drift_share"), F.col("dataset_drift").alias("dataset_drift_detected"),
         F.col("number_of_drifted_columns").alias("number_of_drifted_features"),

@@ -56,8 +56,10 @@ def cumulative_counts(df: DataFrame, label: str = "Class", score: str = "p",
     return ps.withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp")
 
 
-def _totals(df: DataFrame, label: str) -> DataFrame:
-    return df.agg(F.count_if(_label(label)).alias("n_pos"), F.count_if(~_label(label)).alias("n_neg"))
+def _totals(df: DataFrame, label: str):
+    """(n_pos, n_neg) as one struct-valued scalar subquery."""
+    return df.agg(F.struct(F.count_if(_label(label)).alias("n_pos"),
+                           F.count_if(~_label(label)).alias("n_neg"))).scalar()
 
 
 def auc_ap(df: DataFrame, label: str = "Class", score: str = "p",
@@ -85,10 +87,10 @@ def roc_curve(df: DataFrame, label: str = "Class", score: str = "p",
     """One ROC point per distinct score: threshold, fpr, tpr."""
     cc = cumulative_counts(df, label, score, n_buckets)
     tot = _totals(df.where(F.col(score).isNotNull()), label)
-    return cc.crossJoin(F.broadcast(tot)).select(
+    return cc.select(
         F.col(score).alias("threshold"),
-        F.try_divide(F.col("fp"), F.col("n_neg")).alias("fpr"),
-        F.try_divide(F.col("tp"), F.col("n_pos")).alias("tpr"))
+        F.try_divide(F.col("fp"), tot["n_neg"]).alias("fpr"),
+        F.try_divide(F.col("tp"), tot["n_pos"]).alias("tpr"))
 
 
 def pr_curve(df: DataFrame, label: str = "Class", score: str = "p",
@@ -96,11 +98,11 @@ def pr_curve(df: DataFrame, label: str = "Class", score: str = "p",
     """One PR point per distinct score: threshold, precision, recall, baseline prevalence."""
     cc = cumulative_counts(df, label, score, n_buckets)
     tot = _totals(df.where(F.col(score).isNotNull()), label)
-    return cc.crossJoin(F.broadcast(tot)).select(
+    return cc.select(
         F.col(score).alias("threshold"),
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-        F.try_divide(F.col("tp"), F.col("n_pos")).alias("recall"),
-        F.try_divide(F.col("n_pos"), F.col("n_pos") + F.col("n_neg")).alias("baseline"))
+        F.try_divide(F.col("tp"), tot["n_pos"]).alias("recall"),
+        F.try_divide(tot["n_pos"], tot["n_pos"] + tot["n_neg"]).alias("baseline"))
 
 
 def threshold_sweep(df: DataFrame, thresholds: Sequence[float], label: str = "Class",
@@ -161,8 +163,8 @@ def evaluate(df: DataFrame, label: str = "Class", score: str = "p", threshold: f
         F.avg(F.col(label).cast("double")).alias("prevalence"),
         F.count_if(~y & ~hit).alias("tn"), F.count_if(~y & hit).alias("fp"),
         F.count_if(y & ~hit).alias("fn"), F.count_if(y & hit).alias("tp")))
-    metrics = auc_ap(df, label, score, n_buckets)
-    return (base.crossJoin(metrics)  # two one-row results
+    m = auc_ap(df, label, score, n_buckets).select(F.struct("roc_auc", "average_precision")).scalar()
+    return (base.select("*", m["roc_auc"].alias("roc_auc"), m["average_precision"].alias("average_precision"))
             .withColumn("threshold", F.lit(float(threshold)))
             .withColumn("improvement_over_random", F.try_divide(F.col("average_precision"), F.col("prevalence")))
             .withColumn("model_version", F.lit(model_version).cast("string"))

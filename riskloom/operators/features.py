@@ -38,31 +38,29 @@ def fit_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return mean_std(df, columns)
 
 
-def _wide(stats: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The long stats table as one row: <c>__mean, <c>__std (an aggregate, so one row by construction)."""
-    aggs = []
+def _wide(stats: DataFrame, columns: Sequence[str]):
+    """The long stats table as one struct-valued scalar subquery: <c>__mean, <c>__std per column."""
+    fields = []
     for c in columns:
-        aggs += [F.max(F.when(F.col("column_name") == c, F.col("mean"))).alias(f"{c}__mean"),
-                 F.max(F.when(F.col("column_name") == c, F.col("std_pop"))).alias(f"{c}__std")]
-    return stats.agg(*aggs)
+        fields += [F.max(F.when(F.col("column_name") == c, F.col("mean"))).alias(f"{c}__mean"),
+                   F.max(F.when(F.col("column_name") == c, F.col("std_pop"))).alias(f"{c}__std")]
+    return stats.agg(F.struct(*fields)).scalar()
 
 
 def standard_scale(df: DataFrame, stats: DataFrame, columns: Sequence[str]) -> DataFrame:
     """x -> (x - mean) / std_pop with fitted stats; std = 0 divides by 1."""
     w = _wide(stats, columns)
-    out = df.crossJoin(F.broadcast(w))  # one-row statistics
+    out = df
     for c in columns:
-        sd = F.col(f"{c}__std")
-        out = out.withColumn(c, (F.col(c) - F.col(f"{c}__mean")) / F.when(sd > 0, sd).otherwise(F.lit(1.0)))
-    return out.drop(*[f"{c}__{s}" for c in columns for s in ("mean", "std")])
+        sd = w[f"{c}__std"]
+        out = out.withColumn(c, (F.col(c) - w[f"{c}__mean"]) / F.when(sd > 0, sd).otherwise(F.lit(1.0)))
+    return out
 
 
 def zscore(df: DataFrame, stats: DataFrame, column: str, out: str) -> DataFrame:
     """out = (x - mean) / (std_pop + 1e-9) with fitted stats."""
     w = _wide(stats, [column])
-    return (df.crossJoin(F.broadcast(w))
-            .withColumn(out, (F.col(column) - F.col(f"{column}__mean")) / (F.col(f"{column}__std") + F.lit(ZSCORE_EPS)))
-            .drop(f"{column}__mean", f"{column}__std"))
+    return df.withColumn(out, (F.col(column) - w[f"{column}__mean"]) / (w[f"{column}__std"] + F.lit(ZSCORE_EPS)))
 
 
 def features_v1(df: DataFrame, stats: DataFrame, amount: str = "Amount", drop: Sequence[str] = ("Time",)) -> DataFrame:
@@ -81,7 +79,5 @@ def class_weight(df: DataFrame, label: str = "Class", out: str = "weight") -> Da
     """weight = n_neg / n_pos for positives, 1 otherwise (M3); no positives gives weight 1."""
     y = F.col(label).cast("int") == 1
     ratio = df.agg(F.try_divide(F.count_if(~y).cast("double"),
-                                F.when(F.count_if(y) > 0, F.count_if(y))).alias("_ratio"))
-    return (df.crossJoin(F.broadcast(ratio))
-            .withColumn(out, F.when(y & F.col("_ratio").isNotNull(), F.col("_ratio")).otherwise(F.lit(1.0)))
-            .drop("_ratio"))
+                                F.when(F.count_if(y) > 0, F.count_if(y)))).scalar()
+    return df.withColumn(out, F.when(y & ratio.isNotNull(), ratio).otherwise(F.lit(1.0)))

@@ -141,10 +141,13 @@ def histogram(df: DataFrame, column: str, bins: int = 10, by: Sequence[str] = ()
     d = df.where(x.isNotNull())
     stats = d.groupBy(*by).agg(F.min(x).alias("mn"), F.max(x).alias("mx"), F.count(F.lit(1)).alias("n"))
     width = (F.col("mx") - F.col("mn")) / F.lit(float(bins))
-    pos = F.when(F.col("mx") > F.col("mn"),
-                 F.least(F.floor((x - F.col("mn")) / (F.col("mx") - F.col("mn")) * bins), F.lit(bins - 1))
-                 ).otherwise(F.lit(0)).cast("int")
-    joined = d.join(F.broadcast(stats), by, "inner") if by else d.crossJoin(F.broadcast(stats))
+    if by:  # one row of edges per group, broadcast
+        joined = d.join(F.broadcast(stats), by, "inner")
+        mn, mx = F.col("mn"), F.col("mx")
+    else:  # the edges as a scalar subquery
+        e = stats.select(F.struct("mn", "mx")).scalar()
+        joined, mn, mx = d, e["mn"], e["mx"]
+    pos = F.when(mx > mn, F.least(F.floor((x - mn) / (mx - mn) * bins), F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
     counts = joined.groupBy(*by, pos.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     grid = stats.select(*by, "mn", "mx", "n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     out = grid.join(counts, [*by, "bin"], "left").na.fill(0, ["count"])
@@ -171,11 +174,10 @@ def exact_percentiles(df: DataFrame, column: str, qs: Sequence[float],
     ps = prefix_sums(counts, column, ["c"], n_buckets=n_buckets)  # cum_c = rows with value <= v
     n = counts.agg(F.sum("c").alias("n"))
     targets = n.select(F.array(*[F.struct(F.lit(float(q)).alias("q"), (F.lit(float(q)) * (F.col("n") - 1)).alias("h"))
-                                 for q in qs]).alias("tg"))  # one row
+                                 for q in qs])).scalar()  # the requested levels and their ranks
     first, last = F.col("cum_c") - F.col("c"), F.col("cum_c") - 1
     # one row per (distinct value, requested level), kept only where the level's rank falls in the value's range
-    hits = (ps.crossJoin(F.broadcast(targets))  # one row
-            .select(x.alias("v"), F.explode("tg").alias("t"), first.alias("first"), last.alias("last"))
+    hits = (ps.select(x.alias("v"), F.explode(targets).alias("t"), first.alias("first"), last.alias("last"))
             .where(((F.floor("t.h") >= F.col("first")) & (F.floor("t.h") <= F.col("last")))
                    | ((F.ceil("t.h") >= F.col("first")) & (F.ceil("t.h") <= F.col("last")))))
     lo_hit = (F.floor("t.h") >= F.col("first")) & (F.floor("t.h") <= F.col("last"))
@@ -203,23 +205,20 @@ def kde(df: DataFrame, column: str, label: str = "Class", bins: int = 200, grid:
     """
     x = F.col(column)
     d = df.where(x.isNotNull())
-    rng = d.agg(F.min(x).alias("gmin"), F.max(x).alias("gmax"))
+    rng = d.agg(F.struct(F.min(x).alias("gmin"), F.max(x).alias("gmax"))).scalar()  # scalar subquery
+    gmin, gmax = rng["gmin"], rng["gmax"]
     per_class = d.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(x).alias("sd"))
-    w = (F.col("gmax") - F.col("gmin")) / bins
-    b = F.when(F.col("gmax") > F.col("gmin"),
-               F.least(F.floor((x - F.col("gmin")) / (F.col("gmax") - F.col("gmin")) * bins), F.lit(bins - 1))
-               ).otherwise(F.lit(0)).cast("int")
-    hist = (d.crossJoin(F.broadcast(rng)).groupBy(label, b.alias("bin"))
-            .agg(F.count(F.lit(1)).alias("c"), F.first("gmin").alias("gmin"), F.first("gmax").alias("gmax")))
-    centers = hist.select(label, "c", (F.col("gmin") + w * (F.col("bin") + 0.5)).alias("xc"))
-    gridx = rng.select(F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g"), "gmin", "gmax").select(
-        (F.col("gmin") + (F.col("gmax") - F.col("gmin")) * F.col("g") / F.lit(grid - 1)).alias("x"))
+    w = (gmax - gmin) / bins
+    b = F.when(gmax > gmin, F.least(F.floor((x - gmin) / (gmax - gmin) * bins), F.lit(bins - 1))).otherwise(
+        F.lit(0)).cast("int")
+    hist = d.groupBy(label, b.alias("bin")).agg(F.count(F.lit(1)).alias("c"))
+    centers = hist.select(label, "c", (gmin + w * (F.col("bin") + 0.5)).alias("xc"))
     h = F.pow(F.col("n").cast("double"), F.lit(-0.2)) * F.col("sd")
     # the bins of one class are at most `bins` rows by construction, so one array per class is bounded
     per = (centers.groupBy(label).agg(F.collect_list(F.struct("xc", "c")).alias("hist"))
            .join(F.broadcast(per_class), label).withColumn("h", h))
-    at_grid = per.join(F.broadcast(gridx.agg(F.collect_list("x").alias("xs"))), how="cross")  # one row
-    pts = at_grid.select(label, "hist", "n", "h", F.explode("xs").alias("x"))
+    pts = (per.select(label, "hist", "n", "h", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g"))
+           .withColumn("x", gmin + (gmax - gmin) * F.col("g") / F.lit(grid - 1)))
     norm = F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi))
     dens = F.aggregate("hist", F.lit(0.0), lambda acc, b: acc + b["c"] * F.exp(
         F.lit(-0.5) * F.pow((F.col("x") - b["xc"]) / F.col("h"), 2)))

@@ -27,14 +27,13 @@ def _epoch_micros(c):
 def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions: tx_id, ts, user_id, Time (s since first event), Amount, Class."""
     ev = fixture_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    t0 = ev.agg(F.min(_epoch_micros(F.col("ts"))).alias("_t0"))  # one row
+    t0 = ev.agg(F.min(_epoch_micros(F.col("ts")))).scalar()  # scalar subquery: the first event time
     return (
-        ev.crossJoin(F.broadcast(t0))
-        .select(
+        ev.select(
             F.col("event_id").alias("tx_id"),
             "ts",
             "user_id",
-            ((_epoch_micros(F.col("ts")) - F.col("_t0")) / F.lit(1_000_000.0)).alias("Time"),
+            ((_epoch_micros(F.col("ts")) - t0) / F.lit(1_000_000.0)).alias("Time"),
             F.col("value").alias("Amount"),
             (F.col("event_type") == "error").cast("int").alias("Class"),
         )

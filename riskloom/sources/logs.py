@@ -100,8 +100,8 @@ def report_rows(table: DataFrame, summary: DataFrame, hist: DataFrame, run_ts: C
                 "column_name", "column_type", "stattest_name", "stattest_threshold", "drift_score", "drift_detected",
                 F.struct(F.col("current").alias("small_distribution")).alias("current"),
                 F.struct(F.col("reference").alias("small_distribution")).alias("reference")).alias("r")))
-    by_col = cols.agg(F.map_from_entries(F.collect_list(F.struct("column_name", "r"))).alias("drift_by_columns"))
-    s = summary.crossJoin(by_col)  # one row each
+    by_col = cols.agg(F.map_from_entries(F.collect_list(F.struct("column_name", "r")))).scalar()
+    s = summary.withColumn("drift_by_columns", by_col)
     ds = F.struct(F.col("dataset_drift_threshold").alias("drift_share"), "number_of_columns",
                   "number_of_drifted_columns", "share_of_drifted_columns", "dataset_drift",
                   F.lit(None).cast(DRIFT_REPORT["metrics"].dataType.elementType["result"].dataType["drift_by_columns"]
