@@ -72,7 +72,7 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], by: Sequ
 
 
 def stratified_rank(df: DataFrame, strata: Sequence[str], key_cols: Sequence[str], seed: int | str,
-                    hex_digits: int = 3, max_strata: int = 1024) -> DataFrame:
+                    hex_digits: int = 3, max_strata: int = 16) -> DataFrame:
     """Exact 1-based rank of each row inside its stratum, in seeded md5 order (K2).
 
     The order key is ``md5(seed|key...)``. Its first ``hex_digits`` hex digits
