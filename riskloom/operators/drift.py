@@ -57,7 +57,7 @@ def ks_pvalue(lam: Column) -> Column:
 
 
 def numeric_tests(long: DataFrame, threshold: float = 0.05, ref_tag: str = "ref", cur_tag: str = "cur",
-                  n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                  n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Per numeric column: KS statistic and p-value, normed Wasserstein-1, the chosen test and verdict.
 
     Test choice follows the reference size: at most 1,000 reference rows -> K-S
@@ -171,7 +171,7 @@ def categorical_tests(long: DataFrame, threshold: float = 0.05, ref_tag: str = "
 
 
 def drift_table(ref: DataFrame, cur: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (),
-                threshold: float = 0.05, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                threshold: float = 0.05, n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """One row per tested column: column_name, column_type, stattest_name, stattest_threshold,
     drift_score, drift_detected, n_ref, n_cur (R5). Rows with nulls in a column are left out of
     that column's test (F5)."""

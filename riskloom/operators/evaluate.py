@@ -49,7 +49,7 @@ def with_rates(conf: DataFrame) -> DataFrame:
 
 
 def cumulative_counts(df: DataFrame, label: str = "Class", score: str = "p",
-                      n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Per distinct score, descending: pos, neg and the running TP, FP at that score."""
     sc = score_counts(df, label, score)
     ps = prefix_sums(sc, score, ["pos", "neg"], descending=True, n_buckets=n_buckets)
@@ -63,7 +63,7 @@ def _totals(df: DataFrame, label: str):
 
 
 def auc_ap(df: DataFrame, label: str = "Class", score: str = "p",
-           n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+           n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Exact ROC-AUC (ties at half weight) and average precision in one row.
 
     AUC = sum_i neg_i * (TP_i - pos_i / 2) / (P * N); AP = sum_i pos_i * TP_i / (TP_i + FP_i) / P,
@@ -83,7 +83,7 @@ def auc_ap(df: DataFrame, label: str = "Class", score: str = "p",
 
 
 def roc_curve(df: DataFrame, label: str = "Class", score: str = "p",
-              n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+              n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """One ROC point per distinct score: threshold, fpr, tpr."""
     cc = cumulative_counts(df, label, score, n_buckets)
     tot = _totals(df.where(F.col(score).isNotNull()), label)
@@ -94,7 +94,7 @@ def roc_curve(df: DataFrame, label: str = "Class", score: str = "p",
 
 
 def pr_curve(df: DataFrame, label: str = "Class", score: str = "p",
-             n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+             n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """One PR point per distinct score: threshold, precision, recall, baseline prevalence."""
     cc = cumulative_counts(df, label, score, n_buckets)
     tot = _totals(df.where(F.col(score).isNotNull()), label)
@@ -154,7 +154,7 @@ def last_n_rollup(df: DataFrame, n: int = 100, ts: str = "timestamp", key: str =
 
 def evaluate(df: DataFrame, label: str = "Class", score: str = "p", threshold: float = 0.5,
              model_version: str | None = None, path: str | None = None,
-             n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+             n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """One metric row for a scored table (M8): counts, prevalence, AUC, AP, confusion, rates."""
     y = _label(label)
     hit = F.col(score) >= F.lit(threshold)

@@ -19,11 +19,19 @@ from pyspark.storagelevel import StorageLevel
 
 from .common import checked_broadcast, materialize
 
-DEFAULT_BUCKETS = 64
+DEFAULT_BUCKETS = None  # None: one bucket per shuffle partition (spark.sql.shuffle.partitions)
+
+
+def resolve_buckets(spark, n_buckets: int | None) -> int:
+    """The bucket count: as given, else the session's shuffle partition count, the knob a cluster
+    already sizes so that one partition of the data fits a task."""
+    if n_buckets:
+        return int(n_buckets)
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], by: Sequence[str] = (),
-                descending: bool = False, n_buckets: int = DEFAULT_BUCKETS, with_next: bool = False,
+                descending: bool = False, n_buckets: int | None = DEFAULT_BUCKETS, with_next: bool = False,
                 with_totals: bool = False, materialized: bool = False) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in the order of ``order_col`` within ``by``.
 
@@ -41,6 +49,7 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], by: Sequ
     upstream is computed once (``materialized=True`` when the input already is).
     """
     by = list(by)
+    n_buckets = resolve_buckets(df.sparkSession, n_buckets)
     sign = -1.0 if descending else 1.0
     d = df.where(F.col(order_col).isNotNull()).withColumn("_k", F.col(order_col) * F.lit(sign))
     src = d if materialized else d.persist(StorageLevel.MEMORY_AND_DISK)  # read by the sampling and the write
@@ -101,7 +110,7 @@ def stratified_rank(df: DataFrame, strata: Sequence[str], key_cols: Sequence[str
 
 def ecdf_diff(long_df: DataFrame, sample_col: str = "sample", group_col: str = "column_name",
               value_col: str = "value", ref_tag: str = "ref", cur_tag: str = "cur",
-              n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+              n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Per group and distinct value: the two ECDFs and the gap to the next value (K3).
 
     Input is long: (sample, group, value). Output has group, value, F_ref,

@@ -161,7 +161,7 @@ def histogram(df: DataFrame, column: str, bins: int = 10, by: Sequence[str] = ()
 
 
 def exact_percentiles(df: DataFrame, column: str, qs: Sequence[float],
-                      n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Interpolated percentiles (like quantile_cont), exact and distributed.
 
     Distinct values are counted and ranked through the bucketed prefix sum;

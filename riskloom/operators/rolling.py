@@ -24,7 +24,7 @@ def last_n_per_key(df: DataFrame, key: str, ts: str, tie: str, n: int) -> DataFr
     return df.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n)
 
 
-def exact_rank(df: DataFrame, key: str, order_value: Column, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def exact_rank(df: DataFrame, key: str, order_value: Column, n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """1-based rank of each row within its key by a numeric order value unique per key.
 
     Uses the bucketed prefix count, so no task holds a whole key. Meant for a
@@ -53,7 +53,7 @@ def _chunked(r: DataFrame, key: str, n: int, aggs: dict[str, Column], chunk_rows
 
 
 def trailing_rows(df: DataFrame, key: str, order_value: Column, n: int, aggs: dict[str, Column],
-                  chunk_rows: int = 1_000_000, n_buckets: int = DEFAULT_BUCKETS,
+                  chunk_rows: int = 1_000_000, n_buckets: int | None = DEFAULT_BUCKETS,
                   max_hot_keys: int = 100_000) -> DataFrame:
     """Aggregates over the trailing ``n`` rows (this row and n-1 before it) per key, at every row.
 
@@ -79,7 +79,7 @@ def trailing_rows(df: DataFrame, key: str, order_value: Column, n: int, aggs: di
 
 
 def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, aggs: dict[str, Column],
-             chunk_rows: int = 1_000_000, n_buckets: int = DEFAULT_BUCKETS,
+             chunk_rows: int = 1_000_000, n_buckets: int | None = DEFAULT_BUCKETS,
              max_hot_keys: int = 100_000) -> DataFrame:
     """Activity sessions per key: a session ends after ``gap_seconds`` without an event (T4 session
     form, batch). Output: key, session_start (first event), session_end (last event + gap) and ``aggs``

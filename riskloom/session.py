@@ -34,6 +34,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
         conf.setdefault("spark.driver.memory", "16g")
+        # one host: waiting for a "local" slot for checkpoint reads only adds latency
+        conf.setdefault("spark.locality.wait", "0s")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
