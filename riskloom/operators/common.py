@@ -9,15 +9,13 @@ from pyspark.sql import functions as F
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only when it holds at most ``max_rows`` rows.
 
-    The size is checked by a bounded fetch (``limit(max_rows + 1)``); when it
-    fits, the fetched rows are planned as a local relation and broadcast, so
-    the small side is computed once. When it does not fit, the frame is
-    returned as is and Spark plans a shuffle join.
+    The frame is computed once (a reliable checkpoint), its size is checked
+    with a bounded count (``limit(max_rows + 1)``), and it is broadcast only
+    when it fits; otherwise it is returned for a shuffle join.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    small = df.sparkSession.createDataFrame(rows, df.schema)
+    small = materialize(df)
+    if small.limit(max_rows + 1).count() > max_rows:
+        return small
     return F.broadcast(small)
 
 
