@@ -62,12 +62,18 @@ def newest(df: DataFrame, n: int, ts: str = "timestamp", key: str = "prediction_
 
 def run_monitor(spark: SparkSession, ref: DataFrame, log: DataFrame, numeric: Sequence[str], n_recent: int,
                 report_path: str, trigger_path: str, as_of: Column | None = None,
-                threshold: float = 0.05, retrain_threshold: float = dr.RETRAIN_SHARE) -> DataFrame:
+                threshold: float = 0.05, retrain_threshold: float = dr.RETRAIN_SHARE,
+                since: Column | None = None, ts: str = "timestamp") -> DataFrame:
     """One scheduled check (T6 body): returns the one-row decision; writes the report, and the trigger
-    when it fires. A failure becomes a row (triggered = false, error) instead of an exception (R14)."""
+    when it fires. A failure becomes a row (triggered = false, error) instead of an exception (R14).
+
+    ``since`` bounds the log scan (``ts >= since`` is pushed into the Parquet scan); without it the
+    newest-n selection is a top-k over the whole log (each task keeps its local top n).
+    """
     as_of = as_of if as_of is not None else F.current_timestamp()
     try:
-        res = drift_check(ref, newest(log, n_recent), numeric, (), threshold, retrain_threshold)
+        recent_log = log.where(F.col(ts) >= since) if since is not None else log
+        res = drift_check(ref, newest(recent_log, n_recent, ts), numeric, (), threshold, retrain_threshold)
         report = logs.report_rows(res.table, res.summary, res.histograms, as_of)
         logs.write_report(report, report_path)
         payload = dr.trigger_payload(res.decision, res.table, res.warnings, as_of)

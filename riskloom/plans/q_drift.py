@@ -8,16 +8,13 @@ from pyspark.sql import functions as F
 from ..operators import drift as dr
 from ..sources import fixtures as fx
 from .registry import query
+from .registry import round_cols as _r
 
 THRESHOLD = 0.05
 TX_NUM = ["Amount", "Time"]
 FEAT_NUM = [f"V{i}" for i in range(1, 29)] + ["Amount"]
 
 
-def _r(df, cols, d=6):
-    return df.select(*[F.round(c, d).alias(c) if c in cols else F.col(c) for c in df.columns])
-
-
 def long_sql(ref: str, cur: str, cols, value_type: str = "DOUBLE") -> str:
     parts = [f"SELECT '{s}' AS sample, '{c}' AS column_name, CAST(\"{c}\" AS {value_type}) AS value FROM {v}"
              for s, v in (("ref", ref), ("cur", cur)) for c in cols]

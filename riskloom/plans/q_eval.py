@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import evaluate as ev
 from ..sources import fixtures as fx
 from .registry import query
+from .registry import round_cols as _r6
 
 # Fixed query parameters.
 THRESHOLD = 0.25
@@ -14,10 +15,6 @@ SWEEP = [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5]
 LAST_N = 100
 
 
-def _r6(df, cols):
-    return df.select(*[F.round(c, 6).alias(c) if c in cols else F.col(c) for c in df.columns])
-
-
 _SC = """sc AS (SELECT p, count_if("Class" = 1) AS pos, count_if("Class" <> 1) AS neg
              FROM scored WHERE p IS NOT NULL GROUP BY p),
 cc AS (SELECT p, pos, neg,

@@ -8,6 +8,7 @@ from ..operators import features as fe
 from ..operators import profile as pr
 from ..sources import fixtures as fx
 from .registry import query
+from .registry import round_cols as _r
 
 SEED = 42
 VCOLS = [f"V{i}" for i in range(1, 29)]
@@ -23,10 +24,6 @@ def split_sql(view: str, seed: int = SEED) -> str:
                count(*) OVER (PARTITION BY "Class") AS n FROM {view}) r)"""
 
 
-def _r(df, cols, d=6):
-    return df.select(*[F.round(c, d).alias(c) if c in cols else F.col(c) for c in df.columns])
-
-
 @query("d6_stratified_split", f"""WITH {split_sql('tx')} SELECT tx_id, "Class", split FROM spl""", ("tx",))
 def d6_stratified_split(spark, sf):
     return fe.stratified_split(fx.tx(spark, sf).select("tx_id", "Class"), "Class", "tx_id", SEED)

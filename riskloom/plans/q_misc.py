@@ -14,10 +14,7 @@ from ..sources import fixtures as fx
 from ..sources import logs
 from ..sources.tables import FEATURES, fixture_table
 from .registry import query
-
-
-def _r(df, cols, d=6):
-    return df.select(*[F.round(c, d).alias(c) if c in cols else F.col(c) for c in df.columns])
+from .registry import round_cols as _r
 
 
 @query("x9_row_uid", """

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ..operators import profile as pr
 from ..sources import fixtures as fx
 from ..sources.tables import fixture_table
 from .registry import query
+from .registry import round_cols as _r
 
 FEATS = [f"V{i}" for i in range(1, 29)] + ["Amount"]
 NUM_COLS = fx.NUM_FEATURES + ["Class"]
@@ -21,10 +21,6 @@ LINEITEM_TYPES = [
 ]
 
 
-def _r(df, cols, d=6):
-    return df.select(*[F.round(c, d).alias(c) if c in cols else F.col(c) for c in df.columns])
-
-
 @query("p1_shape", """SELECT CAST(count(*) AS BIGINT) AS n_rows, 6 AS n_cols FROM tx""", ("tx",))
 def p1_shape(spark, sf):
     return pr.shape(fx.tx(spark, sf))

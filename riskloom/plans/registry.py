@@ -6,6 +6,7 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .oracle_views import with_views
 
@@ -35,3 +36,8 @@ def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()):
         return fn
 
     return deco
+
+
+def round_cols(df: DataFrame, cols, places: int = 6) -> DataFrame:
+    """Round the named float columns (both engines agree after rounding; the rest pass through)."""
+    return df.select(*[F.round(c, places).alias(c) if c in cols else F.col(c) for c in df.columns])

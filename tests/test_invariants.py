@@ -123,3 +123,15 @@ def test_sessions_equal_session_window_with_a_hot_key(spark, chunk):
     g = sorted((r.k, r.session_start, r.session_end, r.n, round(r.v, 6)) for r in got.collect())
     h = sorted((r.k, r.session_start, r.session_end, r.n, round(r.v, 6)) for r in want.collect())
     assert g == h
+
+
+SLOW = ("m4_", "m7_", "m8_evaluate_model")
+
+
+@pytest.mark.parametrize("name", sorted(n for n in E.queries() if not n.startswith(SLOW)))
+def test_no_cartesian_or_nested_loop_join(spark, name):
+    df = E.queries()[name](spark, SF)
+    df.write.format("noop").mode("overwrite").save()
+    plan = _plan(df)
+    assert "CartesianProduct" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan

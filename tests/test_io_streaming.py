@@ -162,12 +162,15 @@ def test_scoring_stream_logs_every_valid_row(spark, tmp_path_factory, tmp_dir):
     rows = fx.feat(spark, SF).drop("split")
     st.write_replay(rows, src_dir, "ts", 2)
     src = st.event_time(st.file_source(spark, src_dir, rows.schema), "ts")
-    rules = [("Amount must be >= 0", F.col("Amount") >= 0)]
+    rules = [("Amount must be >= 0", F.col("Amount") >= 0), ("Amount must be < 300", F.col("Amount") < 300)]
     out, bad = os.path.join(tmp_dir, "log"), os.path.join(tmp_dir, "bad")
     q = st.scoring_query(src, model, stats, rules, out, bad, os.path.join(tmp_dir, "ck"))
     _drain(q)
     log = spark.read.parquet(out)
-    assert log.count() == rows.count()
+    rejected = spark.read.parquet(bad)
+    assert log.count() == rows.where("Amount < 300").count()
+    assert rejected.count() == rows.where("Amount >= 300").count() > 0
+    assert {tuple(r.errors) for r in rejected.select("errors").collect()} == {("Amount must be < 300",)}
     assert log.where("fraud_probability < 0 or fraud_probability > 1").count() == 0
 
 
