@@ -65,20 +65,16 @@ def numeric_tests(long: DataFrame, threshold: float = 0.05, ref_tag: str = "ref"
     """
     e = ecdf_diff(long, ref_tag=ref_tag, cur_tag=cur_tag, n_buckets=n_buckets)
     gap = F.abs(F.col("F_ref") - F.col("F_cur"))
+    # one aggregate over the per-value table: KS, Wasserstein-1 and the reference population std
+    # (two-pass: the reference mean comes with every row from the prefix-sum totals)
     per = e.groupBy("column_name").agg(
         F.max(gap).alias("ks_stat"), F.sum(gap * F.col("dx")).alias("wasserstein"),
-        F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"))
-    # population std of the reference, two passes over the per-value counts (not the raw rows)
-    mean_ref = e.groupBy("column_name").agg(
-        (F.sum(F.col("c_ref") * F.col("value")) / F.sum("c_ref")).alias("_mean"))
-    std_ref = (e.join(F.broadcast(mean_ref), "column_name")
-               .groupBy("column_name")
-               .agg(F.sqrt(F.sum(F.col("c_ref") * F.pow(F.col("value") - F.col("_mean"), 2)) / F.sum("c_ref"))
-                    .alias("std_ref")))
+        F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"),
+        F.sqrt(F.try_divide(F.sum(F.col("c_ref") * F.pow(F.col("value") - F.col("mean_ref"), 2)),
+                            F.first("n_ref"))).alias("std_ref"))
     n, m = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
     lam = F.col("ks_stat") * F.sqrt(n * m / (n + m))
     out = (per.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
-           .join(std_ref, "column_name", "left")
            .withColumn("ks_pvalue", ks_pvalue(lam))
            .withColumn("wasserstein_normed",
                        F.col("wasserstein") / F.greatest(F.col("std_ref"), F.lit(WASSERSTEIN_MIN_NORM))))

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import literal_bucket, zero_div
+from .common import literal_bucket, materialize, zero_div
 from .prefix import DEFAULT_BUCKETS, prefix_sums
 
 
@@ -49,27 +49,24 @@ def with_rates(conf: DataFrame) -> DataFrame:
 
 
 def cumulative_counts(df: DataFrame, label: str = "Class", score: str = "p",
-                      n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
-    """Per distinct score, descending: pos, neg and the running TP, FP at that score."""
-    sc = score_counts(df, label, score)
-    ps = prefix_sums(sc, score, ["pos", "neg"], descending=True, n_buckets=n_buckets)
-    return ps.withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp")
-
-
-def _totals(df: DataFrame, label: str):
-    """(n_pos, n_neg) as one struct-valued scalar subquery."""
-    return df.agg(F.struct(F.count_if(_label(label)).alias("n_pos"),
-                           F.count_if(~_label(label)).alias("n_neg"))).scalar()
+                      n_buckets: int | None = DEFAULT_BUCKETS, counts: DataFrame | None = None) -> DataFrame:
+    """Per distinct score, descending: pos, neg, the running TP, FP at that score (W5) and the totals
+    n_pos, n_neg. ``counts`` may pass an already materialized ``score_counts`` table."""
+    sc = counts if counts is not None else score_counts(df, label, score)
+    ps = prefix_sums(sc.where(F.col(score).isNotNull()), score, ["pos", "neg"], descending=True,
+                     n_buckets=n_buckets, with_totals=True, materialized=counts is not None)
+    return (ps.withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp")
+            .withColumnRenamed("tot_pos", "n_pos").withColumnRenamed("tot_neg", "n_neg"))
 
 
 def auc_ap(df: DataFrame, label: str = "Class", score: str = "p",
-           n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
+           n_buckets: int | None = DEFAULT_BUCKETS, counts: DataFrame | None = None) -> DataFrame:
     """Exact ROC-AUC (ties at half weight) and average precision in one row.
 
     AUC = sum_i neg_i * (TP_i - pos_i / 2) / (P * N); AP = sum_i pos_i * TP_i / (TP_i + FP_i) / P,
     with TP_i, FP_i the counts at scores >= s_i. One class only gives null.
     """
-    cc = cumulative_counts(df.where(F.col(score).isNotNull()), label, score, n_buckets)
+    cc = cumulative_counts(df, label, score, n_buckets, counts)
     parts = cc.agg(
         F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2.0)).alias("_auc_num"),
         F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("_ap_num"),
@@ -84,25 +81,23 @@ def auc_ap(df: DataFrame, label: str = "Class", score: str = "p",
 
 def roc_curve(df: DataFrame, label: str = "Class", score: str = "p",
               n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
-    """One ROC point per distinct score: threshold, fpr, tpr."""
+    """One ROC point per distinct score: threshold, fpr, tpr (A11). Totals come with the running sums."""
     cc = cumulative_counts(df, label, score, n_buckets)
-    tot = _totals(df.where(F.col(score).isNotNull()), label)
     return cc.select(
         F.col(score).alias("threshold"),
-        F.try_divide(F.col("fp"), tot["n_neg"]).alias("fpr"),
-        F.try_divide(F.col("tp"), tot["n_pos"]).alias("tpr"))
+        F.try_divide(F.col("fp"), F.col("n_neg")).alias("fpr"),
+        F.try_divide(F.col("tp"), F.col("n_pos")).alias("tpr"))
 
 
 def pr_curve(df: DataFrame, label: str = "Class", score: str = "p",
              n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """One PR point per distinct score: threshold, precision, recall, baseline prevalence."""
     cc = cumulative_counts(df, label, score, n_buckets)
-    tot = _totals(df.where(F.col(score).isNotNull()), label)
     return cc.select(
         F.col(score).alias("threshold"),
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-        F.try_divide(F.col("tp"), tot["n_pos"]).alias("recall"),
-        F.try_divide(tot["n_pos"], tot["n_pos"] + tot["n_neg"]).alias("baseline"))
+        F.try_divide(F.col("tp"), F.col("n_pos")).alias("recall"),
+        F.try_divide(F.col("n_pos"), F.col("n_pos") + F.col("n_neg")).alias("baseline"))
 
 
 def threshold_sweep(df: DataFrame, thresholds: Sequence[float], label: str = "Class",
@@ -155,15 +150,20 @@ def last_n_rollup(df: DataFrame, n: int = 100, ts: str = "timestamp", key: str =
 def evaluate(df: DataFrame, label: str = "Class", score: str = "p", threshold: float = 0.5,
              model_version: str | None = None, path: str | None = None,
              n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
-    """One metric row for a scored table (M8): counts, prevalence, AUC, AP, confusion, rates."""
-    y = _label(label)
+    """One metric row for a scored table (M8): counts, prevalence, AUC, AP, confusion, rates.
+
+    The raw table is scanned once: its per-score counts (null scores kept as their own group) are
+    materialized, and the counts, confusion cells and the ordered AUC / AP sums all read that table.
+    """
+    sc = materialize(df.groupBy(score).agg(F.count_if(_label(label)).alias("pos"),
+                                           F.count_if(~_label(label)).alias("neg")))
     hit = F.col(score) >= F.lit(threshold)
-    base = with_rates(df.agg(  # counts and the confusion cells in one pass
-        F.count(F.lit(1)).alias("n"), F.count_if(y).alias("positives"),
-        F.avg(F.col(label).cast("double")).alias("prevalence"),
-        F.count_if(~y & ~hit).alias("tn"), F.count_if(~y & hit).alias("fp"),
-        F.count_if(y & ~hit).alias("fn"), F.count_if(y & hit).alias("tp")))
-    m = auc_ap(df, label, score, n_buckets).select(F.struct("roc_auc", "average_precision")).scalar()
+    n = F.sum(F.col("pos") + F.col("neg"))
+    base = with_rates(sc.agg(  # counts and the confusion cells from the per-score table
+        n.alias("n"), F.sum("pos").alias("positives"), (F.sum("pos") / n).alias("prevalence"),
+        F.sum(F.when(~hit, F.col("neg")).otherwise(0)).alias("tn"), F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("fp"),
+        F.sum(F.when(~hit, F.col("pos")).otherwise(0)).alias("fn"), F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp")))
+    m = auc_ap(df, label, score, n_buckets, counts=sc).select(F.struct("roc_auc", "average_precision")).scalar()
     return (base.select("*", m["roc_auc"].alias("roc_auc"), m["average_precision"].alias("average_precision"))
             .withColumn("threshold", F.lit(float(threshold)))
             .withColumn("improvement_over_random", F.try_divide(F.col("average_precision"), F.col("prevalence")))

@@ -113,19 +113,22 @@ def ecdf_diff(long_df: DataFrame, sample_col: str = "sample", group_col: str = "
               n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Per group and distinct value: the two ECDFs and the gap to the next value (K3).
 
-    Input is long: (sample, group, value). Output has group, value, F_ref,
-    F_cur (ECDFs at the value) and dx (distance to the next distinct value
-    of the pooled sample, 0 at the last one).
+    Input is long: (sample, group, value). Output has group, value, the
+    per-value counts, the sample sizes, the reference mean, F_ref and F_cur
+    (ECDFs at the value) and dx (distance to the next distinct value of the
+    pooled sample, 0 at the last one).
     """
     is_ref = F.col(sample_col) == ref_tag
     is_cur = F.col(sample_col) == cur_tag
     counts = (long_df.where(F.col(value_col).isNotNull())
               .groupBy(group_col, value_col)
-              .agg(F.count_if(is_ref).alias("c_ref"), F.count_if(is_cur).alias("c_cur")))
-    ps = prefix_sums(counts, value_col, ["c_ref", "c_cur"], by=[group_col], n_buckets=n_buckets,
+              .agg(F.count_if(is_ref).alias("c_ref"), F.count_if(is_cur).alias("c_cur"))
+              .withColumn("cv_ref", F.col("c_ref") * F.col(value_col)))
+    ps = prefix_sums(counts, value_col, ["c_ref", "c_cur", "cv_ref"], by=[group_col], n_buckets=n_buckets,
                      with_next=True, with_totals=True)
     return (ps.withColumnRenamed("tot_c_ref", "n_ref").withColumnRenamed("tot_c_cur", "n_cur")
             .select(group_col, value_col, "c_ref", "c_cur", "n_ref", "n_cur",
+                    F.try_divide(F.col("tot_cv_ref"), F.col("n_ref")).alias("mean_ref"),
                     F.try_divide(F.col("cum_c_ref"), F.col("n_ref")).alias("F_ref"),
                     F.try_divide(F.col("cum_c_cur"), F.col("n_cur")).alias("F_cur"),
                     F.coalesce(F.col(f"next_{value_col}") - F.col(value_col), F.lit(0.0)).alias("dx")))
