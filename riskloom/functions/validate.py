@@ -60,8 +60,21 @@ def check_signature(df: DataFrame, signature: Sequence[tuple[str, T.DataType]],
 
 
 def signature_report(df: DataFrame, signature: Sequence[tuple[str, T.DataType]]) -> DataFrame:
-    """column_name, expected_type, actual_type, ok — the signature check as a table."""
-    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    rows = [(n, t.simpleString(), have.get(n), have.get(n) == t.simpleString()) for n, t in signature]
-    return df.sparkSession.createDataFrame(
-        rows, "column_name string, expected_type string, actual_type string, ok boolean")
+    """column_name, expected_type, actual_type, non_null, nulls, ok: the signature checked against the
+    schema and, in one aggregate pass, against the data (a required input must be present, of the
+    expected type and never null) (P7, S5)."""
+    from ..operators.profile import column_info
+
+    present = [n for n, _ in signature if n in df.columns]
+    info = column_info(df, present) if present else None
+    sig = df.sparkSession.createDataFrame([(n, t.simpleString()) for n, t in signature],
+                                          "column_name string, expected_type string")
+    if info is None:
+        out = sig.select("*", F.lit(None).cast("string").alias("actual_type"), F.lit(None).cast("long").alias("non_null"),
+                         F.lit(None).cast("long").alias("nulls"))
+    else:
+        out = sig.join(info.select("column_name", F.col("dtype").alias("actual_type"), "non_null", "nulls"),
+                       "column_name", "left")
+    ok = F.coalesce(F.col("actual_type") == F.col("expected_type"), F.lit(False)) & F.coalesce(
+        F.col("nulls") == 0, F.lit(False))
+    return out.withColumn("ok", ok)

@@ -271,35 +271,69 @@ def t4_session_rollup(spark, sf):
     return _r(s.select("user_id", "session_start", "session_end", "count", "avg_probability"), ["avg_probability"])
 
 
-@query("p5_u1_u3_column_sets")
+# The fixture layouts as the oracle states them (see sources/fixtures.py).
+FEAT_COLUMNS = ["tx_id", "ts", "Time"] + [f"V{i}" for i in range(1, 29)] + ["Amount", "Class"]
+TX_COLUMNS = ["tx_id", "ts", "user_id", "Time", "Amount", "Class"]
+EXPECTED_REQUEST = FEATURES + ["fraud_probability"]
+
+
+def _p5_sql():
+    names = list(dict.fromkeys(EXPECTED_REQUEST + FEAT_COLUMNS + TX_COLUMNS))
+    rows = []
+    for n in names:
+        e, r, c = n in EXPECTED_REQUEST, n in FEAT_COLUMNS, n in TX_COLUMNS
+        ref = f'(SELECT CAST(count("{n}") AS BIGINT) FROM feat)' if r else "CAST(NULL AS BIGINT)"
+        cur = f'(SELECT CAST(count("{n}") AS BIGINT) FROM tx)' if c else "CAST(NULL AS BIGINT)"
+        rows.append(f"SELECT '{n}' AS column_name, {str(e).lower()} AS expected, {str(r).lower()} AS in_reference, "
+                    f"{str(c).lower()} AS in_current, {str(e and r and c).lower()} AS testable, "
+                    f"{str(e and not r).lower()} AS missing_from_reference, {ref} AS ref_non_null, {cur} AS cur_non_null")
+    return " UNION ALL ".join(rows)
+
+
+@query("p5_u1_u3_column_sets", _p5_sql(), ("feat", "tx"))
 def p5_u1_u3_column_sets(spark, sf):
     """Expected request columns against the reference sample (feat) and a current sample (tx):
-    union (U1), missing (U2), testable intersection (U3) as set operations on column-name frames."""
-    expected = FEATURES + ["fraud_probability"]
-    ref_cols = fx.feat(spark, sf).columns
-    cur_cols = fx.tx(spark, sf).columns
-
-    def names(cols):
-        return spark.createDataFrame([(c,) for c in cols], "column_name string")
-
-    e, r, c = names(expected), names(ref_cols), names(cur_cols)
+    union (U1), missing (U2) and testable intersection (U3) as set operations on column-name frames,
+    with each sample's non-null count per column from one aggregate pass over its rows (P2, P5)."""
+    from ..operators.profile import column_info
+
+    expected = EXPECTED_REQUEST
+    ref_info = column_info(fx.feat(spark, sf)).select("column_name", F.col("non_null").alias("ref_non_null"))
+    cur_info = column_info(fx.tx(spark, sf)).select("column_name", F.col("non_null").alias("cur_non_null"))
+    e = spark.createDataFrame([(c,) for c in expected], "column_name string")
+    r, c = ref_info.select("column_name"), cur_info.select("column_name")
     allc = e.union(r).union(c).distinct()                       # U1
     testable = e.intersect(r).intersect(c)                     # U3
     missing_ref = e.subtract(r)                                # U2
     return (allc.join(testable.withColumn("testable", F.lit(True)), "column_name", "left")
             .join(missing_ref.withColumn("missing_from_reference", F.lit(True)), "column_name", "left")
+            .join(ref_info, "column_name", "left").join(cur_info, "column_name", "left")
             .select("column_name", F.col("column_name").isin(expected).alias("expected"),
-                    F.col("column_name").isin(ref_cols).alias("in_reference"),
-                    F.col("column_name").isin(cur_cols).alias("in_current"),
+                    F.col("ref_non_null").isNotNull().alias("in_reference"),
+                    F.col("cur_non_null").isNotNull().alias("in_current"),
                     F.coalesce("testable", F.lit(False)).alias("testable"),
-                    F.coalesce("missing_from_reference", F.lit(False)).alias("missing_from_reference")))
+                    F.coalesce("missing_from_reference", F.lit(False)).alias("missing_from_reference"),
+                    "ref_non_null", "cur_non_null"))
 
 
 V2_SIGNATURE = [(c, T.DoubleType()) for c in FEATURES] + [("amount_log", T.DoubleType()),
                                                          ("amount_zscore", T.DoubleType())]
 
 
-@query("p7_signature_report")
+def _p7_sql():
+    rows = []
+    for n, t in V2_SIGNATURE:
+        if n in FEAT_COLUMNS:
+            rows.append(f"SELECT '{n}' AS column_name, '{t.simpleString()}' AS expected_type, 'double' AS actual_type, "
+                        f'CAST(count("{n}") AS BIGINT) AS non_null, CAST(count(*) - count("{n}") AS BIGINT) AS nulls, '
+                        f'count(*) - count("{n}") = 0 AS ok FROM feat')
+        else:
+            rows.append(f"SELECT '{n}', '{t.simpleString()}', CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT), "
+                        f"CAST(NULL AS BIGINT), false")
+    return " UNION ALL ".join(rows)
+
+
+@query("p7_signature_report", _p7_sql(), ("feat",))
 def p7_signature_report(spark, sf):
     """The v2 signature (31 inputs) against the feat layout: the two derived inputs are missing."""
     return va.signature_report(fx.feat(spark, sf), V2_SIGNATURE)
