@@ -108,9 +108,33 @@ def r3_chisquare_statistic(spark, sf):
     return _r(t.select("column_name", "chi2_stat", "k", "new_categories", "n_ref", "n_cur"), ["chi2_stat"])
 
 
-@query("r5_drift_table_mixed")
+def _chi2_sql(ref: str, cur: str, cols, threshold: float = THRESHOLD) -> str:
+    """CTE chain ending in `ct`: the categorical rows of the drift table. The chi-squared survival
+    function is written in closed form for an even number of degrees of freedom,
+    exp(-x/2) * sum_{i < dof/2} (x/2)^i / i!; an odd count gives null (no such column here)."""
+    return f"""clng AS ({long_sql(ref, cur, cols, 'VARCHAR')}),
+ccnt AS (SELECT column_name, value, count_if(sample = 'ref') AS c_ref, count_if(sample = 'cur') AS c_cur
+         FROM clng WHERE value IS NOT NULL GROUP BY 1, 2),
+ctot AS (SELECT column_name, count_if(sample = 'ref') AS n_ref, count_if(sample = 'cur') AS n_cur
+         FROM clng WHERE value IS NOT NULL GROUP BY 1),
+cj AS (SELECT ccnt.*, n_ref, n_cur, c_ref * n_cur / n_ref AS ex FROM ccnt JOIN ctot USING (column_name)
+       WHERE n_ref > 0 AND n_cur > 0),
+cst AS (SELECT column_name, coalesce(sum(CASE WHEN ex > 0 THEN pow(c_cur - ex, 2) / ex END), 0.0) AS x,
+               count(*) AS k, count_if(ex = 0 AND c_cur > 0) AS new_cats,
+               any_value(n_ref) AS n_ref, any_value(n_cur) AS n_cur FROM cj GROUP BY column_name),
+cp AS (SELECT column_name, CASE WHEN new_cats > 0 THEN 0.0 WHEN k < 2 THEN 1.0
+                                WHEN (k - 1) % 2 = 0 THEN exp(-x / 2) * sum(pow(x / 2, i) / factorial(CAST(i AS INTEGER)))
+                           END AS p
+       FROM cst, range(0, 200) t(i) WHERE i < greatest((k - 1) / 2, 1) GROUP BY column_name, x, k, new_cats),
+ct AS (SELECT column_name, 'cat' AS column_type, '{dr.CHISQUARE_NAME}' AS stattest_name,
+              CAST({threshold} AS DOUBLE) AS stattest_threshold, p AS drift_score, p < {threshold} AS drift_detected,
+              CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur FROM cst JOIN cp USING (column_name))"""
+
+
+@query("r5_drift_table_mixed", f"""WITH {numeric_drift_sql('refe', 'cure', TX_NUM)}, {_chi2_sql('refe', 'cure', ['event_type'])}
+SELECT {_DT_COLS} FROM dt UNION ALL SELECT {_DT_COLS} FROM ct""", ("refe", "cure"))
 def r5_drift_table_mixed(spark, sf):
-    """Numeric and categorical columns in one table; the chi-squared p-value has no SQL twin."""
+    """Numeric and categorical columns in one table (K-S / Wasserstein and chi-squared)."""
     ref, cur = fx.ref_cur(spark, sf, fx.tx_typed(spark, sf))
     return _table_out(dr.drift_table(ref, cur, TX_NUM, ["event_type"], threshold=THRESHOLD))
 
