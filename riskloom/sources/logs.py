@@ -68,7 +68,9 @@ def new_predictions(batch: DataFrame, log: DataFrame, key: str = "prediction_id"
     order = [F.asc(arrival)] + ([F.asc(tie)] if tie else [])
     w = Window.partitionBy(key).orderBy(*order)
     first = batch.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-    return first.join(log.select(key), key, "left_anti")
+    # distinct ids first (partial aggregation before the shuffle): copies of one id in the log
+    # collapse to one row instead of forming a hot join key
+    return first.join(log.select(key).distinct(), key, "left_anti")
 
 
 def append_predictions(batch: DataFrame, path: str, key: str = "prediction_id") -> int:
