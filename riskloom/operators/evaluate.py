@@ -131,6 +131,12 @@ def threshold_sweep(df: DataFrame, thresholds: Sequence[float], label: str = "Cl
     return with_rates(conf)
 
 
+def with_late_labels(scored: DataFrame, labels: DataFrame, key: str, label: str = "Class") -> DataFrame:
+    """Logged predictions joined to labels that arrive later, by id (J6); unlabelled rows are left out.
+    A keyed equi-join: the planner / AQE choose the strategy and split skewed keys."""
+    return scored.join(labels.select(key, label), key, "inner")
+
+
 def last_n(df: DataFrame, n: int, ts: str = "timestamp", key: str = "prediction_id") -> DataFrame:
     """Newest ``n`` rows, newest first; the id breaks timestamp ties."""
     return df.orderBy(F.desc(ts), F.asc(key)).limit(n)

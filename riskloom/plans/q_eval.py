@@ -157,3 +157,27 @@ def m12_version_comparison(spark, sf):
     v2 = ev.evaluate(s.withColumn("p", F.col("l_discount") * 5.0), "Class", "p", THRESHOLD, model_version="v2")
     cmp = ev.compare_versions(v1.unionByName(v2), ["v1", "v2"])
     return _r6(cmp, ["v1", "v2", "change"])
+
+
+_LL = """ll AS (SELECT p.prediction_id, p.fraud_probability, t."Class" FROM pred p JOIN tx t
+              ON p.prediction_id = CAST(t.tx_id AS VARCHAR)),
+lsc AS (SELECT fraud_probability AS p, count_if("Class" = 1) AS pos, count_if("Class" <> 1) AS neg FROM ll GROUP BY 1),
+lcc AS (SELECT p, pos, neg,
+         sum(pos) OVER (ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+         sum(neg) OVER (ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp FROM lsc),
+ltot AS (SELECT sum(pos) AS n_pos, sum(neg) AS n_neg FROM lsc)"""
+
+
+@query("j6_late_label_metrics", f"""WITH {_LL}
+SELECT CAST((SELECT count(*) FROM ll) AS BIGINT) AS n_labelled,
+       round(CASE WHEN n_pos > 0 AND n_neg > 0 THEN (SELECT sum(neg * (tp - pos / 2.0)) FROM lcc) / (n_pos * n_neg) END, 6) AS roc_auc,
+       round(CASE WHEN n_pos > 0 THEN (SELECT sum(pos * tp / (tp + fp)) FROM lcc) / n_pos END, 6) AS average_precision
+FROM ltot""", ("pred", "tx"))
+def j6_late_label_metrics(spark, sf):
+    """The prediction log evaluated against labels that arrive later (the transactions' Class), by id."""
+    p = fx.pred(spark, sf).select("prediction_id", "fraud_probability")
+    labels = fx.tx(spark, sf).select(F.col("tx_id").cast("string").alias("prediction_id"), "Class")
+    j = ev.with_late_labels(p, labels, "prediction_id")
+    m = ev.auc_ap(j, "Class", "fraud_probability")
+    return _r6(m.select(j.agg(F.count(F.lit(1))).scalar().alias("n_labelled"), "roc_auc", "average_precision"),
+               ["roc_auc", "average_precision"])
