@@ -143,3 +143,19 @@ FROM per, grid GROUP BY "Class", grid.x""", ("feat",))
 def a18_kde(spark, sf):
     k = pr.kde(fx.feat(spark, sf), "Amount", "Class", bins=200, grid=100)
     return _r(_r(k, ["x"]), ["density"], 9)
+
+
+@query("a15_latency_histogram", """
+WITH d AS (SELECT latency AS x FROM lat WHERE latency IS NOT NULL),
+s AS (SELECT min(x) AS mn, max(x) AS mx, count(*) AS n FROM d),
+c AS (SELECT CAST(CASE WHEN mx > mn THEN least(floor((x - mn) / (mx - mn) * 30), 29) ELSE 0 END AS INTEGER) AS bin,
+             count(*) AS cnt FROM d, s GROUP BY 1),
+g AS (SELECT CAST(b AS INTEGER) AS bin, mn, mx, n FROM s, range(0, 30) t(b))
+SELECT g.bin, round(mn + (mx - mn) / 30.0 * g.bin, 9) AS lo, round(mn + (mx - mn) / 30.0 * (g.bin + 1), 9) AS hi,
+       CAST(coalesce(cnt, 0) AS BIGINT) AS count,
+       round(coalesce(cnt, 0) / (n * CASE WHEN (mx - mn) / 30.0 > 0 THEN (mx - mn) / 30.0 END), 6) AS density
+FROM g LEFT JOIN c ON g.bin = c.bin""", ("lat",))
+def a15_latency_histogram(spark, sf):
+    """The load-test latency histogram: 30 equal-width bins as a density."""
+    h = pr.histogram(fx.lat(spark, sf), "latency", 30)
+    return _r(_r(h, ["lo", "hi"], 9), ["density"], 6)

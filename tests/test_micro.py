@@ -250,3 +250,20 @@ def test_nulls_are_left_out_of_a_columns_test(spark):
     cur = spark.createDataFrame([(float(v),) for v in range(35)] + [(None,)] * 9, "x double")
     t = dr.drift_table(ref, cur, ["x"]).collect()[0]
     assert (t.n_ref, t.n_cur) == (40, 35)
+
+
+def test_missing_timestamp_defaults_to_as_of(spark):
+    rows = [("a", None, 1.0, 0.2, False, "1")]
+    df = spark.createDataFrame(rows, "prediction_id string, timestamp timestamp_ntz, amount double, "
+                                     "fraud_probability double, is_fraud boolean, model_version string")
+    out = logs.conform(df, as_of=F.lit("2026-03-07 15:53:12").cast("timestamp_ntz")).collect()[0]
+    assert str(out.timestamp) == "2026-03-07 15:53:12"
+
+
+def test_timestamp_texts(spark):
+    from riskloom.functions import scalars as sc
+
+    df = spark.createDataFrame([("2026-03-07 15:53:12",)], "t string").select(F.col("t").cast("timestamp").alias("t"))
+    r = df.select(sc.compact_stamp("t").alias("a"), sc.iso_utc("t").alias("b")).collect()[0]
+    assert r.a == "20260307T155312Z"
+    assert r.b == "2026-03-07T15:53:12.000000Z"
