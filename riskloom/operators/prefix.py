@@ -14,7 +14,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-
 from pyspark.storagelevel import StorageLevel
 
 from .common import checked_broadcast, materialize
@@ -30,6 +29,10 @@ def resolve_buckets(spark, n_buckets: int | None) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def _unsign(c, descending: bool):
+    return -c if descending else c
+
+
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], by: Sequence[str] = (),
                 descending: bool = False, n_buckets: int | None = DEFAULT_BUCKETS, with_next: bool = False,
                 with_totals: bool = False, materialized: bool = False) -> DataFrame:
@@ -50,8 +53,9 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], by: Sequ
     """
     by = list(by)
     n_buckets = resolve_buckets(df.sparkSession, n_buckets)
-    sign = -1.0 if descending else 1.0
-    d = df.where(F.col(order_col).isNotNull()).withColumn("_k", F.col(order_col) * F.lit(sign))
+    # negation keeps the column type (no cast of large integers to double)
+    d = df.where(F.col(order_col).isNotNull()).withColumn(
+        "_k", -F.col(order_col) if descending else F.col(order_col))
     src = d if materialized else d.persist(StorageLevel.MEMORY_AND_DISK)  # read by the sampling and the write
     bucketed = materialize(src.repartitionByRange(n_buckets, *[F.col(c) for c in by], F.col("_k"))
                            .withColumn("_bucket", F.spark_partition_id()))
@@ -75,7 +79,7 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], by: Sequ
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols = [F.col(f"_o_{c}") + F.sum(c).over(upto) for c in sum_cols]
     return out.select(*df.columns, *[c.alias(f"cum_{n}") for c, n in zip(cols, sum_cols)],
-                      *([(F.coalesce(F.lead("_k").over(w), F.col("_next_bmin")) * F.lit(sign))
+                      *([_unsign(F.coalesce(F.lead("_k").over(w), F.col("_next_bmin")), descending)
                          .alias(f"next_{order_col}")] if with_next else []),
                       *([F.col(f"tot_{c}") for c in sum_cols] if with_totals else []))
 

@@ -267,3 +267,12 @@ def test_timestamp_texts(spark):
     r = df.select(sc.compact_stamp("t").alias("a"), sc.iso_utc("t").alias("b")).collect()[0]
     assert r.a == "20260307T155312Z"
     assert r.b == "2026-03-07T15:53:12.000000Z"
+
+
+def test_exact_rank_keeps_large_integer_order(spark):
+    from riskloom.operators import rolling as ro
+
+    base = 2 ** 60
+    df = spark.createDataFrame([("k", base + i) for i in (3, 1, 2, 0)], "key string, o long")
+    got = {r.o - base: r._rank for r in ro.exact_rank(df, "key", F.col("o"), 2).collect()}
+    assert got == {0: 1, 1: 2, 2: 3, 3: 4}
