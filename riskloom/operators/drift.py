@@ -57,13 +57,13 @@ def ks_pvalue(lam: Column) -> Column:
 
 
 def numeric_tests(long: DataFrame, threshold: float = 0.05, ref_tag: str = "ref", cur_tag: str = "cur",
-                  n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
+                  n_buckets: int | None = DEFAULT_BUCKETS, weight_col: str | None = None) -> DataFrame:
     """Per numeric column: KS statistic and p-value, normed Wasserstein-1, the chosen test and verdict.
 
     Test choice follows the reference size: at most 1,000 reference rows -> K-S
     (drift when p < threshold), else normed Wasserstein (drift when score >= threshold).
     """
-    e = ecdf_diff(long, ref_tag=ref_tag, cur_tag=cur_tag, n_buckets=n_buckets)
+    e = ecdf_diff(long, ref_tag=ref_tag, cur_tag=cur_tag, n_buckets=n_buckets, weight_col=weight_col)
     gap = F.abs(F.col("F_ref") - F.col("F_cur"))
     # one aggregate over the per-value table: KS, Wasserstein-1 and the reference population std
     # (two-pass: the reference mean comes with every row from the prefix-sum totals)
@@ -191,14 +191,21 @@ def drift_histograms(ref: DataFrame, cur: DataFrame, columns: Sequence[str], bin
 
     Output: column_name, sample, bin, lo, hi, count, density (the report's small distributions).
     """
-    long = stack(to_long(ref, columns, "reference"), to_long(cur, columns, "current")).where(F.col("value").isNotNull())
+    return histograms_from_long(stack(to_long(ref, columns, "reference"), to_long(cur, columns, "current")), bins)
+
+
+def histograms_from_long(long: DataFrame, bins: int = 10, weight_col: str | None = None) -> DataFrame:
+    """``drift_histograms`` over a long (sample, column_name, value) table, one row per observation or,
+    with ``weight_col``, pre-aggregated rows carrying their count."""
+    long = long.where(F.col("value").isNotNull())
+    w = F.col(weight_col).cast("long") if weight_col else F.lit(1).cast("long")
     edges = long.groupBy("column_name").agg(F.min("value").alias("mn"), F.max("value").alias("mx"))
-    sizes = long.groupBy("column_name", "sample").agg(F.count(F.lit(1)).alias("n"))
+    sizes = long.groupBy("column_name", "sample").agg(F.sum(w).alias("n"))
     span = F.col("mx") - F.col("mn")
     pos = F.when(span > 0, F.least(F.floor((F.col("value") - F.col("mn")) / span * bins), F.lit(bins - 1))
                  ).otherwise(F.lit(0)).cast("int")
     counts = (long.join(F.broadcast(edges), "column_name")  # one row per column
-              .groupBy("column_name", "sample", pos.alias("bin")).agg(F.count(F.lit(1)).alias("count")))
+              .groupBy("column_name", "sample", pos.alias("bin")).agg(F.sum(w).alias("count")))
     grid = (sizes.join(F.broadcast(edges), "column_name")
             .select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")))
     width = span / F.lit(float(bins))
@@ -221,13 +228,18 @@ def drift_summary(table: DataFrame, share_threshold: float = DATASET_DRIFT_SHARE
                     F.lit(float(share_threshold)).alias("dataset_drift_threshold"))
 
 
-def sample_warnings(ref: DataFrame, cur: DataFrame, expected: Sequence[str] = ()) -> DataFrame:
-    """One row: n_reference, n_current, warnings array."""
+def sample_warnings(ref: DataFrame, cur: DataFrame, expected: Sequence[str] = (),
+                    sizes: DataFrame | None = None) -> DataFrame:
+    """One row: n_reference, n_current, warnings array (R7, R8, R9, R10). ``sizes`` may pass the
+    one-row (n_reference, n_current) already known, so the samples are not counted again."""
     missing_ref = [c for c in expected if c not in ref.columns]
     missing_cur = [c for c in expected if c not in cur.columns]
     testable = [c for c in expected if c in ref.columns and c in cur.columns]
-    n = ref.agg(F.count(F.lit(1)).alias("n_reference")).withColumn(
-        "n_current", cur.agg(F.count(F.lit(1))).scalar())  # the current size as a scalar subquery
+    if sizes is not None:
+        n = sizes.select("n_reference", "n_current")
+    else:
+        n = ref.agg(F.count(F.lit(1)).alias("n_reference")).withColumn(
+            "n_current", cur.agg(F.count(F.lit(1))).scalar())  # the current size as a scalar subquery
     msgs = [
         F.when(F.col("n_current") == 0, F.lit("current sample is empty; drift not computed")),
         F.when((F.col("n_current") > 0) & (F.col("n_current") < MIN_SAMPLE_ROWS),

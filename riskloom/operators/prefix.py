@@ -114,19 +114,22 @@ def stratified_rank(df: DataFrame, strata: Sequence[str], key_cols: Sequence[str
 
 def ecdf_diff(long_df: DataFrame, sample_col: str = "sample", group_col: str = "column_name",
               value_col: str = "value", ref_tag: str = "ref", cur_tag: str = "cur",
-              n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
+              n_buckets: int | None = DEFAULT_BUCKETS, weight_col: str | None = None) -> DataFrame:
     """Per group and distinct value: the two ECDFs and the gap to the next value (K3).
 
-    Input is long: (sample, group, value). Output has group, value, the
+    Input is long: (sample, group, value), one row per observation or, with
+    ``weight_col``, pre-aggregated rows carrying their count. Output has group, value, the
     per-value counts, the sample sizes, the reference mean, F_ref and F_cur
     (ECDFs at the value) and dx (distance to the next distinct value of the
     pooled sample, 0 at the last one).
     """
     is_ref = F.col(sample_col) == ref_tag
     is_cur = F.col(sample_col) == cur_tag
+    w = F.col(weight_col).cast("long") if weight_col else F.lit(1).cast("long")
     counts = (long_df.where(F.col(value_col).isNotNull())
               .groupBy(group_col, value_col)
-              .agg(F.count_if(is_ref).alias("c_ref"), F.count_if(is_cur).alias("c_cur"))
+              .agg(F.sum(F.when(is_ref, w).otherwise(0)).alias("c_ref"),
+                   F.sum(F.when(is_cur, w).otherwise(0)).alias("c_cur"))
               .withColumn("cv_ref", F.col("c_ref") * F.col(value_col)))
     ps = prefix_sums(counts, value_col, ["c_ref", "c_cur", "cv_ref"], by=[group_col], n_buckets=n_buckets,
                      with_next=True, with_totals=True)

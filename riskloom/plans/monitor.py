@@ -10,8 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import drift as dr
+from ..operators.common import materialize
 from ..sources import logs
 
+TABLE_COLUMNS = ["column_name", "column_type", "stattest_name", "stattest_threshold", "drift_score",
+                 "drift_detected", "n_ref", "n_cur"]
+
 
 @dataclass
 class DriftResult:
@@ -37,11 +41,27 @@ def drift_check(ref: DataFrame, cur: DataFrame, numeric: Sequence[str], categori
     cur = normalise_names(cur, expected)
     num = [c for c in numeric if c in ref.columns and c in cur.columns]
     cat = [c for c in categorical if c in ref.columns and c in cur.columns]
-    warnings = dr.sample_warnings(ref, cur, expected)
     if num or cat:
-        table = dr.drift_table(ref, cur, num, cat, threshold)
-        hist = dr.drift_histograms(ref, cur, num, bins) if num else None
+        parts, hist, sizes = [], None, None
+        if num:
+            # one scan of both samples: weighted (sample, column, value) counts, checkpointed, feed the
+            # tests, the histograms and the sample sizes
+            long = dr.stack(dr.to_long(ref, num, "ref"), dr.to_long(cur, num, "cur"))
+            agg = materialize(long.groupBy("sample", "column_name", "value").agg(F.count(F.lit(1)).alias("_w")))
+            parts.append(dr.numeric_tests(agg, threshold, weight_col="_w").select(*TABLE_COLUMNS))
+            tagged = agg.withColumn("sample", F.when(F.col("sample") == "ref", F.lit("reference"))
+                                    .otherwise(F.lit("current")))
+            hist = dr.histograms_from_long(tagged, bins, "_w")
+            first = agg.where(F.col("column_name") == num[0])  # every row of a sample has each column
+            sizes = first.agg(
+                F.coalesce(F.sum(F.when(F.col("sample") == "ref", F.col("_w")).otherwise(0)), F.lit(0)).alias("n_reference"),
+                F.coalesce(F.sum(F.when(F.col("sample") == "cur", F.col("_w")).otherwise(0)), F.lit(0)).alias("n_current"))
+        if cat:
+            parts.append(dr.drift_table(ref, cur, [], cat, threshold))
+        table = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        warnings = dr.sample_warnings(ref, cur, expected, sizes)
     else:
+        warnings = dr.sample_warnings(ref, cur, expected)
         spark = ref.sparkSession
         table = spark.createDataFrame([], "column_name string, column_type string, stattest_name string, "
                                           "stattest_threshold double, drift_score double, drift_detected boolean, "

@@ -276,3 +276,21 @@ def test_exact_rank_keeps_large_integer_order(spark):
     df = spark.createDataFrame([("k", base + i) for i in (3, 1, 2, 0)], "key string, o long")
     got = {r.o - base: r._rank for r in ro.exact_rank(df, "key", F.col("o"), 2).collect()}
     assert got == {0: 1, 1: 2, 2: 3, 3: 4}
+
+
+def test_single_scan_drift_check_equals_separate_operators(spark):
+    from riskloom.plans import monitor
+    from riskloom.sources import fixtures as fx
+
+    ref, cur = fx.ref_cur(spark, "/root/testdata/sf0.001")
+    res = monitor.drift_check(ref, cur, ["Amount", "Time"])
+    a = {r.column_name: (r.drift_score, r.n_ref, r.n_cur) for r in res.table.collect()}
+    b = {r.column_name: (r.drift_score, r.n_ref, r.n_cur) for r in dr.drift_table(ref, cur, ["Amount", "Time"]).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k][1:] == b[k][1:] and a[k][0] == pytest.approx(b[k][0], rel=1e-12)
+    h1 = {(r.column_name, r.sample, r.bin): r["count"] for r in res.histograms.collect()}
+    h2 = {(r.column_name, r.sample, r.bin): r["count"] for r in dr.drift_histograms(ref, cur, ["Amount", "Time"]).collect()}
+    assert h1 == h2
+    w = res.warnings.collect()[0]
+    assert (w.n_reference, w.n_current) == (ref.count(), cur.count())
