@@ -89,6 +89,39 @@ def roc_curve(df: DataFrame, label: str = "Class", score: str = "p",
         F.try_divide(F.col("tp"), F.col("n_pos")).alias("tpr"))
 
 
+def roc_curve_thinned(df: DataFrame, label: str = "Class", score: str = "p",
+                      n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
+    """ROC points without the intermediate ones (A11 thinning for plots): a point is kept when the
+    second difference of FP or of TP at it is non-zero, or it is the first or the last point.
+
+    Neighbours are found by equi-joins on the next distinct score (the prefix sums carry it), so the
+    thinning is distributed like the curve itself; no ordered window over all points.
+    """
+    cc = cumulative_counts_next(df, label, score, n_buckets)
+    nxt = cc.select(F.col(score).alias("_nv"), F.col("tp").alias("tp_next"), F.col("fp").alias("fp_next"))
+    prv = cc.select(F.col("next_" + score).alias("_pv_key"), F.col("tp").alias("tp_prev"),
+                    F.col("fp").alias("fp_prev"))
+    j = (cc.join(nxt, cc["next_" + score] == nxt["_nv"], "left")
+         .join(prv, cc[score] == prv["_pv_key"], "left"))
+    d2 = lambda a, p_, n_: F.col(n_) - 2 * F.col(a) + F.col(p_)
+    keep = (F.col("tp_prev").isNull() | F.col("tp_next").isNull()
+            | (d2("fp", "fp_prev", "fp_next") != 0) | (d2("tp", "tp_prev", "tp_next") != 0))
+    return j.where(keep).select(
+        F.col(score).alias("threshold"),
+        F.try_divide(F.col("fp"), F.col("n_neg")).alias("fpr"),
+        F.try_divide(F.col("tp"), F.col("n_pos")).alias("tpr"))
+
+
+def cumulative_counts_next(df: DataFrame, label: str = "Class", score: str = "p",
+                           n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
+    """``cumulative_counts`` plus ``next_<score>``: the next lower distinct score (null at the end)."""
+    sc = score_counts(df, label, score)
+    ps = prefix_sums(sc, score, ["pos", "neg"], descending=True, n_buckets=n_buckets, with_totals=True,
+                     with_next=True)
+    return (ps.withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp")
+            .withColumnRenamed("tot_pos", "n_pos").withColumnRenamed("tot_neg", "n_neg"))
+
+
 def pr_curve(df: DataFrame, label: str = "Class", score: str = "p",
              n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """One PR point per distinct score: threshold, precision, recall, baseline prevalence."""

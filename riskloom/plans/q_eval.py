@@ -75,6 +75,17 @@ def a11_roc_curve(spark, sf):
     return _r6(ev.roc_curve(fx.scored(spark, sf), "Class", "p"), ["fpr", "tpr"])
 
 
+@query("a11_roc_curve_thinned", f"""
+WITH {_SC},
+nb AS (SELECT p, tp, fp, lag(tp) OVER (ORDER BY p DESC) AS tp_prev, lead(tp) OVER (ORDER BY p DESC) AS tp_next,
+              lag(fp) OVER (ORDER BY p DESC) AS fp_prev, lead(fp) OVER (ORDER BY p DESC) AS fp_next FROM cc)
+SELECT p AS threshold, round(fp / n_neg, 6) AS fpr, round(tp / n_pos, 6) AS tpr FROM nb, tot
+WHERE tp_prev IS NULL OR tp_next IS NULL OR fp_next - 2 * fp + fp_prev <> 0 OR tp_next - 2 * tp + tp_prev <> 0""",
+       ("scored",))
+def a11_roc_curve_thinned(spark, sf):
+    return _r6(ev.roc_curve_thinned(fx.scored(spark, sf), "Class", "p"), ["fpr", "tpr"])
+
+
 @query("a12_pr_curve", f"""
 WITH {_SC}
 SELECT p AS threshold, round(tp / (tp + fp), 6) AS precision, round(tp / n_pos, 6) AS recall,

@@ -294,3 +294,11 @@ def test_single_scan_drift_check_equals_separate_operators(spark):
     assert h1 == h2
     w = res.warnings.collect()[0]
     assert (w.n_reference, w.n_current) == (ref.count(), cur.count())
+
+
+def test_roc_thinning_drops_collinear_points(spark):
+    rows = [(0.9, 1), (0.8, 1), (0.7, 1), (0.6, 0), (0.5, 0), (0.4, 0)]
+    df = spark.createDataFrame(rows, "p double, Class int")
+    got = sorted(r.threshold for r in ev.roc_curve_thinned(df, n_buckets=2).collect())
+    assert got == [0.4, 0.7, 0.9]
+    assert ev.roc_curve(df).count() == 6
