@@ -47,13 +47,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the checkpoint directory the cluster names in ``spark.checkpoint.dir``.
 
     A cluster sets it to a shared folder; only when it is unset (tests, local
-    runs) a fresh scratch folder is created.
+    runs) a fresh scratch folder is created. Under Spark Connect the setting
+    belongs to the server, so it is left alone.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no driver-side context
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -234,3 +234,22 @@ def test_gbt_with_validation_indicator(spark):
     assert scored.count() == s.where("split = 'test'").count()
     imp = mo.importances(model, feats, 15).collect()
     assert len(imp) == 15 and all(r.importance >= 0 for r in imp)
+
+
+def test_restarted_scoring_query_adds_nothing(spark, tmp_path_factory, tmp_dir):
+    feats = [f"V{i}" for i in range(1, 29)] + ["Amount"]
+    s = fe.stratified_split(fx.feat(spark, SF), "Class", "tx_id", 42)
+    train = s.where("split = 'train'")
+    stats = fe.fit_stats(train, ["Amount"])
+    model = mo.fit_gbt(fe.class_weight(fe.features_v2(train, stats)), feats + ["amount_log", "amount_zscore"],
+                       "Class", mo.GBTParams(max_depth=2, step_size=0.1, max_iter=2))
+    src_dir = str(tmp_path_factory.mktemp("restart_src"))
+    rows = fx.feat(spark, SF)
+    st.write_replay(rows, src_dir, "ts", 2)
+    out, bad, ck = (os.path.join(tmp_dir, x) for x in ("log", "bad", "ck"))
+    for _ in range(2):  # the second run resumes from the checkpoint: every file is already committed
+        src = st.event_time(st.file_source(spark, src_dir, rows.schema), "ts")
+        _drain(st.scoring_query(src, model, stats, [], out, bad, ck))
+    log = spark.read.parquet(out)
+    assert log.count() == rows.count()
+    assert log.select("prediction_id").distinct().count() == rows.count()
