@@ -60,7 +60,7 @@ def write_replay(df: DataFrame, path: str, ts: str, n_files: int) -> list[str]:
 
 def scoring_query(src: DataFrame, model, stats: DataFrame, rules, out_path: str, quarantine_path: str,
                   checkpoint: str, threshold: float = 0.5, key: Sequence[str] = ("tx_id",),
-                  trigger: dict | None = None) -> StreamingQuery:
+                  trigger: dict | None = None, model_version: str = "stream") -> StreamingQuery:
     """T1 + T2: validate -> v2 features with stored stats -> score -> threshold -> id + time -> log.
 
     Each micro-batch overwrites its own ``batch_id`` folder, so a replayed batch does not duplicate rows.
@@ -69,7 +69,8 @@ def scoring_query(src: DataFrame, model, stats: DataFrame, rules, out_path: str,
     stats_row = stats  # small fitted-stats table (one row per feature)
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
-        tagged = va.tag_errors(df, rules)
+        # the batch feeds two writes (log and quarantine): read the source once
+        tagged = va.tag_errors(df, rules).persist()
         ok = tagged.where(F.size("errors") == 0).drop("errors")
         bad = tagged.where(F.size("errors") > 0)
         feats = fe.features_v2(ok, stats_row, drop=())
@@ -77,9 +78,10 @@ def scoring_query(src: DataFrame, model, stats: DataFrame, rules, out_path: str,
         log = scored.select(
             F.sha2(F.concat_ws("|", *[F.col(k).cast("string") for k in key]), 256).alias("prediction_id"),
             F.col("event_time").cast("timestamp_ntz").alias("timestamp"), F.col("Amount").alias("amount"),
-            "fraud_probability", "is_fraud", F.lit("stream").alias("model_version"))
+            "fraud_probability", "is_fraud", F.lit(model_version).alias("model_version"))
         log.write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
         bad.write.mode("overwrite").parquet(os.path.join(quarantine_path, f"batch_id={batch_id}"))
+        tagged.unpersist()
 
     w = src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
