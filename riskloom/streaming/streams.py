@@ -175,6 +175,7 @@ def drift_check_query(src: DataFrame, ref: DataFrame, numeric: Sequence[str], lo
                       trigger: dict | None = None, ts_col: str = "timestamp") -> StreamingQuery:
     """Each micro-batch appends to the log, then runs the drift check on the newest n of the log."""
     def per_batch(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()  # written to the log and read for its newest event time
         df.write.mode("overwrite").parquet(os.path.join(log_path, f"batch_id={batch_id}"))
         spark = df.sparkSession
         log = spark.read.parquet(log_path)
@@ -182,6 +183,7 @@ def drift_check_query(src: DataFrame, ref: DataFrame, numeric: Sequence[str], lo
         # same report and trigger partitions instead of adding new ones
         newest_ts = df.agg(F.max(ts_col)).collect()[0][0] if ts_col in df.columns else None
         as_of = F.lit(newest_ts).cast("timestamp") if newest_ts is not None else None
+        df.unpersist()
         monitor.run_monitor(spark, ref, log, numeric, n_recent, report_path, trigger_path, as_of=as_of).collect()
 
     w = src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
