@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ARCHIVED = "Archived"  # fixed stage name given to displaced versions
@@ -37,13 +37,15 @@ def best_versions(versions: DataFrame, runs: DataFrame, metric: str) -> DataFram
         F.count(F.lit(1)).alias("n_candidates"))
 
 
-def running_best(versions: DataFrame, runs: DataFrame, metric: str) -> DataFrame:
+def running_best(versions: DataFrame, runs: DataFrame, metric: str, chunk_rows: int = 1_000_000) -> DataFrame:
     """Per version in version order: is it strictly better than every earlier version of the name."""
+    from .rolling import running_max
+
     m = with_metric(versions, runs, metric)
-    w = Window.partitionBy("name").orderBy(version_number()).rowsBetween(Window.unboundedPreceding, -1)
-    prev = F.max(metric).over(w)
-    return m.select("name", "version", metric,
-                    (prev.isNull() | (F.col(metric) > prev)).alias("is_best_so_far"))
+    # best of the earlier versions of the name; a name with very many versions is split into chunks
+    r = running_max(m, "name", version_number(), metric, "_prev", inclusive=False, chunk_rows=chunk_rows)
+    prev = F.col("_prev")
+    return r.select("name", "version", metric, (prev.isNull() | (F.col(metric) > prev)).alias("is_best_so_far"))
 
 
 def promote(versions: DataFrame, winners: DataFrame, target: str = "Production") -> DataFrame:

@@ -127,3 +127,34 @@ def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, aggs: dict[str,
         F.min(ts).alias("session_start"),
         (F.max(ts) + F.make_interval(secs=F.lit(int(gap_seconds)))).alias("session_end"),
         *[a.alias(n) for n, a in aggs.items()]).drop("_sid")
+
+
+def running_max(df: DataFrame, key: str, order_value: Column, col: str, out: str, inclusive: bool = True,
+                chunk_rows: int = 1_000_000, n_buckets: int | None = DEFAULT_BUCKETS,
+                max_hot_keys: int = 100_000) -> DataFrame:
+    """Running maximum of ``col`` per key in ``order_value`` order (unique per key), up to and including
+    the row, or only the rows before it with ``inclusive=False`` (W4).
+
+    Ordinary keys use a plain per-key window. A hot key (more than ``chunk_rows`` rows) is ranked
+    exactly, cut into chunks, and the maximum of all earlier chunks comes from a per-chunk maxima table.
+    """
+    end = Window.currentRow if inclusive else -1
+    d = df.withColumn("_ov", order_value)
+    sizes = d.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot_keys = checked_broadcast(sizes.where(F.col("_n") > chunk_rows).select(key), max_hot_keys)
+    flagged = d.join(hot_keys.withColumn("_hot", F.lit(True)), key, "left")
+    cold = flagged.where(F.col("_hot").isNull()).drop("_hot")
+    hot = flagged.where(F.col("_hot")).drop("_hot")
+    wk = Window.partitionBy(key).orderBy("_ov").rowsBetween(Window.unboundedPreceding, end)
+    cold_out = cold.withColumn(out, F.max(col).over(wk)).drop("_ov")
+
+    r = exact_rank(hot, key, F.col("_ov"), n_buckets).withColumn(
+        "_chunk", F.floor((F.col("_rank") - 1) / chunk_rows))
+    wc = Window.partitionBy(key, "_chunk").orderBy("_rank").rowsBetween(Window.unboundedPreceding, end)
+    local = r.withColumn("_lmax", F.max(col).over(wc))
+    chunk_max = r.groupBy(key, "_chunk").agg(F.max(col).alias("_cm"))  # rows / chunk_rows rows
+    offsets = chunk_max.select(key, "_chunk", F.max("_cm").over(
+        Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))
+    hot_out = (local.join(offsets, [key, "_chunk"]).withColumn(out, F.greatest("_lmax", "_off"))
+               .drop("_rank", "_chunk", "_lmax", "_off"))
+    return cold_out.unionByName(hot_out)

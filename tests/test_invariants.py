@@ -135,3 +135,16 @@ def test_no_cartesian_or_nested_loop_join(spark, name):
     plan = _plan(df)
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("chunk", [9, 1_000_000])
+def test_running_max_with_a_hot_key(spark, chunk):
+    t = fx.tx(spark, SF).withColumn(
+        "k", F.when(F.col("user_id") % 10 == 0, F.lit("hot")).otherwise(F.col("user_id").cast("string")))
+    order = F.unix_micros(F.col("ts").cast("timestamp"))
+    for inclusive in (True, False):
+        got = ro.running_max(t, "k", order, "Amount", "m", inclusive=inclusive, chunk_rows=chunk)
+        end = 0 if inclusive else -1
+        w = Window.partitionBy("k").orderBy("ts").rowsBetween(Window.unboundedPreceding, end)
+        want = t.select("tx_id", F.max("Amount").over(w).alias("m"))
+        assert {r.tx_id: r.m for r in got.select("tx_id", "m").collect()} == {r.tx_id: r.m for r in want.collect()}
