@@ -302,3 +302,14 @@ def test_roc_thinning_drops_collinear_points(spark):
     got = sorted(r.threshold for r in ev.roc_curve_thinned(df, n_buckets=2).collect())
     assert got == [0.4, 0.7, 0.9]
     assert ev.roc_curve(df).count() == 6
+
+
+def test_checked_broadcast_falls_back_above_the_bound(spark):
+    from riskloom.operators.common import checked_broadcast
+
+    big = spark.range(100).withColumnRenamed("id", "k")
+    data = spark.range(1000).select((F.col("id") % 100).alias("k"), F.col("id").alias("v"))
+    over = data.join(checked_broadcast(big, 10), "k")
+    under = data.join(checked_broadcast(big, 1000), "k")
+    assert over.count() == under.count() == 1000
+    assert "BroadcastHashJoin" in under._jdf.queryExecution().executedPlan().toString()
