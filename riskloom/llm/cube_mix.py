@@ -5,13 +5,15 @@ is taken ``floor(r)`` times, and once more with probability ``r - floor(r)``. Th
 probabilities are rounded by the cube method: a flight moves the probabilities of a block of documents
 along directions that leave the block's expected number of documents and of words unchanged, until all
 but two are 0 or 1. The rest of all blocks of a source fly again together, level by level, until one
-block holds them; a landing settles the last ones so that the words taken come nearest to the target.
+block holds them. With the first block of the source, which has waited, they are settled longest first; each
+landing is followed by a flight of shorter documents that makes up for what it missed.
 
 Blocks hold at most ``block`` rows whatever the size of the source; each level keeps two rows per block.
 
 Defined cases: null text has size 0; a null source ranks last; documents of size 0 are never needed to
 meet a target but are balanced like all others (taken = 0 words); repeated rows are mixed one by one;
-rows are ordered by a hash of their id and size, so reruns and other partitionings agree.
+a block flies its longest documents first, so that those left for the landing are short, equal sizes in order of
+a hash of the whole row: reruns and other partitionings agree.
 """
 
 from __future__ import annotations
@@ -80,26 +82,43 @@ def flight(pi: np.ndarray, size: np.ndarray, pick: np.random.Generator) -> np.nd
     return pi
 
 
-def land(pi: np.ndarray, size: np.ndarray) -> np.ndarray:
+def land(pi: np.ndarray, size: np.ndarray, want: float) -> np.ndarray:
     """Landing: settle the fractional entries (two at most after a flight) so that the words taken come
-    nearest to their expectation, then the number of documents; ties take fewer."""
-    pi = pi.copy()
+    nearest to ``want``, then the number of documents to its expectation; ties take fewer."""
+    out = pi.copy()
     open_ = np.flatnonzero((pi > _EPS) & (pi < 1 - _EPS))
-    want, docs = (pi[open_] * size[open_]).sum(), pi[open_].sum()
+    rest, docs = want - float(np.delete(pi, open_) @ np.delete(size, open_)), pi[open_].sum()
     choices = [[(c >> j) & 1 for j in range(len(open_))] for c in range(2 ** len(open_))]
-    if choices:
-        best = min(choices, key=lambda x: (round(abs(np.dot(x, size[open_]) - want), 6), round(abs(sum(x) - docs), 6), sum(x)))
-        pi[open_] = best
-    return np.round(pi)
+    best = min(choices, key=lambda x: (round(abs(float(np.dot(x, size[open_])) - rest), 6), round(abs(sum(x) - docs), 6), sum(x)))
+    out[open_] = best
+    return np.round(out)
+
+
+def settle(pi: np.ndarray, size: np.ndarray, pick: np.random.Generator) -> np.ndarray:
+    """Flight and landing of one source's last rows, longest first: groups of half of what is left, each with
+    its own flight and landing. What a landing misses moves the probabilities of the next, shorter group, so
+    the words taken end within about one of the shortest documents of what was expected."""
+    pi, at, missed = pi.copy(), 0, 0.0
+    while at < len(pi):
+        end = len(pi) if len(pi) - at <= 16 else at + (len(pi) - at) // 2
+        p, s = pi[at:end], size[at:end]
+        want = float((p * s).sum()) + missed
+        free = (p > _EPS) & (p < 1 - _EPS)
+        words = float(s[free].sum())
+        if words:
+            p[free] = np.clip(p[free] + missed / words, 0, 1)
+        out = land(flight(p, s, pick), s, want)
+        missed = want - float((out * s).sum())
+        pi[at:end], at = out, end
+    return pi
 
 
 def _fly(last: bool, seed: int, columns: list[str]):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf[columns].sort_values(["_order", "_key", "size"], kind="stable").reset_index(drop=True)
+        pdf = pdf[columns].sort_values(["size", "_order", "_key"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
         pi, size = pdf["_pi"].to_numpy(float), pdf["size"].to_numpy(float)
         pick = np.random.default_rng([seed, len(pdf), int(size.sum()), int(pdf["_order"].iloc[0]) & 0x7FFFFFFF])
-        out = flight(pi, size, pick)
-        pdf["_pi"] = land(out, size) if last else out
+        pdf["_pi"] = settle(pi, size, pick) if last else flight(pi, size, pick)
         return pdf
 
     return run
@@ -107,20 +126,25 @@ def _fly(last: bool, seed: int, columns: list[str]):
 
 def round_balanced(rows: DataFrame, block: int = 1024, seed: int = 11) -> DataFrame:
     """Rows with source, size, _order, _key and _pi (a probability): the same rows with _pi 0 or 1. Each
-    level flies in blocks of about ``block`` rows of a source; two fractional rows a block go on."""
-    done, todo, level = None, rows, 0
+    level flies in blocks of about ``block`` rows of a source; two fractional rows a block go on. The first block of
+    every source waits for the last step, in which it balances what the others left."""
+    counts = rows.groupBy(F.col("source").alias("_s")).agg(F.ceil(F.count("*") / block).alias("_blocks"))
+    numbered = (rows.join(counts, F.col("source").eqNullSafe(F.col("_s")))
+                .withColumn("_block", F.pmod(F.xxhash64("_order"), "_blocks")).drop("_s", "_blocks"))
+    held, flown = numbered.where("_block = 0").drop("_block"), numbered.where("_block > 0")
+    done, level = None, 0
     while True:
-        counts = todo.groupBy(F.col("source").alias("_s")).agg(F.ceil(F.count("*") / block).alias("_blocks"))
-        last = counts.agg(F.max("_blocks")).first()[0] in (None, 1)
-        keyed = (todo.join(counts, F.col("source").eqNullSafe(F.col("_s")))
-                 .withColumn("_block", F.pmod(F.xxhash64(F.lit(level), "_order"), "_blocks")).drop("_s", "_blocks"))
-        fly = _fly(last, seed + level, rows.columns)
-        flown = written(keyed.groupBy("source", "_block").applyInPandas(fly, rows.schema), "cube-flight")
+        flown = written(flown.groupBy("source", "_block").applyInPandas(_fly(False, seed + level, rows.columns), rows.schema), "cube-flight")
         settled = flown.where("_pi IN (0.0, 1.0)")
-        done = settled if done is None else done.unionByName(settled)
-        if last:
-            return done
-        todo, level = flown.where("_pi NOT IN (0.0, 1.0)"), level + 1
+        done, left = settled if done is None else done.unionByName(settled), flown.where("_pi NOT IN (0.0, 1.0)")
+        counts = left.groupBy(F.col("source").alias("_s")).agg(F.ceil(F.count("*") / block).alias("_blocks"))
+        level += 1
+        if counts.agg(F.max("_blocks")).first()[0] in (None, 1):
+            break
+        flown = (left.join(counts, F.col("source").eqNullSafe(F.col("_s")))
+                 .withColumn("_block", F.pmod(F.xxhash64(F.lit(level), "_order"), "_blocks")).drop("_s", "_blocks"))
+    end = held.unionByName(left).groupBy("source").applyInPandas(_fly(True, seed + level, rows.columns), rows.schema)
+    return done.unionByName(written(end, "cube-landing"))
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: float = 3.0, block: int = 1024,

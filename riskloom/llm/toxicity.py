@@ -39,7 +39,7 @@ INSULTS = (
 
 #: Words for the lexicon: runs of letters and digits; bytes above ASCII count as letters.
 _SEPARATOR = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
-_WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 STEMS = (4, 5, 6)
 
 
@@ -99,58 +99,95 @@ class Voters:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """At most ``sample`` labelled training rows (text, toxic), chosen by a hash of the id."""
+    """At most ``sample`` labelled training rows (text, toxic), chosen by a hash of the id. ``sketch`` is the
+    smallest hash of a sentence, which near copies mostly share: they count as one row for the lexicon."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "toxic")
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "toxic")
+    sentences = F.filter(F.split("text", r"[.\n]"), lambda s: F.length(s) > 20)
+    sketch = F.coalesce(F.array_min(F.transform(sentences, lambda s: F.xxhash64(s))), F.xxhash64("text"))
+    return rows.withColumn("sketch", sketch)
 
 
-def mine_lexicon(rows: DataFrame, most: int = 28, precision: float = 0.7, support: int = 5) -> tuple[list[str], list[str], float]:
+def mine_lexicon(rows: DataFrame, most: int = 28, precision: float = 0.9, support: float = 0.01,
+                 units: int = 50_000) -> tuple[list[str], list[str], float]:
     """(words, stems, share of toxic rows): units by how many toxic rows hold them, whose rows are toxic with
-    at least ``precision`` (lower end of two standard errors); a longer unit that adds nothing is left out."""
-    words = F.array_distinct(F.regexp_extract_all(F.translate("text", UPPER, LOWER), F.lit(_WORDS), F.lit(0)))
-    units = F.concat(F.transform(words, lambda w: F.struct(F.lit(0).alias("stem"), w.alias("unit"))),
-                     *[F.transform(F.filter(words, lambda w: F.length(w) > m),
-                                   lambda w: F.struct(F.lit(m).alias("stem"), F.substring(w, 1, m).alias("unit"))) for m in STEMS])
+    at least ``precision`` (lower end of two standard errors); a unit that adds little to one that it begins, or
+    that begins it, is left out.
+    A unit must be in ``support`` of the toxic rows; the ``units`` most frequent ones of the toxic rows are counted in the others."""
     total = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).first()
-    counts = rows.select("toxic", F.explode(F.array_distinct(units)).alias("_u")).groupBy("_u").agg(
-        F.count("*").alias("n"), F.sum("toxic").alias("t"))
-    rate = (F.col("t") + 0.5) / (F.col("n") + 1)
-    sure = rate - 2 * F.sqrt(rate * (1 - rate) / (F.col("n") + 1))
-    best = counts.where((F.col("t") >= support) & (sure >= precision)).orderBy(F.desc("t"), "n", "_u").limit(1000).collect()  # bounded
+    words = F.split(F.translate("text", UPPER, LOWER), _GAP)
+    toxic = rows.where("toxic = 1").select("sketch", F.explode(words).alias("w")).where("w <> ''").distinct()
+    part = [F.struct(F.lit(0).alias("stem"), F.col("w").alias("unit"))]
+    part += [F.when(F.length("w") > m, F.struct(F.lit(m).alias("stem"), F.substring("w", 1, m).alias("unit"))) for m in STEMS]
+    each = toxic.select("sketch", F.explode(F.array(*part)).alias("_u")).where("_u IS NOT NULL").distinct()
+    counts = each.groupBy("_u").agg(F.count("*").alias("t"))
+    least = max(3, support * total["t"])
+    found = [(r["_u"]["stem"], r["_u"]["unit"], r["t"])
+             for r in counts.where(F.col("t") >= least).orderBy(F.desc("t"), "_u").limit(units).collect()]
+    clean = _rows_with([hash_of(u, stem=bool(m)) for m, u, _ in found], {len(u.encode()) for m, u, _ in found if m}, rows.where("toxic <> 1"))
+    good = []
+    for (m, u, t), n in zip(found, clean, strict=True):
+        rate = (t + 0.5) / (t + n + 1)
+        sure = rate - 2 * math.sqrt(rate * (1 - rate) / (t + n + 1))
+        if sure >= precision:
+            good.append((m, u, t, t * sure))
     words, stems, taken = [], [], {}
-    for r in sorted(best, key=lambda r: (-r["t"], r["_u"]["stem"] or 99, r["_u"]["unit"])):
-        m, unit = r["_u"]["stem"], r["_u"]["unit"]
-        covered = max((t for u, t in taken.items() if unit.startswith(u)), default=0)
-        if covered >= r["t"]:  # a beginning of this unit is there already
-            if m or covered > 1.1 * r["t"]:
-                continue
-        if m and len(stems) < most:
-            stems.append(unit)
-            taken[unit] = r["t"]
-        elif not m and len(words) < most - 4:
-            words.append(unit)
+    for m, unit, t, _ in sorted(good, key=lambda x: (-x[3], x[0], x[1])):
+        alike = (n for u, n in taken.items() if unit.startswith(u) or (m and u.startswith(unit)))
+        if 1.1 * max(alike, default=0) >= t:  # a word or beginning chosen before stands for it
+            continue
+        if len(stems if m else words) < most:
+            (stems if m else words).append(unit)
+            taken[unit] = t
     return words, stems, (total["t"] + 0.01) / (total["n"] + 1)
 
 
+def _rows_with(hashes: list, lengths: set[int], rows: DataFrame) -> np.ndarray:
+    """How many ``rows`` hold each unit; every task counts all its rows before anything is sent."""
+    keys = np.array(hashes, np.uint64)
+    order = np.argsort(keys, kind="stable")
+    known, stems = keys[order], tuple(sorted(lengths))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(known), np.int64)
+        for batch in batches:
+            data, offs = text_buffer(batch.column(0))
+            for a, b in text_slices(offs, 1 << 20):
+                unit, owner = word_hashes(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a], _SEPARATOR, stems)
+                at = np.searchsorted(known, unit)
+                at[at == len(known)] = 0
+                hit = known[at] == unit
+                once = np.unique(at[hit] * (b - a) + owner[hit]) // (b - a)
+                total += np.bincount(once, minlength=len(known))
+        i = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(total[i], pa.int64())], names=["i", "n"])
+
+    out = np.zeros(len(known), np.int64)
+    if len(known):
+        for r in rows.select("text").mapInArrow(run, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():  # bounded by ``units``
+            out[order[r["i"]]] = r["n"]
+    return out
+
+
 class LabelModel:
-    """Naive two-class model of binary voters: P(fires | toxic), P(fires | clean), and the weight of each
-    voter after allowing for the voters that repeat it."""
+    """Two-class model of voters that fire or abstain: P(fires | toxic), P(fires | clean), and the weight of each
+    voter after allowing for the voters that repeat it. An abstention says nothing; a text in which no voter
+    fires is toxic with probability ``quiet``."""
 
-    def __init__(self, prior: float, fire: np.ndarray, weight: np.ndarray) -> None:
-        self.prior, self.fire, self.weight = prior, fire, weight
+    def __init__(self, prior: float, quiet: float, fire: np.ndarray, weight: np.ndarray) -> None:
+        self.prior, self.quiet, self.fire, self.weight = prior, quiet, fire, weight
 
     def bias_and_gain(self) -> tuple[float, np.ndarray]:
         a, b = self.fire
-        off = np.log((1 - a) / (1 - b)) * self.weight
-        return math.log(self.prior / (1 - self.prior)) + off.sum(), np.log(a / b) * self.weight - off
+        return math.log(self.prior / (1 - self.prior)), np.log(a / b) * self.weight
 
     def posterior(self, mask: Column) -> Column:
         bias, gain = self.bias_and_gain()
         z = F.lit(float(bias))
         for j, g in enumerate(gain):
             z = z + F.shiftright(mask, j).bitwiseAND(F.lit(1)) * F.lit(float(g))
-        return 1 / (1 + F.exp(-z))
+        return F.when(mask == 0, F.lit(self.quiet)).otherwise(1 / (1 + F.exp(-z)))
 
 
 def _bit(mask: Column, j: int) -> Column:
@@ -166,7 +203,7 @@ def _moments(patterns: DataFrame, model: LabelModel, n_voters: int) -> tuple[np.
         both = np.zeros((2, n_voters + 1, n_voters + 1))
         for pdf in batches:
             fired = (pdf["mask"].to_numpy()[:, None] >> np.arange(n_voters)) & 1
-            p = 1 / (1 + np.exp(-(bias + fired @ gain)))
+            p = np.where(pdf["mask"].to_numpy() == 0, model.quiet, 1 / (1 + np.exp(-(bias + fired @ gain))))
             x = np.concatenate([fired, np.ones((len(fired), 1))], axis=1)
             n = pdf["n"].to_numpy(float)
             both[0] += x.T @ (x * (p * n)[:, None])
@@ -180,7 +217,8 @@ def _moments(patterns: DataFrame, model: LabelModel, n_voters: int) -> tuple[np.
     return out[0], out[1]
 
 
-def fit_label_model(patterns: DataFrame, seen: DataFrame, n_voters: int, prior: float, rounds: int = 4) -> LabelModel:
+def fit_label_model(patterns: DataFrame, seen: DataFrame, n_voters: int, prior: float, quiet: float,
+                    rounds: int = 4) -> LabelModel:
     """``patterns``: (mask, n) over all documents; ``seen``: (mask, toxic) of the labelled sample, whose rates start
     the estimate and stay as prior counts. Every round is one aggregation over the patterns."""
     bits = [F.sum(_bit(F.col("mask"), j).cast("double")).alias(f"v{j}") for j in range(n_voters)]
@@ -190,7 +228,7 @@ def fit_label_model(patterns: DataFrame, seen: DataFrame, n_voters: int, prior:
     guess = np.array([[0.2], [0.002]])
 
     def model(fired: np.ndarray, total: np.ndarray, weight: np.ndarray) -> LabelModel:
-        return LabelModel(prior, np.clip((fired + 2 * guess) / (total + 2), 1e-5, 1 - 1e-5), weight)
+        return LabelModel(prior, quiet, np.clip((fired + 2 * guess) / (total + 2), 1e-5, 1 - 1e-5), weight)
 
     now = model(base, size, np.ones(n_voters))
     for _ in range(rounds):
@@ -207,7 +245,7 @@ def fit_label_model(patterns: DataFrame, seen: DataFrame, n_voters: int, prior:
         r = (joint[:-1, :-1] / mass - np.outer(mean, mean)) / np.outer(spread, spread)
         np.fill_diagonal(r, 0)
         weight = 1 / (1 + np.where(r > 0.5, r, 0).sum(axis=1))  # weaker dependence is left to the classifier
-    return LabelModel(prior, now.fire, weight)
+    return LabelModel(prior, quiet, now.fire, weight)
 
 
 class Scorer:
@@ -238,7 +276,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, most: int =
     found = written(docs.where(~held_out(F.col("doc_id"))).select(voters.of(F.col("text")).alias("v")).select("v.mask", "v.hits")
                     .groupBy("mask", "hits").agg(F.count("*").alias("n")), "toxic-votes")
     patterns = found.groupBy("mask").agg(F.sum("n").alias("n"))
-    model = fit_label_model(patterns, rows.select(voters.of(F.col("text"))["mask"].alias("mask"), "toxic"), n, prior)
+    seen = written(rows.select(voters.of(F.col("text"))["mask"].alias("mask"), "toxic"), "toxic-seen")
+    none = seen.where("mask = 0").agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).first()
+    quiet = ((none["t"] or 0) + 2 * prior) / (none["n"] + 2)
+    model = fit_label_model(patterns, seen, n, prior, min(quiet, prior))
     p = model.posterior(F.col("mask"))
     weighed = found.select(F.struct("mask", "hits").alias("v"), "n", p.alias("p"))
     both = weighed.select("v", F.explode(F.array(F.struct(F.lit(1.0).alias("label"), (F.col("p") * F.col("n")).alias("weight")),
