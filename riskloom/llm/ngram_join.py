@@ -13,10 +13,10 @@ How it runs:
    costs a block one entry per chunk.
 3. A chunk drops texts that share too few tokens to have a partner, and builds prefixes and index entries of
    the others. Texts with equal sets form one class with a single key, so copies meet as one class.
-4. Per index entry its smallest and largest class are verified against all others (linear in the list); the
-   components of these links settle nearly all entries. Only classes that share an entry but are still in
-   different components are then paired and verified, so no link between components is lost and no pairs
-   are made within a group of near copies.
+4. Per index entry two of its classes are verified against all others (linear in the list); the components of
+   these links settle nearly all entries. Classes that share an entry but are still in different components
+   are then compared in blocks of whole sets (the largest component of a cluster only with the classes
+   outside of it), so no link between components is lost and no row is made per candidate pair.
 
 Limits of the arithmetic: tokens are 64-bit hashes (40 bits and the block number during the search and the
 verification) and a class is known by the 64-bit sum of its mixed tokens.
@@ -288,6 +288,80 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "n_a", "n_b", "t_a", "t_b").mapInArrow(run, "a long, b long")
 
 
+def _close(percent: int):
+    return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+
+
+def _open_lists(lists: DataFrame, what: str) -> DataFrame:
+    """The index lists (entry, cls, n, component) that still hold more than one component."""
+    ends = lists.groupBy("entry").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo < _hi")
+    return written(lists.join(ends.select("entry"), "entry"), what)
+
+
+def _labelled(lists: DataFrame, part: DataFrame) -> DataFrame:
+    known = lists.drop("component").join(part.withColumnRenamed("node", "cls"), "cls", "left")
+    return known.select("entry", "cls", "n", F.coalesce("component", "cls").alias("component"))
+
+
+def _to_pivots(lists: DataFrame, percent: int, orders: int = 8) -> DataFrame:
+    """Pairs (a, b) of each list's first and last class, in one of a few orders, with the list's others: linear in
+    the list, and few different pivots for a group that shares many lists."""
+    order = F.xxhash64(F.pmod("entry", F.lit(orders)), "cls")
+    me = F.struct(order.alias("o"), F.col("cls").alias("c"), F.col("n").alias("m"))
+    ends = lists.groupBy("entry").agg(F.min(me).alias("lo"), F.max(me).alias("hi"))
+    each = lists.join(ends, "entry").select("cls", "n", F.explode(F.array("lo", "hi")).alias("_x"))
+    pairs = each.where("cls <> _x.c").select(
+        F.least("cls", "_x.c").alias("a"), F.greatest("cls", "_x.c").alias("b"), F.col("n").alias("n_a"), F.col("_x.m").alias("n_b"))
+    return pairs.where(_close(percent)).select("a", "b").distinct()
+
+
+def _between(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the components of the open lists.
+
+    Classes that share lists, directly or through others, form a cluster. In each cluster the largest component
+    is left as it is; every class outside of it (x) is held against the classes it shares a list with (y). Both
+    sides are dealt into blocks that grow with the root of their number, and a pair of blocks is compared as a
+    whole: what is shuffled is whole sets, not pairs, and only links come out."""
+    star = lists.join(lists.groupBy("entry").agg(F.min("cls").alias("_c")), "entry").select(F.col("_c").alias("a"), F.col("cls").alias("b"))
+    cluster = components(star).withColumnRenamed("node", "cls").withColumnRenamed("component", "cluster")
+    nodes = written(lists.select("cls", "component").distinct().join(cluster, "cls"), "shingle-nodes")
+    sizes = nodes.groupBy("cluster", "component").agg(F.count("*").alias("_n"))
+    main = sizes.groupBy("cluster").agg(F.max(F.struct("_n", "component")).alias("_main"), F.sum("_n").alias("_all"))
+
+    def blocks(n, least: int):
+        return F.ceil(n / F.greatest(F.lit(float(least)), 2 * F.sqrt(n))).cast("int")
+
+    side = nodes.join(main, "cluster").select(
+        "cls", "component", "cluster", (F.col("component") != F.col("_main.component")).alias("outer"),
+        F.pmod(F.xxhash64("cls"), blocks(F.greatest(F.col("_all") - F.col("_main._n"), F.lit(1)), 32)).cast("int").alias("x"),
+        blocks(F.col("_all"), 64).alias("_ny")).withColumn("y", F.pmod(F.xxhash64("cls", "cluster"), "_ny").cast("int"))
+    side = written(side, "shingle-sides")
+    asked = lists.select("entry", "cls").join(side.where("outer"), "cls").select("entry", "x").distinct()
+    sent = lists.select("entry", "cls").join(asked, "entry").select("cls", "x").distinct()
+    key = ["cluster", "x", "y"]
+    theirs = sent.join(side.select("cls", "component", "cluster", "y"), "cls").join(classes, "cls")
+    ours = side.where("outer").withColumn("y", F.explode(F.sequence(F.lit(0), F.col("_ny") - 1))).join(classes, "cls")
+    columns = [*key, "cls", "component", "n", "tokens"]
+
+    def run(_, ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(ours) and len(theirs):
+            sets = [np.frombuffer(t, "<u8") for t in ours["tokens"]]
+            tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(t) for t in sets])
+            order = np.argsort(tokens, kind="stable")
+            tokens, owner = tokens[order], owner[order]
+            size, group, cls = (ours[c].to_numpy() for c in ("n", "component", "cls"))
+            for c, g, n, t in zip(theirs["cls"], theirs["component"], theirs["n"], theirs["tokens"], strict=True):
+                t = np.frombuffer(t, "<u8")
+                a, b = np.searchsorted(tokens, t), np.searchsorted(tokens, t, "right")
+                hit = np.repeat(a - np.cumsum(np.r_[0, (b - a)[:-1]]), b - a) + np.arange((b - a).sum())
+                common = np.bincount(owner[hit], minlength=len(sets))
+                found += [(x, c) for x in cls[(100 * common >= percent * (size + n - common)) & (group != g)]]
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return ours.select(*columns).toDF(*columns).groupBy(*key).cogroup(theirs.select(*columns).toDF(*columns).groupBy(*key)).applyInPandas(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     """``docs`` (doc_id, text) -> one row per document: doc_id, n_shingles, cls (equal sets have equal cls),
     component_id (smallest doc_id reachable by links of 100 * |A & B| >= percent * |A | B|)."""
@@ -301,27 +375,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     found = sets.where("tokens IS NOT NULL")
     classes = found.groupBy("cls").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     classes = written(classes, "shingle-classes")
-    entries = found.select("cls", "n", F.explode("entries").alias("entry"))
-    ends = entries.groupBy("entry").agg(F.min(F.struct("cls", "n")).alias("lo"), F.max(F.struct("cls", "n")).alias("hi"))
-    ends = ends.where("lo.cls < hi.cls")
-    listed = written(entries.join(ends, "entry"), "shingle-lists")  # entries of a single class link nothing
-    first = listed.select("entry", F.col("cls").alias("b"), F.col("n").alias("n_b"), F.explode(F.array("lo", "hi")).alias("_x"))
-    close = F.least("n_b", "_x.n") * 100 >= F.greatest("n_b", "_x.n") * percent
-    tried = first.where((F.col("b") != F.col("_x.cls")) & close).select(
-        F.least("b", "_x.cls").alias("a"), F.greatest("b", "_x.cls").alias("b")).distinct()
-    links = written(_verified(tried, classes, percent), "shingle-links")
-    part = components(links)
-
-    labelled = listed.select("entry", "cls", "n").join(part.select(F.col("node").alias("cls"), "component"), "cls", "left")
-    labelled = labelled.select("entry", "cls", "n", F.coalesce("component", "cls").alias("component"))
-    split = labelled.groupBy("entry").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a < _b").select("entry")
-    rest = written(labelled.join(split, "entry"), "shingle-rest")
-    x = rest.select("entry", F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    y = rest.select("entry", F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    close = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    open_pairs = x.join(y, "entry").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & close).select("a", "b").distinct()
-    late = _verified(open_pairs.join(tried, ["a", "b"], "left_anti"), classes, percent)
-    part = components(links.unionByName(late))
+    entries = found.select(F.explode("entries").alias("entry"), "cls", "n", F.col("cls").alias("component"))
+    lists = _open_lists(entries, "shingle-lists")
+    links = written(_verified(_to_pivots(lists, percent), classes, percent), "shingle-links")
+    rest = _open_lists(_labelled(lists, components(links)), "shingle-rest")
+    part = components(links.unionByName(_between(rest, classes, percent)))
 
     members = sets.select(F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "cls", "n")
     grouped = members.join(part.select(F.col("node").alias("cls"), "component"), "cls", "left").select(

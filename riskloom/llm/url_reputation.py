@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii
+from .common import lower_ascii, written
 
 
 def url_host(url: Column) -> Column:
@@ -94,11 +94,17 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = 1.645, min
         return (level.groupBy(F.col("parent").alias("key")).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
                 .select("key", parent.alias("parent"), "n", "bad"))
 
+    hosts = written(hosts, "hosts")  # one row per host; every level reads it
     domains = up(hosts, suffix(F.col("key")))
     suffixes = up(domains, F.lit("*"))
-    overall = (up(suffixes, F.lit("")).select("key", ((F.col("bad") + 1) / (F.col("n") + 2)).alias("mean")))
     bounds = (min_strength, max_strength)
-    s = _shrink(suffixes, overall, "key", *bounds)
+    all_ = suffixes.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()  # one row
+    mean = ((all_["bad"] or 0) + 1) / ((all_["n"] or 0) + 2)
+    seen = F.when(F.col("n") > 0, F.col("bad") / F.col("n"))
+    spread = suffixes.agg(F.coalesce(F.var_samp(seen), F.lit(0.0)).alias("v"), F.avg(seen).alias("m"),
+                          F.avg(F.when(F.col("n") > 0, F.col("n"))).alias("n"))
+    k = spread.select(_strength(F.col("m"), F.col("v"), F.col("n"), *bounds).alias("k")).first()["k"]  # one row
+    s = suffixes.select("key", ((mean * k + F.col("bad")) / (k + F.col("n"))).alias("mean"))
     d = _shrink(domains, s, "key", *bounds)
     h = _shrink(hosts, d, "key", *bounds)
     a, b = F.col("alpha"), F.col("beta")
