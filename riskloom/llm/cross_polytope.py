@@ -96,7 +96,7 @@ def _rerank(k: int):
     return run
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 5, tables: int = 10, probes: int = 8, part: int = 2000,
+def nearest(vectors: DataFrame, is_query: Column, k: int = 5, tables: int = 10, probes: int = 12, part: int = 2000,
             seed: int = 5) -> DataFrame:
     """``vectors`` (vec_id, embedding) -> query_id, rank, vec_id, score: the k nearest found of every query."""
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"), is_query.alias("_q"))

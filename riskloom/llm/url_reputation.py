@@ -25,7 +25,7 @@ def url_host(url: Column) -> Column:
 
 
 def url_path(url: Column) -> Column:
-    return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1)
+    return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
 def registered_domain(host: Column) -> Column:
@@ -99,7 +99,7 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = 1.645, min
     suffixes = up(domains, F.lit("*"))
     bounds = (min_strength, max_strength)
     all_ = suffixes.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()  # one row
-    mean = ((all_["bad"] or 0) + 1) / ((all_["n"] or 0) + 2)
+    mean = ((all_["bad"] or 0) + 0.05) / ((all_["n"] or 0) + 1)  # with no outcome at all: 5 percent
     seen = F.when(F.col("n") > 0, F.col("bad") / F.col("n"))
     spread = suffixes.agg(F.coalesce(F.var_samp(seen), F.lit(0.0)).alias("v"), F.avg(seen).alias("m"),
                           F.avg(F.when(F.col("n") > 0, F.col("n"))).alias("n"))

@@ -1,0 +1,296 @@
+"""The llm operators against brute force, round trips and held-out accuracy, and on awkward input."""
+
+import hashlib
+import html as html_lib
+import re
+import string
+import zlib
+
+import numpy as np
+import pandas as pd
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from riskloom.llm import (chat_format, cross_polytope, cube_mix, ngram_join, packing, page_diff, pivot_index, secret_grammar,
+                          toxicity, url_reputation)
+from riskloom.llm import queries as Q
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+WORD = re.compile(r"[^\x20\x09-\x0d]+")
+
+
+def read(name):
+    return pq.read_table(f"{SF}/{name}.parquet").to_pandas()
+
+
+def run(spark, name):
+    return Q.QUERIES[name](spark, SF).toPandas()
+
+
+def awkward(spark):
+    rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (3, "x " * 30000, "en", "a", 60000), (4, "one two", "en", "b", 7),
+            (5, "one two", "en", "b", 7), (5, "one two", "en", "b", 7), (6, " \n\t ", None, "b", 4),
+            (7, "a b c d e f g h i j k l", "en", None, 23), (8, "A B c d e f g h i j k l", "en", "a", 23)]
+    return spark.createDataFrame(rows, DOCS).withColumn("component", F.lit(1)).withColumn("n", F.lit(2)).withColumn("cls", F.lit(3))
+
+
+def brute_components(texts, ids):
+    low = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+    sets = []
+    for t in texts:
+        w = WORD.findall((t or "").translate(low))
+        sets.append({tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set()))
+    root = list(range(len(sets)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(sets)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if common and 100 * common >= 75 * (len(sets[i]) + len(sets[j]) - common):
+                a, b = top(i), top(j)
+                root[max(a, b)] = min(a, b)
+    least = {}
+    for i, d in enumerate(ids):
+        least[top(i)] = min(d, least.get(top(i), d))
+    return {d: (len(sets[i]), least[top(i)]) for i, d in enumerate(ids)}
+
+
+def test_url_parts_and_rules(spark):
+    urls = [(1, "http://A.Example.net/en/x?q#f"), (2, "https://b.org/fr/"), (3, "net/path"), (4, None), (5, "ftp://net"),
+            (6, "http://example.com/de/1"), (7, "http://xnet/"), (8, "http://u?a/b://c/d")]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    none = spark.createDataFrame([], "page_id long, bad int")
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_reputation.judge(pages, none, Q.URL_RULES).collect()}
+    assert got[1] == ("a.example.net", "/en/x", "example.net/en/", "allow")
+    assert got[2] == ("b.org", "/fr/", "org/fr/", "allow")
+    assert got[3] == got[4] == ("", "", None, "allow")
+    assert got[5] == ("net", "", None, "allow")
+    assert got[6][2:] == ("example.com/de/", "block") and got[7][2] is None
+    assert got[8][:2] == ("u", "")
+
+
+def test_url_reputation_blocks_a_bad_host(spark):
+    pages = spark.createDataFrame([(i, f"http://{'bad' if i % 2 else 'good'}.com/{i}") for i in range(200)], "page_id long, url string")
+    outcomes = spark.createDataFrame([(i, i % 2) for i in range(200)], "page_id long, bad int")
+    got = url_reputation.judge(pages, outcomes, {}).groupBy("host", "verdict").count().collect()
+    assert {(r["host"], r["verdict"]) for r in got} == {("bad.com", "block"), ("good.com", "allow")}
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    d = read("documents")
+    want = brute_components(d["text"], d["doc_id"])
+    got = run(spark, "op2_ngram_join")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.itertuples()} == want
+
+
+def test_near_copies_of_one_text(spark):
+    """A group whose members are linked to few others: all links between components must be found."""
+    rng = np.random.default_rng(3)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for j in rng.choice(150, int(rng.integers(0, 8)), replace=False):
+            words[j] = f"x{i}_{j}"
+        rows.append((i, " ".join(words)))
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components([t for _, t in rows], range(150))
+
+
+def test_index_entries_share_one_for_every_similar_pair():
+    rng = np.random.default_rng(5)
+    universe = rng.integers(0, 2**46, 4000, dtype=np.uint64)
+    freq = rng.choice([2, 10, 100, 5000], 4000)
+
+    def entries(ids):
+        tok, df = universe[ids], freq[ids]
+        order = np.lexsort((tok, df))
+        return set(ngram_join.index_entries(tok[order], df[order], len(ids), 75).tolist())
+
+    for n in [1, 3, 4, 7, 8, 9, 16, 40, 200]:
+        for _ in range(10):
+            a = rng.choice(4000, n, replace=False)
+            drop = int(n * 0.14)
+            b = np.concatenate([a[drop:], rng.choice(np.setdiff1d(np.arange(4000), a), drop, replace=False)])
+            common = len(np.intersect1d(a, b))
+            if 100 * common >= 75 * (2 * n - common):
+                assert entries(a) & entries(b), n
+
+
+def test_links_of_vectors(spark):
+    rng = np.random.default_rng(1)
+    base = rng.normal(size=(40, 16))
+    vec = np.concatenate([base, base[:10] + rng.normal(size=(10, 16)) * 0.03, base[:5]])
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vec)] + [(100, None), (101, [0.0] * 16), (102, [float("nan")] * 16), (103, [None, 1.0])]
+    got = {r["vec_id"]: r for r in pivot_index.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    unit = vec / np.linalg.norm(vec, axis=1)[:, None]
+    near = unit @ unit.T >= 0.95
+    assert len(got) == len(rows)
+    assert [got[i]["n_links"] for i in range(len(vec))] == (near.sum(1) - 1).tolist()
+    assert all(got[i]["n_links"] == 0 and got[i]["component_id"] == i and got[i]["kept"] for i in range(100, 104))
+
+
+def test_nearest_vectors_recall(spark):
+    e = read("embeddings")
+    x = np.stack(e["embedding"]).astype(float)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    ids, got, hit, all_ = e["vec_id"].to_numpy(), run(spark, "op7_cross_polytope"), 0, 0
+    for i in np.flatnonzero(ids % 50 == 0):
+        s = x[i] @ x.T
+        s[i] = -9
+        best = ids[np.lexsort((ids, -s))[:5]]
+        hit, all_ = hit + len(set(best) & set(got[got.query_id == ids[i]].vec_id)), all_ + 5
+    assert hit / all_ >= 0.9 and len(got) == all_
+
+
+def test_mix_meets_targets(spark):
+    got = run(spark, "op4_cube_mix").merge(read("documents")[["doc_id", "source"]], on="doc_id")
+    per = got.groupby("source").agg(target=("target", "first"), taken=("taken", "sum"), size=("source_size", "first"), most=("size", "max"))
+    assert (per.target <= 3 * per["size"] + 1e-6).all() and (got.taken <= 3 * got["size"]).all()
+    assert ((per.taken - per.target).abs() <= per.most).all()
+    assert abs(per.target.sum() - per["size"].sum()) < 1e-3 * per["size"].sum()
+    again = run(spark, "op4_cube_mix")
+    assert again.set_index("doc_id").taken.to_dict() == got.set_index("doc_id").taken.to_dict()
+
+
+def test_flight_keeps_totals():
+    rng = np.random.default_rng(2)
+    size, pi = rng.integers(1, 500, 300).astype(float), np.full(300, 0.37)
+    out = cube_mix.flight(pi, size, rng)
+    assert abs(out.sum() - pi.sum()) < 1e-6 and abs((out * size).sum() - (pi * size).sum()) < 1e-4
+    assert ((out > 1e-9) & (out < 1 - 1e-9)).sum() <= 2
+
+
+def test_toxicity_words(spark):
+    rows = [(i, ("fine words of everyday talk number " + str(i)) + (" zorgo idiot" if i % 5 == 0 else "")) for i in range(300)]
+    docs = spark.createDataFrame([*rows, (300, None), (301, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(300)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.scored(docs, labels).collect()}
+    assert all(got[i]["predicted"] == int(i % 5 == 0) for i in range(300))
+    assert got[300]["predicted"] == got[301]["predicted"] == 0 and 0 <= got[300]["score"] <= 1
+    assert all(got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i in got)
+    assert len(toxicity.scored(docs, labels.where("false")).collect()) == 302
+
+
+def test_pieces_round_trip(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    d, got = read("documents"), run(spark, "op6_best_fit_packing")
+    by_doc = {k: g.sort_values("piece") for k, g in got.groupby("doc_id")}
+    for i, text in zip(d["doc_id"], d["text"], strict=True):
+        ids = np.array(t.encode(text, add_special_tokens=False).ids + [0], "<u4")
+        assert by_doc[i].length.sum() == len(ids)
+        for r in by_doc[i].itertuples():
+            assert zlib.crc32(ids[r.start:r.start + r.length].tobytes()) == r.ids_crc32
+    seq = got.sort_values(["sequence_id", "offset"])
+    assert (seq.groupby("sequence_id").length.cumsum() - seq.length == seq.offset).all()
+    assert seq.groupby("sequence_id").length.sum().max() <= 2048
+    assert seq.sequence_id.nunique() <= 1.05 * got.length.sum() / 2048 + 1
+
+
+@pytest.mark.parametrize("text", ["", " ", "a  b\n\n c", "tab\t x", "don't 12 é\xa0x", "<|endoftext|> a"])
+def test_units_have_the_texts_ids(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    want = np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    for name in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken"):
+        assert packing.TokenBytes(public_tokenizers.path(name)).of(text) == want
+
+
+def test_plan_places_every_piece():
+    rng = np.random.default_rng(4)
+    for lengths in (rng.integers(1, 101, 500), rng.integers(30, 101, 500), [100] * 7, [1], []):
+        count = np.bincount(np.array(lengths, int), minlength=101)
+        runs = packing.plan(count, 100)
+        used = np.zeros(101, int)
+        for times, held in runs:
+            assert sum(held) <= 100
+            for s in held:
+                used[s] += times
+        assert (used == count).all()
+
+
+def test_chat_round_trip(spark):
+    c = read("conversations")
+    got = run(spark, "op8_chat_format").set_index("conv_id")
+    own = pd.DataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")], columns=c.columns)
+    for k, g in pd.concat([c, own]).groupby("conv_id"):
+        g = g.sort_values("turn")
+        turns = "".join(f"{r}\n{x}\n" for r, x in zip(g.role, g.text, strict=True))
+        loss = "".join(g.text[g.role == "assistant"])
+        assert tuple(got.loc[k][["n_turns", "turns_sha256", "loss_chars", "loss_sha256"]]) == (
+            len(g), hashlib.sha256(turns.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+
+
+def test_chat_nulls_escapes_and_no_python(spark):
+    rows = [(1, 0, "user", r"<\/s> [\\INST] </s"), (1, 1, "assistant", None), (1, 2, None, "<s>[INST]"), (None, None, "assistant", "\n$1\\")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("example", F.lit(1))
+    got = {r["conv_id"]: r for r in chat_format.digests(chat_format.expand(turns)).collect()}
+    text = "user\n" + rows[0][3] + "\nassistant\n\n\n<s>[INST]\n"
+    assert got[1]["n_turns"] == 3 and got[1]["turns_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+    assert got[None]["loss_chars"] == 4
+    assert "Python" not in Q.op8_chat_format(spark, SF)._jdf.queryExecution().toString()
+
+
+def test_article_text(spark):
+    p, got = read("pages"), run(spark, "op9_page_diff").set_index("page_id")
+    for i, h in zip(p["page_id"], p["html"], strict=True):
+        article = re.search(r"<article>(.*?)(</article>|$)", h, re.S)[1]
+        blocks = [" ".join(html_lib.unescape(re.sub(r"</?b>", "", b.replace("<br>", " "))).split()) for b in re.split(r"</?(?:p|h1)>", article)]
+        assert got.text[i] == "\n\n".join(b for b in blocks if b)
+
+
+def test_page_differencing_without_marks(spark):
+    def page(x):
+        return f"<div>Site menu</div><div>All about <b>{x}</b>&amp;c</div><p>Imprint 1999</p><form>go</form><div class='comments'>hi</div>"
+
+    rows = [(i, f"http://h.com/{i}", page(f"topic {i}")) for i in range(9)] + [(20, "http://alone.com/", page("x")), (21, None, None)]
+    got = {r["page_id"]: r["text"] for r in page_diff.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"All about topic {i}&c" for i in range(9))
+    assert got[20] == "Site menu\n\nAll about x&c\n\nImprint 1999" and got[21] == ""
+
+
+def test_base_spans_and_grammar(spark):
+    rng = np.random.default_rng(6)
+
+    def token(alphabet, n):
+        return "".join(rng.choice(list(alphabet), n))
+
+    rows = [(i, f"word other AKIA{token(string.ascii_uppercase + string.digits, 16)} and token = \"{token('0123456789abcdef', 40)}\" end "
+             + "extraordinarily-longish-word") for i in range(60)]
+    rows += [(100, "plain"), (101, None), (102, "password=abc api-key"), (103, "é token='abcdefghijkl' x")]
+    got = {r["doc_id"]: r for r in secret_grammar.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows[:60]:
+        spans = [x.split(":") for x in got[i]["base"].split(",")]
+        assert [k for k, _, _ in spans] == ["access", "assign", "hex"]
+        assert text[int(spans[0][1]):int(spans[0][2])].startswith("AKIA")
+        assert set(got[i]["base"].split(",")) <= set(got[i]["spans"].split(","))
+        assert "extra" not in "".join(text[int(s):int(e)] for k, s, e in (x.split(":") for x in got[i]["spans"].split(",")) if k == "grammar")
+    assert got[100]["spans"] == got[101]["spans"] == got[102]["spans"] == "" and got[103]["base"] == "assign:2:21"
+
+
+def test_awkward_documents(spark):
+    docs, empty = awkward(spark), awkward(spark).where("false")
+    labels = spark.createDataFrame([(1, 0, 0)], "doc_id long, quality int, toxic int")
+    import public_tokenizers
+
+    path = public_tokenizers.path(Q.TOKENIZER)
+    near = ngram_join.near_duplicates(docs).toPandas()
+    assert len(near) == 9 and set(near[near.doc_id == 8].component_id) == {7} and set(near[near.doc_id == 5].component_id) == {4}
+    assert len(cube_mix.mix(docs).collect()) == 9 and len(toxicity.scored(docs, labels).collect()) == 9
+    assert packing.pack(docs, path).groupBy("doc_id").count().count() == 8
+    for f in (ngram_join.near_duplicates, cube_mix.mix, lambda d: packing.pack(d, path), secret_grammar.find_secrets,
+              lambda d: toxicity.scored(d, labels), cube_mix.mixed_documents, ngram_join.one_of_each_group):
+        assert f(empty).collect() == []
+    assert secret_grammar.redacted_documents(docs).columns == docs.columns
