@@ -29,11 +29,6 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def one_row_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast a frame that is one row by construction (a global aggregate)."""
-    return F.broadcast(df)
-
-
 def round6(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.round(c, 6)
