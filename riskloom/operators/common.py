@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +23,20 @@ def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(small)
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on columns of the same name in which null equals null: ``left``'s columns, then ``right``'s others."""
+    other = right.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns])
+    cond = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
+    return left.join(other, cond, how).drop(*[f"_r_{c}" for c in on])
+
+
+def nan_as_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """NaN counts as missing: null instead of NaN in the float and double columns among ``columns``."""
+    kinds = dict(df.dtypes)
+    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast(kinds[c]))
+                           for c in dict.fromkeys(columns) if kinds[c] in ("float", "double")})
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage of a frame that several branches read: a reliable checkpoint into the folder the
     cluster names in ``spark.checkpoint.dir`` (set only when unset, for local runs). The frame is

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import zero_div
+from .common import nan_as_null, zero_div
 from .prefix import DEFAULT_BUCKETS, ecdf_diff, stratified_rank
 
 # Test names as they appear in drift reports, and decision rules.
@@ -33,8 +33,8 @@ KS_SERIES_TERMS = 100
 
 
 def to_long(df: DataFrame, columns: Sequence[str], sample: str, value_type: str = "double") -> DataFrame:
-    """(sample, column_name, value) rows for the given columns (U4 input)."""
-    d = df.select(*[F.col(c).cast(value_type).alias(c) for c in columns])
+    """(sample, column_name, value) rows for the given columns; NaN counts as null (U4 input)."""
+    d = nan_as_null(df.select(*columns), columns).select(*[F.col(c).cast(value_type).alias(c) for c in columns])
     return (d.unpivot([], list(columns), "column_name", "value")
             .select(F.lit(sample).alias("sample"), "column_name", "value"))
 
@@ -91,7 +91,8 @@ def numeric_tests(long: DataFrame, threshold: float = 0.05, ref_tag: str = "ref"
 
 
 def _gammaincc(a: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Regularized upper incomplete gamma Q(a, x): series below a + 1, continued fraction above."""
+    """Regularized upper incomplete gamma Q(a, x): series below a + 1, continued fraction above. Near x = a both
+    need a few times sqrt(a) steps; a value that has not converged by then is an error, not a result."""
     out = np.full(a.shape, np.nan)
     for i, (ai, xi) in enumerate(zip(a, x)):
         if not (ai > 0) or xi is None or np.isnan(xi) or xi < 0:
@@ -100,22 +101,25 @@ def _gammaincc(a: np.ndarray, x: np.ndarray) -> np.ndarray:
             out[i] = 1.0
             continue
         lg = math.lgamma(ai)
+        steps = 1000 + int(100 * math.sqrt(ai))
         if xi < ai + 1:
             term = total = 1.0 / ai
             ap = ai
-            for _ in range(1000):
+            for _ in range(steps):
                 ap += 1
                 term *= xi / ap
                 total += term
                 if abs(term) < abs(total) * 1e-16:
                     break
+            else:
+                raise ArithmeticError(f"incomplete gamma({ai}, {xi}) did not converge")
             out[i] = max(0.0, 1.0 - total * math.exp(-xi + ai * math.log(xi) - lg))
         else:
             b = xi + 1 - ai
             c = 1e300
             d = 1 / b
             h = d
-            for k in range(1, 1000):
+            for k in range(1, steps):
                 an = -k * (k - ai)
                 b += 2
                 d = an * d + b
@@ -125,8 +129,10 @@ def _gammaincc(a: np.ndarray, x: np.ndarray) -> np.ndarray:
                 d = 1 / d
                 delta = d * c
                 h *= delta
-                if abs(delta - 1) < 1e-16:
+                if abs(delta - 1) < 1e-15:
                     break
+            else:
+                raise ArithmeticError(f"incomplete gamma({ai}, {xi}) did not converge")
             out[i] = math.exp(-xi + ai * math.log(xi) - lg) * h
     return out
 
@@ -295,17 +301,22 @@ def inject_shift(df: DataFrame, key: str, seed: int = 99, scale_col: str = "Amou
 
     scale_col *= factor; then exactly floor(n * overwrite_fraction) rows, those
     lowest in md5(seed|key) order, get scale_col = low + (high - low) * u with u
-    a uniform taken from the row's md5. Optional gaussian noise uses randn(seed)
-    and is therefore repeatable only on the same partitioning.
+    a uniform taken from the row's md5. Optional gaussian noise (Box-Muller over two
+    such uniforms) depends on the key alone, so it is the same on every partitioning.
     """
     r = stratified_rank(df.withColumn("_all", F.lit(0)), ["_all"], [key], seed)
-    u = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("u"), F.col(key).cast("string"))), 1, 8),
-               16, 10).cast("double") / F.lit(float(16 ** 8))
+
+    def uniform(name: str) -> Column:
+        digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(name), F.col(key).cast("string")))
+        return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(16 ** 8))
+
+    u = uniform("u")
     hit = F.col("stratum_rank") <= F.floor(F.col("stratum_n") * F.lit(overwrite_fraction))
     out = r.withColumn(scale_col, F.when(hit, F.lit(low) + F.lit(high - low) * u)
                        .otherwise(F.col(scale_col) * F.lit(factor)))
-    for i, c in enumerate(noise_cols):
-        out = out.withColumn(c, F.col(c) + F.randn(seed + i) * F.lit(noise_sd))
+    for c in noise_cols:
+        radius = F.sqrt(F.lit(-2.0) * F.log(uniform(f"{c}|r") + F.lit(0.5 / 16 ** 8)))  # never the log of 0
+        out = out.withColumn(c, F.col(c) + radius * F.cos(F.lit(2 * math.pi) * uniform(f"{c}|a")) * F.lit(noise_sd))
     return out.drop("_all", "_order", "stratum_rank", "stratum_n")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import literal_bucket, materialize, zero_div
@@ -81,18 +81,32 @@ def auc_ap(df: DataFrame, label: str = "Class", score: str = "p",
 
 def roc_curve(df: DataFrame, label: str = "Class", score: str = "p",
               n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
-    """One ROC point per distinct score: threshold, fpr, tpr (A11). Totals come with the running sums."""
-    cc = cumulative_counts(df, label, score, n_buckets)
-    return cc.select(
-        F.col(score).alias("threshold"),
-        F.try_divide(F.col("fp"), F.col("n_neg")).alias("fpr"),
-        F.try_divide(F.col("tp"), F.col("n_pos")).alias("tpr"))
+    """One ROC point per distinct score: threshold, fpr, tpr, and the start (null threshold: above every
+    score, 0, 0) (A11). Totals come with the running sums."""
+    return _roc_points(cumulative_counts(df, label, score, n_buckets), score)
+
+
+def _with_start(cc: DataFrame, start: Column, own: Column) -> DataFrame:
+    """``own`` as a row per score, and ``start`` once, before the highest score (whose running counts are its own)."""
+    first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+    return cc.select(F.explode(F.when(first, F.array(start, own)).otherwise(F.array(own))).alias("_p")).select("_p.*")
+
+
+def _roc_points(cc: DataFrame, score: str) -> DataFrame:
+    def point(threshold: Column, fp: Column, tp: Column) -> Column:
+        return F.struct(threshold.alias("threshold"), F.try_divide(fp, F.col("n_neg")).alias("fpr"),
+                        F.try_divide(tp, F.col("n_pos")).alias("tpr"))
+
+    nothing = F.lit(0).cast("long")
+    none = F.lit(None).cast(cc.schema[score].dataType)
+    return _with_start(cc, point(none, nothing, nothing), point(F.col(score), F.col("fp"), F.col("tp")))
 
 
 def roc_curve_thinned(df: DataFrame, label: str = "Class", score: str = "p",
                       n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """ROC points without the intermediate ones (A11 thinning for plots): a point is kept when the
-    second difference of FP or of TP at it is non-zero, or it is the first or the last point.
+    second difference of FP or of TP at it is non-zero, or it is the first or the last point. Without the
+    start (0, 0), which ``roc_curve`` has.
 
     Neighbours are found by equi-joins on the next distinct score (the prefix sums carry it), so the
     thinning is distributed like the curve itself; no ordered window over all points.
@@ -124,13 +138,14 @@ def cumulative_counts_next(df: DataFrame, label: str = "Class", score: str = "p"
 
 def pr_curve(df: DataFrame, label: str = "Class", score: str = "p",
              n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
-    """One PR point per distinct score: threshold, precision, recall, baseline prevalence."""
+    """One PR point per distinct score: threshold, precision, recall, baseline prevalence, and the end
+    (null threshold: above every score, precision 1, recall 0) (A12)."""
     cc = cumulative_counts(df, label, score, n_buckets)
-    return cc.select(
-        F.col(score).alias("threshold"),
-        (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-        F.try_divide(F.col("tp"), F.col("n_pos")).alias("recall"),
-        F.try_divide(F.col("n_pos"), F.col("n_pos") + F.col("n_neg")).alias("baseline"))
+    base = F.try_divide(F.col("n_pos"), F.col("n_pos") + F.col("n_neg")).alias("baseline")
+    own = F.struct(F.col(score).alias("threshold"), (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
+                   F.try_divide(F.col("tp"), F.col("n_pos")).alias("recall"), base)
+    none = F.lit(None).cast(cc.schema[score].dataType)
+    return _with_start(cc, F.struct(none.alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"), base), own)
 
 
 def threshold_sweep(df: DataFrame, thresholds: Sequence[float], label: str = "Class",

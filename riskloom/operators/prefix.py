@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from .common import checked_broadcast, materialize
+from .common import checked_broadcast, materialize, null_safe_join
 
 DEFAULT_BUCKETS = None  # None: one bucket per shuffle partition (spark.sql.shuffle.partitions)
 
@@ -35,12 +35,13 @@ def _unsign(c, descending: bool):
 
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], by: Sequence[str] = (),
                 descending: bool = False, n_buckets: int | None = DEFAULT_BUCKETS, with_next: bool = False,
-                with_totals: bool = False, materialized: bool = False) -> DataFrame:
+                with_totals: bool = False, materialized: bool = False, few_groups: bool = True) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in the order of ``order_col`` within ``by``.
 
-    ``df`` must hold one row per (by, order_col) value, i.e. be pre-aggregated,
-    and ``by`` must be of low cardinality (column names, a class label): the
-    offsets table holds at most ``n_buckets + groups`` rows and is broadcast.
+    ``df`` must hold one row per (by, order_col) value, i.e. be pre-aggregated.
+    The offsets table holds at most ``n_buckets + groups`` rows. It is broadcast
+    when ``by`` is of low cardinality (column names, a class label); with
+    ``few_groups=False`` (groups defined by the data) the join is left to the planner.
     Adds ``cum_<c>`` for every sum column; with ``with_next`` also
     ``next_<order_col>`` (the following value in the order, null at the end);
     with ``with_totals`` also ``tot_<c>`` (the group total).
@@ -73,7 +74,7 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], by: Sequ
         F.lead("_bmin").over(wb).alias("_next_bmin"),
     )
     # at most n_buckets + groups rows: range partitions are contiguous in (by, order)
-    out = bucketed.join(F.broadcast(offsets), [*by, "_bucket"], "inner")
+    out = null_safe_join(bucketed, F.broadcast(offsets) if few_groups else offsets, [*by, "_bucket"])
 
     w = Window.partitionBy(*by, "_bucket").orderBy("_k")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -85,16 +86,21 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], by: Sequ
 
 
 def stratified_rank(df: DataFrame, strata: Sequence[str], key_cols: Sequence[str], seed: int | str,
-                    hex_digits: int = 3, max_strata: int = 16) -> DataFrame:
+                    hex_digits: int | None = None, max_strata: int = 16, rows_per_bucket: int = 1_000_000) -> DataFrame:
     """Exact 1-based rank of each row inside its stratum, in seeded md5 order (K2).
 
     The order key is ``md5(seed|key...)``. Its first ``hex_digits`` hex digits
-    (16^digits buckets, 4,096 by default) split every stratum evenly, so a
-    stratum holding nearly all rows still spreads over many tasks. Adds
+    (16^digits buckets; by default as many digits as the counted rows need for
+    ``rows_per_bucket`` rows in each, 3 at least) split every stratum evenly, so a
+    stratum holding nearly all rows still spreads over many tasks. Null is a stratum of its own. Adds
     ``_order`` (the md5 text), ``stratum_rank`` and ``stratum_n``.
     """
     strata = list(strata)
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key_cols]))
+    if hex_digits is None:
+        hex_digits, n = 3, df.count()
+        while 16 ** hex_digits * rows_per_bucket < n:
+            hex_digits += 1
     d = df.withColumn("_order", key).withColumn(
         "_bucket", F.conv(F.substring("_order", 1, hex_digits), 16, 10).cast("int"))
     counts = d.groupBy(*strata, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
@@ -107,7 +113,7 @@ def stratified_rank(df: DataFrame, strata: Sequence[str], key_cols: Sequence[str
     # Size bound: strata x 16^digits rows; the number of strata is data-defined, so check it.
     offsets = checked_broadcast(offsets, max_strata * 16 ** hex_digits)
     w = Window.partitionBy(*strata, "_bucket").orderBy("_order", *key_cols)
-    return (d.join(offsets, [*strata, "_bucket"], "inner")
+    return (null_safe_join(d, offsets, [*strata, "_bucket"])
             .withColumn("stratum_rank", F.col("_off") + F.row_number().over(w))
             .drop("_bucket", "_off"))
 

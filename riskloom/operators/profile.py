@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import nan_as_null, null_safe_join
 from .prefix import DEFAULT_BUCKETS, prefix_sums
 
 
@@ -26,10 +28,10 @@ def _explode_structs(row_df: DataFrame, structs: list) -> DataFrame:
 
 
 def column_info(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """column_name, position, dtype, non_null, nulls per column in one scan."""
+    """column_name, position, dtype, non_null, nulls per column in one scan; NaN counts as null."""
     cols = list(columns or df.columns)
     dtypes = dict(df.dtypes)
-    agg = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(F.col(c)).alias(f"__nn_{i}") for i, c in enumerate(cols)])
+    agg = nan_as_null(df, cols).agg(F.count(F.lit(1)).alias("__n"), *[F.count(F.col(c)).alias(f"__nn_{i}") for i, c in enumerate(cols)])
     structs = [F.struct(F.lit(c).alias("column_name"), F.lit(i).alias("position"), F.lit(dtypes[c]).alias("dtype"),
                         F.col(f"__nn_{i}").alias("non_null"), (F.col("__n") - F.col(f"__nn_{i}")).alias("nulls"))
                for i, c in enumerate(cols)]
@@ -63,7 +65,7 @@ def mean_std(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     aggs = []
     for i, c in enumerate(columns):
         aggs += [F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}")]
-    row = df.agg(*aggs)
+    row = nan_as_null(df, columns).agg(*aggs)
     return _explode_structs(row, [F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n"),
                                            F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std_pop"))
                                   for i, c in enumerate(columns)])
@@ -79,51 +81,35 @@ def hour_class_counts(df: DataFrame, label: str = "Class", time_col: str = "Time
     return df.groupBy(hour_of_time(time_col).alias("hour"), F.col(label)).agg(F.count(F.lit(1)).alias("count"))
 
 
-WIDE_CORR_COLUMNS = 40  # above this many columns the pairwise aggregate list gets too long
+PAIRS_PER_PASS = 800  # column pairs in one aggregate
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column pair, long form (a, b, r), diagonal included.
 
-    Up to 40 columns: one aggregate pass computes every unordered pair (pairwise
-    complete rows) and the result is mirrored. Wider tables use Spark ML's
-    ``Correlation`` (one tree aggregate over assembled vectors, rows with a null
-    left out); its matrix is columns x columns, bounded by the schema.
-    Columns with no variance give null, as in pandas.
+    Pairwise complete rows at any width (NaN counts as null). Each unordered pair is computed once and
+    mirrored; pairs go in blocks, one aggregate pass per block. Columns with no variance give null, as in pandas.
     """
     cols = list(columns)
-    if len(cols) > WIDE_CORR_COLUMNS:
-        return _corr_matrix_wide(df, cols)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    row = df.agg(*[F.corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs],
-                 *[F.stddev_pop(c).alias(f"sd{i}") for i, c in enumerate(cols)])
-    structs = []
-    for i, j in pairs:
-        for a, b in ((i, j), (j, i)):
-            structs.append(F.struct(F.lit(cols[a]).alias("a"), F.lit(cols[b]).alias("b"),
-                                    F.col(f"c{i}_{j}").alias("r")))
-    for i, c in enumerate(cols):
-        structs.append(F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"),
-                                F.when(F.col(f"sd{i}") > 0, F.lit(1.0)).alias("r")))
-    return _explode_structs(row, structs)
-
-
-def _corr_matrix_wide(df: DataFrame, cols: list[str]) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
-    m = Correlation.corr(vec, "_v", "pearson").collect()[0][0].toArray()
-    rows = [(a, b, None if math.isnan(m[i][j]) else float(m[i][j]))
-            for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+    d = nan_as_null(df, cols)
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    blocks = []
+    for at in range(0, len(pairs), PAIRS_PER_PASS):
+        some = pairs[at:at + PAIRS_PER_PASS]
+        row = d.agg(*[(F.corr(cols[i], cols[j]) if i < j else F.stddev_pop(cols[i])).alias(f"c{i}_{j}") for i, j in some])
+        structs = []
+        for i, j in some:
+            r = F.col(f"c{i}_{j}") if i < j else F.when(F.col(f"c{i}_{j}") > 0, F.lit(1.0))
+            structs += [F.struct(F.lit(cols[a]).alias("a"), F.lit(cols[b]).alias("b"), r.alias("r"))
+                        for a, b in dict.fromkeys([(i, j), (j, i)])]
+        blocks.append(_explode_structs(row, structs))
+    return reduce(DataFrame.unionByName, blocks)
 
 
 def top_corr_with(df: DataFrame, target: str, columns: Sequence[str], k: int = 5) -> DataFrame:
     """The k columns most correlated (by |r|) with ``target``, target itself excluded (D3)."""
     cols = [c for c in columns if c != target]
-    row = df.agg(*[F.corr(c, target).alias(f"c{i}") for i, c in enumerate(cols)])
+    row = nan_as_null(df, [target, *cols]).agg(*[F.corr(c, target).alias(f"c{i}") for i, c in enumerate(cols)])
     long = _explode_structs(row, [F.struct(F.lit(c).alias("feature"), F.col(f"c{i}").alias("r"))
                                   for i, c in enumerate(cols)])
     return long.where(F.col("r").isNotNull()).orderBy(F.desc(F.abs("r")), "feature").limit(k)
@@ -138,25 +124,25 @@ def histogram(df: DataFrame, column: str, bins: int = 10, by: Sequence[str] = ()
     """
     by = list(by)
     x = F.col(column)
-    d = df.where(x.isNotNull())
-    stats = d.groupBy(*by).agg(F.min(x).alias("mn"), F.max(x).alias("mx"), F.count(F.lit(1)).alias("n"))
-    width = (F.col("mx") - F.col("mn")) / F.lit(float(bins))
-    if by:  # one row of edges per group, broadcast
-        joined = d.join(F.broadcast(stats), by, "inner")
-        mn, mx = F.col("mn"), F.col("mx")
+    d = nan_as_null(df.select(*by, column), [column]).where(x.isNotNull())
+    stats = d.groupBy(*by).agg(F.min(x).alias("_mn"), F.max(x).alias("_mx"), F.count(F.lit(1)).alias("_n"))
+    width = (F.col("_mx") - F.col("_mn")) / F.lit(float(bins))
+    if by:  # one row of edges per group; the planner broadcasts it where it is small
+        joined = null_safe_join(d, stats, by)
+        mn, mx = F.col("_mn"), F.col("_mx")
     else:  # the edges as a scalar subquery
-        e = stats.select(F.struct("mn", "mx")).scalar()
-        joined, mn, mx = d, e["mn"], e["mx"]
+        e = stats.select(F.struct("_mn", "_mx")).scalar()
+        joined, mn, mx = d, e["_mn"], e["_mx"]
     pos = F.when(mx > mn, F.least(F.floor((x - mn) / (mx - mn) * bins), F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
     counts = joined.groupBy(*by, pos.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    grid = stats.select(*by, "mn", "mx", "n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    out = grid.join(counts, [*by, "bin"], "left").na.fill(0, ["count"])
+    grid = stats.select(*by, "_mn", "_mx", "_n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    out = null_safe_join(grid, counts, [*by, "bin"], "left").na.fill(0, ["count"])
     return out.select(
         *by, "bin",
-        (F.col("mn") + width * F.col("bin")).alias("lo"),
-        (F.col("mn") + width * (F.col("bin") + 1)).alias("hi"),
+        (F.col("_mn") + width * F.col("bin")).alias("lo"),
+        (F.col("_mn") + width * (F.col("bin") + 1)).alias("hi"),
         "count",
-        F.try_divide(F.col("count"), F.col("n") * F.when(width > 0, width)).alias("density"),
+        F.try_divide(F.col("count"), F.col("_n") * F.when(width > 0, width)).alias("density"),
     )
 
 
@@ -170,7 +156,7 @@ def exact_percentiles(df: DataFrame, column: str, qs: Sequence[float],
     aggregate buffer holds the whole column. Output: q, value.
     """
     x = F.col(column)
-    counts = df.where(x.isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("c"))
+    counts = nan_as_null(df.select(column), [column]).where(x.isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("c"))
     ps = prefix_sums(counts, column, ["c"], n_buckets=n_buckets)  # cum_c = rows with value <= v
     n = counts.agg(F.sum("c").alias("n"))
     targets = n.select(F.array(*[F.struct(F.lit(float(q)).alias("q"), (F.lit(float(q)) * (F.col("n") - 1)).alias("h"))
@@ -204,22 +190,22 @@ def kde(df: DataFrame, column: str, label: str = "Class", bins: int = 200, grid:
     the cost is bins x grid per class and not rows x grid. Output: label, x, density.
     """
     x = F.col(column)
-    d = df.where(x.isNotNull())
+    d = nan_as_null(df.select(label, column), [column]).where(x.isNotNull())
     rng = d.agg(F.struct(F.min(x).alias("gmin"), F.max(x).alias("gmax"))).scalar()  # scalar subquery
     gmin, gmax = rng["gmin"], rng["gmax"]
-    per_class = d.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(x).alias("sd"))
+    per_class = d.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp(x).alias("_sd"))
     w = (gmax - gmin) / bins
     b = F.when(gmax > gmin, F.least(F.floor((x - gmin) / (gmax - gmin) * bins), F.lit(bins - 1))).otherwise(
         F.lit(0)).cast("int")
-    hist = d.groupBy(label, b.alias("bin")).agg(F.count(F.lit(1)).alias("c"))
-    centers = hist.select(label, "c", (gmin + w * (F.col("bin") + 0.5)).alias("xc"))
-    h = F.pow(F.col("n").cast("double"), F.lit(-0.2)) * F.col("sd")
+    hist = d.groupBy(label, b.alias("_bin")).agg(F.count(F.lit(1)).alias("_c"))
+    centers = hist.select(label, "_c", (gmin + w * (F.col("_bin") + 0.5)).alias("_xc"))
+    h = F.pow(F.col("_n").cast("double"), F.lit(-0.2)) * F.col("_sd")
     # the bins of one class are at most `bins` rows by construction, so one array per class is bounded
-    per = (centers.groupBy(label).agg(F.collect_list(F.struct("xc", "c")).alias("hist"))
-           .join(F.broadcast(per_class), label).withColumn("h", h))
-    pts = (per.select(label, "hist", "n", "h", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g"))
-           .withColumn("x", gmin + (gmax - gmin) * F.col("g") / F.lit(grid - 1)))
-    norm = F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi))
-    dens = F.aggregate("hist", F.lit(0.0), lambda acc, b: acc + b["c"] * F.exp(
-        F.lit(-0.5) * F.pow((F.col("x") - b["xc"]) / F.col("h"), 2)))
+    per = null_safe_join(centers.groupBy(label).agg(F.collect_list(F.struct("_xc", "_c")).alias("_hist")),
+                         per_class, [label]).withColumn("_h", h)
+    pts = (per.select(label, "_hist", "_n", "_h", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("_g"))
+           .withColumn("x", gmin + (gmax - gmin) * F.col("_g") / F.lit(grid - 1)))
+    norm = F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi))
+    dens = F.aggregate("_hist", F.lit(0.0), lambda acc, b: acc + b["_c"] * F.exp(
+        F.lit(-0.5) * F.pow((F.col("x") - b["_xc"]) / F.col("_h"), 2)))
     return pts.select(label, "x", (dens / norm).alias("density"))

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.common import materialize
+from .tables import MissingSourceError, load_table
+
 # Prediction log layout; every field is required.
 PREDICTION_LOG = T.StructType([
     T.StructField("prediction_id", T.StringType(), False),
@@ -73,18 +76,28 @@ def new_predictions(batch: DataFrame, log: DataFrame, key: str = "prediction_id"
     return first.join(log.select(key).distinct(), key, "left_anti")
 
 
-def append_predictions(batch: DataFrame, path: str, key: str = "prediction_id") -> int:
-    """Append the batch rows whose id is new to the Parquet log at ``path``; returns rows written."""
+def accepted_rows(df: DataFrame, schema: T.StructType = PREDICTION_LOG) -> DataFrame:
+    """Rows with every NOT NULL field of the layout present (S5): all but ``not_null_violations``."""
+    return df.na.drop(subset=[f.name for f in schema.fields if not f.nullable])
+
+
+def append_predictions(batch: DataFrame, path: str, key: str = "prediction_id", quarantine: str | None = None) -> int:
+    """Append the batch rows whose id is new to the Parquet log at ``path``; returns rows written.
+
+    Rows that break a NOT NULL field go to ``quarantine`` (default: the log's path with ``-rejected``)
+    and never to the log. Only a missing path counts as "no log yet"; any other read error is raised."""
     spark = batch.sparkSession
     try:
-        log = spark.read.schema(PREDICTION_LOG).parquet(path)
-        log.schema  # noqa: B018
-        existing = log
-    except Exception:  # noqa: BLE001 - first write: no log yet
-        existing = spark.createDataFrame([], PREDICTION_LOG)
-    fresh = new_predictions(conform(batch), existing, key)
+        log = load_table(spark, path, schema=PREDICTION_LOG)
+    except MissingSourceError:
+        log = spark.createDataFrame([], PREDICTION_LOG)
+    rows = materialize(conform(batch))
+    broken = not_null_violations(rows)
+    if not broken.isEmpty():
+        broken.write.mode("append").parquet(quarantine or f"{path.rstrip('/')}-rejected")
+    fresh = materialize(new_predictions(accepted_rows(rows), log, key))
     fresh.write.mode("append").parquet(path)
-    return spark.read.parquet(path).count() - existing.count()
+    return fresh.count()
 
 
 def report_rows(table: DataFrame, summary: DataFrame, hist: DataFrame, run_ts: Column) -> DataFrame:
@@ -125,8 +138,9 @@ def write_report(report: DataFrame, path: str) -> None:
 def read_reports(spark: SparkSession, path: str) -> DataFrame:
     """Drift-report source (S10) -> one row per (report, column): run_ts, column_name and its result."""
     raw = spark.read.schema(DRIFT_REPORT).option("multiLine", True).json(path)
-    if "run_ts" not in raw.columns:
-        raw = raw.withColumn("run_ts", F.lit(None).cast("string"))
+    if "run_ts" not in raw.columns:  # plain files: the stamp is in the file's name
+        stamp = F.regexp_extract(F.col("_metadata.file_path"), r"(\d{8}[T_-]?\d{6}Z?)[^/]*$", 1)
+        raw = raw.withColumn("run_ts", F.nullif(stamp, F.lit("")))
     m = raw.select("run_ts", F.explode("metrics").alias("m")).where(F.col("m.result.drift_by_columns").isNotNull())
     return m.select("run_ts", F.explode("m.result.drift_by_columns").alias("column_name", "r")).select(
         "run_ts", "column_name", "r.stattest_name", "r.drift_score", "r.drift_detected")
