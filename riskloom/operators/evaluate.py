@@ -80,26 +80,28 @@ def auc_ap(df: DataFrame, label: str = "Class", score: str = "p",
 
 
 def roc_curve(df: DataFrame, label: str = "Class", score: str = "p",
-              n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
-    """One ROC point per distinct score: threshold, fpr, tpr, and the start (null threshold: above every
-    score, 0, 0) (A11). Totals come with the running sums."""
-    return _roc_points(cumulative_counts(df, label, score, n_buckets), score)
+              n_buckets: int | None = DEFAULT_BUCKETS, ends: bool = False) -> DataFrame:
+    """One ROC point per distinct score: threshold, fpr, tpr; with ``ends`` also the start (null threshold: above
+    every score, 0, 0), so that the area under the points is the AUC (A11). Totals come with the running sums."""
+    return _roc_points(cumulative_counts(df, label, score, n_buckets), score, ends)
 
 
-def _with_start(cc: DataFrame, start: Column, own: Column) -> DataFrame:
-    """``own`` as a row per score, and ``start`` once, before the highest score (whose running counts are its own)."""
+def _with_start(cc: DataFrame, start: Column, own: Column, ends: bool) -> DataFrame:
+    """``own`` as a row per score, and with ``ends`` ``start`` once, before the highest score (whose running counts are its own)."""
+    if not ends:
+        return cc.select(own.alias("_p")).select("_p.*")
     first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
     return cc.select(F.explode(F.when(first, F.array(start, own)).otherwise(F.array(own))).alias("_p")).select("_p.*")
 
 
-def _roc_points(cc: DataFrame, score: str) -> DataFrame:
+def _roc_points(cc: DataFrame, score: str, ends: bool) -> DataFrame:
     def point(threshold: Column, fp: Column, tp: Column) -> Column:
         return F.struct(threshold.alias("threshold"), F.try_divide(fp, F.col("n_neg")).alias("fpr"),
                         F.try_divide(tp, F.col("n_pos")).alias("tpr"))
 
     nothing = F.lit(0).cast("long")
     none = F.lit(None).cast(cc.schema[score].dataType)
-    return _with_start(cc, point(none, nothing, nothing), point(F.col(score), F.col("fp"), F.col("tp")))
+    return _with_start(cc, point(none, nothing, nothing), point(F.col(score), F.col("fp"), F.col("tp")), ends)
 
 
 def roc_curve_thinned(df: DataFrame, label: str = "Class", score: str = "p",
@@ -137,15 +139,15 @@ def cumulative_counts_next(df: DataFrame, label: str = "Class", score: str = "p"
 
 
 def pr_curve(df: DataFrame, label: str = "Class", score: str = "p",
-             n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
-    """One PR point per distinct score: threshold, precision, recall, baseline prevalence, and the end
-    (null threshold: above every score, precision 1, recall 0) (A12)."""
+             n_buckets: int | None = DEFAULT_BUCKETS, ends: bool = False) -> DataFrame:
+    """One PR point per distinct score: threshold, precision, recall, baseline prevalence; with ``ends`` also the
+    end (null threshold: above every score, precision 1, recall 0) (A12)."""
     cc = cumulative_counts(df, label, score, n_buckets)
     base = F.try_divide(F.col("n_pos"), F.col("n_pos") + F.col("n_neg")).alias("baseline")
     own = F.struct(F.col(score).alias("threshold"), (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
                    F.try_divide(F.col("tp"), F.col("n_pos")).alias("recall"), base)
     none = F.lit(None).cast(cc.schema[score].dataType)
-    return _with_start(cc, F.struct(none.alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"), base), own)
+    return _with_start(cc, F.struct(none.alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"), base), own, ends)
 
 
 def threshold_sweep(df: DataFrame, thresholds: Sequence[float], label: str = "Class",

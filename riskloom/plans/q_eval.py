@@ -73,7 +73,7 @@ WITH {_SC}
 SELECT p AS threshold, round(fp / n_neg, 6) AS fpr, round(tp / n_pos, 6) AS tpr FROM cc, tot
 UNION ALL SELECT NULL, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM tot""", ("scored",))
 def a11_roc_curve(spark, sf):
-    return _r6(ev.roc_curve(fx.scored(spark, sf), "Class", "p"), ["fpr", "tpr"])
+    return _r6(ev.roc_curve(fx.scored(spark, sf), "Class", "p", ends=True), ["fpr", "tpr"])
 
 
 @query("a11_roc_curve_thinned", f"""
@@ -93,7 +93,7 @@ SELECT p AS threshold, round(tp / (tp + fp), 6) AS precision, round(tp / n_pos,
        round(n_pos / (n_pos + n_neg), 6) AS baseline FROM cc, tot
 UNION ALL SELECT NULL, CAST(1 AS DOUBLE), CAST(0 AS DOUBLE), round(n_pos / (n_pos + n_neg), 6) FROM tot""", ("scored",))
 def a12_pr_curve(spark, sf):
-    return _r6(ev.pr_curve(fx.scored(spark, sf), "Class", "p"), ["precision", "recall", "baseline"])
+    return _r6(ev.pr_curve(fx.scored(spark, sf), "Class", "p", ends=True), ["precision", "recall", "baseline"])
 
 
 _SWEEP_SQL = ", ".join(f"({t})" for t in SWEEP)

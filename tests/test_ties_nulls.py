@@ -70,11 +70,11 @@ def test_chi_squared_converges_at_many_categories(dof, p):
 
 def test_curves_have_their_end_points(spark):
     d = spark.range(300).select((F.col("id") * 37 % 101 / 101).alias("p"), (F.col("id") % 3 == 0).cast("int").alias("Class"))
-    pts = sorted((r.fpr, r.tpr) for r in ev.roc_curve(d, "Class", "p").collect())
+    pts = sorted((r.fpr, r.tpr) for r in ev.roc_curve(d, "Class", "p", ends=True).collect())
     assert pts[0] == (0.0, 0.0) and pts[-1] == (1.0, 1.0)
     area = sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(pts, pts[1:]))
     assert area == pytest.approx(ev.auc_ap(d, "Class", "p").first().roc_auc, abs=1e-12)
-    assert ev.pr_curve(d, "Class", "p").where("threshold IS NULL AND precision = 1 AND recall = 0").count() == 1
+    assert ev.pr_curve(d, "Class", "p", ends=True).where("threshold IS NULL AND precision = 1 AND recall = 0").count() == 1
 
 
 def test_log_rejects_nulls_and_keeps_reruns_out(spark, tmp_path):
