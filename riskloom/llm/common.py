@@ -27,6 +27,17 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(docs: DataFrame, most: int = 4 << 20) -> DataFrame:
+    """``docs``, whose whole texts go to Python: lowers the session's limit on the bytes of an Arrow batch to
+    ``most`` (a smaller limit stays), so that neither the send buffers of an executor nor its Python workers hold
+    ten thousand long texts at a time. A longer text is a batch of its own."""
+    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = conf.get(name).rstrip("b")  # "67108864b", unless the session has set it in other units
+    if not own.isdigit() or not 0 < int(own) <= most:
+        conf.set(name, str(most))
+    return docs
+
+
 def lower_ascii(c: Column) -> Column:
     """A-Z to a-z and nothing else (``lower`` also folds other scripts)."""
     return F.translate(c, UPPER, LOWER)

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import small_batches, written
 from .components import components
 from .wordhash import mix, shingles, text_buffer, text_slices, word_hashes
 
@@ -365,7 +365,7 @@ def _between(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     """``docs`` (doc_id, text) -> one row per document: doc_id, n_shingles, cls (equal sets have equal cls),
     component_id (smallest doc_id reachable by links of 100 * |A & B| >= percent * |A | B|)."""
-    rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text")
+    rows = small_batches(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text")
     size = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     bits = max(7, int(size // (8 << 20)).bit_length())  # about 8 MB of text per block, 128 at least
     chunks = rows.mapInArrow(_to_chunks(k, bits), CHUNKS)

@@ -28,7 +28,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, written
+from .common import LOWER, UPPER, small_batches, written
 from .wordhash import hash_of, text_buffer, text_slices, word_hashes
 
 #: Fixed list of common insults, in the languages of the corpus.
@@ -91,7 +91,7 @@ class Voters:
         @F.arrow_udf("struct<mask: bigint, hits: bigint>")
         def run(texts: pa.Array) -> pa.Array:
             data, offs = text_buffer(texts)
-            found = [self.votes(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a]) for a, b in text_slices(offs, 1 << 21)]
+            found = [self.votes(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a]) for a, b in text_slices(offs, 1 << 19)]
             mask, hits = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in (0, 1))
             return pa.StructArray.from_arrays([pa.array(mask, pa.int64()), pa.array(hits, pa.int64())], names=["mask", "hits"])
 
@@ -153,7 +153,7 @@ def _rows_with(hashes: list, lengths: set[int], rows: DataFrame) -> np.ndarray:
         total = np.zeros(len(known), np.int64)
         for batch in batches:
             data, offs = text_buffer(batch.column(0))
-            for a, b in text_slices(offs, 1 << 20):
+            for a, b in text_slices(offs, 1 << 19):
                 unit, owner = word_hashes(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a], _SEPARATOR, stems)
                 at = np.searchsorted(known, unit)
                 at[at == len(known)] = 0
@@ -269,7 +269,7 @@ def features(found: Column, n_voters: int) -> list[Column]:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, most: int = 28) -> Scorer:
-    rows = written(labelled_sample(docs, labels, sample), "toxic-sample")
+    rows = written(labelled_sample(small_batches(docs), labels, sample), "toxic-sample")
     words, stems, prior = mine_lexicon(rows, most)
     voters = Voters(words, stems)
     n = len(voters.names)

@@ -18,7 +18,7 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _STEP = _RNG.integers(0, 2**64, 16, dtype=np.uint64) | np.uint64(1)
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _POWERS: list[np.ndarray] = []
 
 
@@ -61,7 +61,7 @@ def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndar
 def word_hashes(data: np.ndarray, offs: np.ndarray, separators: np.ndarray | None = None,
                 stems: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
     """(hash, text number) of every word of the texts, in order; with ``stems``, also the hashes of the words'
-    first bytes, of each of these lengths, where a word is longer. Works in blocks of about a megabyte, cut
+    first bytes, of each of these lengths, where a word is longer. Works in blocks of about a quarter megabyte, cut
     at separators or the end of a text, so the working memory does not follow the text's length."""
     gap = SPACE if separators is None else separators
     hashes, owner, at, n = [], [], 0, len(data)

@@ -12,7 +12,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.llm import (chat_format, cross_polytope, cube_mix, ngram_join, packing, page_diff, pivot_index, secret_grammar,
+from riskloom.llm import (chat_format, common, cross_polytope, cube_mix, ngram_join, packing, page_diff, pivot_index, secret_grammar,
                           toxicity, url_reputation)
 from riskloom.llm import queries as Q
 
@@ -280,6 +280,24 @@ def test_base_spans_and_grammar(spark):
     assert got[100]["spans"] == got[101]["spans"] == got[102]["spans"] == "" and got[103]["base"] == "assign:2:21"
 
 
+def test_candidates_outside_base_spans():
+    rng = np.random.default_rng(12)
+    for _ in range(300):
+        base = sorted((int(s), 0, int(s + n), "") for s, n in rng.integers(1, 20, (rng.integers(0, 6), 2)) * [5, 1])
+        cand = sorted((int(s), int(s + n), "x") for s, n in rng.integers(1, 12, (8, 2)) * [7, 1])
+        assert secret_grammar.outside(cand, base) == [c for c in cand if not any(s < c[1] and c[0] < e for s, _, e, _ in base)]
+
+
+def test_batches_of_texts_are_small(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(name, "1000")
+    common.small_batches(spark.range(1))
+    assert spark.conf.get(name).rstrip("b") == "1000"
+    spark.conf.unset(name)
+    common.small_batches(spark.range(1))
+    assert int(spark.conf.get(name).rstrip("b")) == 4 << 20
+
+
 def test_awkward_documents(spark):
     docs, empty = awkward(spark), awkward(spark).where("false")
     labels = spark.createDataFrame([(1, 0, 0)], "doc_id long, quality int, toxic int")
