@@ -16,6 +16,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
+
+from ..functions.validate import check_signature
 
 
 @dataclass(frozen=True)
@@ -51,7 +54,9 @@ def fit_gbt(train: DataFrame, features: Sequence[str], label: str = "Class", par
 
 
 def score(model: PipelineModel, df: DataFrame, threshold: float = 0.5, keep: Sequence[str] = ()) -> DataFrame:
-    """Batch scoring (M6): fraud_probability = P(class 1) (X7), is_fraud = p >= threshold."""
+    """Batch scoring (M6): fraud_probability = P(class 1) (X7), is_fraud = p >= threshold (F7). Input columns
+    that the model was fitted on and ``df`` lacks raise ``SchemaMismatchError`` before anything runs (P7)."""
+    check_signature(df, [(c, DoubleType()) for s in model.stages[:1] for c in s.getInputCols()])
     out = model.transform(df)
     p = vector_to_array(F.col("probability"))[1]
     return out.select(*keep, p.alias("fraud_probability"), (p >= threshold).alias("is_fraud"))

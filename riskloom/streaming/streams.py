@@ -11,7 +11,7 @@ import os
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -135,9 +135,9 @@ def _rolling_fn(n: int):
         for pdf in pdfs:
             add = pd.DataFrame({"ts": pdf["event_time"], "pid": pdf["prediction_id"],
                                 "flag": pdf["is_fraud"].astype("int64"), "prob": pdf["fraud_probability"]})
-            buf = pd.concat([buf, add], ignore_index=True)
-        # newest n by (time desc, id asc): the state never holds more than n rows per key
-        buf = buf.sort_values(["ts", "pid"], ascending=[False, True]).head(n)
+            # newest n by (time desc, id asc), after every Arrow batch: neither the task nor the state holds
+            # more than n rows per key besides the batch at hand
+            buf = pd.concat([buf, add], ignore_index=True).sort_values(["ts", "pid"], ascending=[False, True]).head(n)
         state.update((buf["ts"].tolist(), buf["pid"].tolist(), [int(x) for x in buf["flag"]],
                       [float(x) for x in buf["prob"]]))
         yield pd.DataFrame({"model_version": [key[0]], "count": [len(buf)],
@@ -149,14 +149,16 @@ def _rolling_fn(n: int):
 
 def _local_newest(n: int):
     """Per input partition, keep only the newest n rows of every key (older rows can never be in a
-    key's newest n), so a hot key sends at most partitions x n rows to its state task per batch."""
+    key's newest n), so a hot key sends at most partitions x n rows to its state task per batch. The rows
+    held are trimmed after every Arrow batch: n per key, whatever the partition's size."""
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [b for b in batches if len(b)]
-        if not parts:
-            return
-        pdf = pd.concat(parts, ignore_index=True)
-        pdf = pdf.sort_values(["event_time", "prediction_id"], ascending=[False, True])
-        yield pdf.groupby("model_version", sort=False).head(n)
+        held = None
+        for pdf in batches:
+            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            pdf = pdf.sort_values(["event_time", "prediction_id"], ascending=[False, True])
+            held = pdf.groupby("model_version", sort=False, dropna=False).head(n)
+        if held is not None and len(held):
+            yield held
     return fn
 
 
@@ -170,10 +172,27 @@ def rolling_metrics_stream(src: DataFrame, n: int = 100, key: str = "model_versi
         _rolling_fn(n), ROLLING_OUT, ROLLING_STATE, "update", GroupStateTimeout.NoTimeout)
 
 
+def scan_bound(batch: DataFrame, log: DataFrame, n: int, ts: str = "timestamp", hours: int = 1) -> Column | None:
+    """A literal event time at or after which ``log`` holds at least ``n`` rows, so that its newest n need no
+    older row: the batch's newest time less a span that widens sixteen-fold until it holds n rows (every look
+    is a filtered scan that stops at n rows). None when no span up to a century does, or without event times."""
+    kind = log.schema[ts].dataType
+    while hours < 24 * 366 * 120:
+        at = batch.agg((F.max(ts) - F.make_dt_interval(hours=F.lit(hours))).cast("string").alias("at")).first()["at"]  # one row
+        if at is None:
+            return None
+        bound = F.lit(at).cast(kind)
+        if log.where(F.col(ts) >= bound).limit(n).count() >= n:
+            return bound
+        hours *= 16
+    return None
+
+
 def drift_check_query(src: DataFrame, ref: DataFrame, numeric: Sequence[str], log_path: str, n_recent: int,
                       report_path: str, trigger_path: str, checkpoint: str,
                       trigger: dict | None = None, ts_col: str = "timestamp") -> StreamingQuery:
-    """Each micro-batch appends to the log, then runs the drift check on the newest n of the log."""
+    """Each micro-batch appends to the log, then runs the drift check on the newest n of the log. The log
+    is read from ``scan_bound`` on, so a check reads recent row groups and not the whole log."""
     def per_batch(df: DataFrame, batch_id: int) -> None:
         df = df.persist()  # written to the log and read for its newest event time
         df.write.mode("overwrite").parquet(os.path.join(log_path, f"batch_id={batch_id}"))
@@ -183,8 +202,10 @@ def drift_check_query(src: DataFrame, ref: DataFrame, numeric: Sequence[str], lo
         # same report and trigger partitions instead of adding new ones
         newest_ts = df.agg(F.max(ts_col)).collect()[0][0] if ts_col in df.columns else None
         as_of = F.lit(newest_ts).cast("timestamp") if newest_ts is not None else None
+        since = scan_bound(df, log, n_recent, ts_col) if newest_ts is not None else None
         df.unpersist()
-        monitor.run_monitor(spark, ref, log, numeric, n_recent, report_path, trigger_path, as_of=as_of).collect()
+        monitor.run_monitor(spark, ref, log, numeric, n_recent, report_path, trigger_path, as_of=as_of, since=since,
+                            ts=ts_col).collect()
 
     w = src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()

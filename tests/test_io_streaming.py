@@ -2,9 +2,11 @@
 
 import os
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom.functions.validate import SchemaMismatchError
 from riskloom.operators import drift as dr
 from riskloom.operators import features as fe
 from riskloom.operators import models as mo
@@ -224,6 +226,34 @@ def test_drift_check_stream_writes_report(spark, replay, tmp_dir):
     assert logs.read_reports(spark, rep).count() == 2  # one report per micro-batch, one column each
 
 
+def test_scan_bound_keeps_the_newest_rows(spark):
+    """The bound holds at least n rows, leaves the newest n as they are, and gives way on short logs."""
+    log = fx.pred(spark, SF).select("prediction_id", "timestamp")
+    for n in (1, 50, 700):
+        bound = st.scan_bound(log, log, n, hours=1)
+        want = [r.prediction_id for r in monitor.newest(log, n).collect()]
+        assert [r.prediction_id for r in monitor.newest(log.where(F.col("timestamp") >= bound), n).collect()] == want
+    assert st.scan_bound(log, log, log.count() + 1) is None
+    assert st.scan_bound(log.where("false"), log, 1) is None
+
+
+def test_local_newest_trims_every_batch():
+    t = pd.to_datetime("2024-01-01")
+    rows = pd.DataFrame({"model_version": ["a", None] * 30, "prediction_id": [f"{i:02d}" for i in range(60)],
+                         "event_time": [t + pd.Timedelta(minutes=i % 7) for i in range(60)]})
+    whole = rows.sort_values(["event_time", "prediction_id"], ascending=[False, True]).groupby("model_version", dropna=False).head(3)
+    got = list(st._local_newest(3)(iter([rows[:20], rows[20:20], rows[20:50], rows[50:]])))
+    assert len(got) == 1 and sorted(got[0].prediction_id) == sorted(whole.prediction_id)
+    assert list(st._local_newest(3)(iter([]))) == []
+
+
+def test_score_names_missing_inputs(spark):
+    s = fx.feat(spark, SF).select("tx_id", "Class", "V1", "V2")
+    model = mo.fit_gbt(s.withColumn("weight", F.lit(1.0)), ["V1", "V2"], "Class", mo.GBTParams(max_depth=1, step_size=0.1, max_iter=1))
+    with pytest.raises(SchemaMismatchError, match="V2"):
+        mo.score(model, s.drop("V2"), keep=["tx_id"])
+
+
 def test_gbt_with_validation_indicator(spark):
     feats = [f"V{i}" for i in range(1, 29)] + ["Amount"]
     s = fe.stratified_split(fx.feat(spark, SF), "Class", "tx_id", 42)
