@@ -105,10 +105,10 @@ def _roc_points(cc: DataFrame, score: str, ends: bool) -> DataFrame:
 
 
 def roc_curve_thinned(df: DataFrame, label: str = "Class", score: str = "p",
-                      n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
+                      n_buckets: int | None = DEFAULT_BUCKETS, ends: bool = False) -> DataFrame:
     """ROC points without the intermediate ones (A11 thinning for plots): a point is kept when the
-    second difference of FP or of TP at it is non-zero, or it is the first or the last point. Without the
-    start (0, 0), which ``roc_curve`` has.
+    second difference of FP or of TP at it is non-zero, or it is the first or the last point. With ``ends``
+    also the start (0, 0), as in ``roc_curve``.
 
     Neighbours are found by equi-joins on the next distinct score (the prefix sums carry it), so the
     thinning is distributed like the curve itself; no ordered window over all points.
@@ -122,10 +122,7 @@ def roc_curve_thinned(df: DataFrame, label: str = "Class", score: str = "p",
     d2 = lambda a, p_, n_: F.col(n_) - 2 * F.col(a) + F.col(p_)
     keep = (F.col("tp_prev").isNull() | F.col("tp_next").isNull()
             | (d2("fp", "fp_prev", "fp_next") != 0) | (d2("tp", "tp_prev", "tp_next") != 0))
-    return j.where(keep).select(
-        F.col(score).alias("threshold"),
-        F.try_divide(F.col("fp"), F.col("n_neg")).alias("fpr"),
-        F.try_divide(F.col("tp"), F.col("n_pos")).alias("tpr"))
+    return _roc_points(j.where(keep), score, ends)
 
 
 def cumulative_counts_next(df: DataFrame, label: str = "Class", score: str = "p",

@@ -301,6 +301,10 @@ def test_roc_thinning_drops_collinear_points(spark):
     df = spark.createDataFrame(rows, "p double, Class int")
     got = sorted(r.threshold for r in ev.roc_curve_thinned(df, n_buckets=2).collect())
     assert got == [0.4, 0.7, 0.9]
+    whole = ev.roc_curve_thinned(df, n_buckets=2, ends=True).orderBy("fpr", "tpr").collect()
+    assert (whole[0].threshold, whole[0].fpr, whole[0].tpr) == (None, 0.0, 0.0) and len(whole) == 4
+    area = sum((b.fpr - a.fpr) * (a.tpr + b.tpr) / 2 for a, b in zip(whole, whole[1:]))
+    assert area == pytest.approx(ev.auc_ap(df).collect()[0].roc_auc)
     assert ev.roc_curve(df).count() == 6
 
 
