@@ -1,15 +1,24 @@
 """Embedding near-dedup with a pivot-permutation index.
 
-A vector is described by its nearest reference points (pivots), in order. Inverted lists hold, per pivot, the
-vectors that have it among their first ``prefix`` pivots; two vectors are candidates when they share at least
-``shared`` of these, and candidates are verified by their cosine in double precision. A pair is looked at
-only in the list of its smallest shared pivot. The lists are split into blocks, and pairs of blocks are
-compared as matrices, so a crowded pivot is many tasks and no row is made per pair: a pair of blocks
-returns a count per vector and a spanning forest of its links.
+A vector is described by its nearest reference points (pivots), in order. Pivots are kept apart (no two have a
+cosine above ``apart``), so a crowded region holds a few and not its share of them. Inverted lists hold the vectors
+of each pivot, in two ways:
+
+- A vector whose nearest pivot has a cosine of ``apart`` at least has that pivot as its home. Whatever may link
+  with it lies within the sum of the two angles of its home and is in the home's list, and the vector is compared
+  with all of that list: every link of a vector with a home is found.
+- Vectors without a home, in thin regions, are in the lists of their first ``prefix`` pivots, and two of them are
+  candidates when they share at least ``shared`` of these. Only links between two such vectors can be missed.
+
+Candidates are verified by their cosine in double precision. A pair is looked at in one list: that of the smaller
+home, or of its smallest shared pivot. The lists are split into blocks, and pairs of blocks are compared as
+matrices, so a crowded pivot is many tasks and no row is made per pair: a pair of blocks returns a count per
+vector and a spanning forest of its links.
 
 The reference points are a sample: ``pivots`` vectors, by hash order of their values, more for larger
-tables (the square root of the rows times ``per_root``), ``most`` at most. Every vector is indexed.
-Equal vectors are one class, indexed once, and its copies are counted as links of each other.
+tables (the square root of the rows times ``per_root``), ``most`` at most, less those too near to one before.
+Every vector is indexed. Equal vectors are one class, indexed once, and its copies are counted as links of each
+other.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components have no link and are a
 component of their own; vectors of different lengths are never compared; a null vec_id takes part but
@@ -30,62 +39,80 @@ from .components import components
 from .vectors import matrix, unit, usable
 
 
-def _described(classes: DataFrame, pivots: dict[int, np.ndarray], prefix: int) -> DataFrame:
-    """Add ``near``: numbers of the ``prefix`` nearest pivots, nearest first (ties: the smaller number)."""
+def _apart(points: np.ndarray, most: float) -> np.ndarray:
+    """The unit vectors ``points`` without those whose cosine to one before is above ``most``."""
+    out = points[:0]
+    for p in points:
+        if not (out @ p > most).any():
+            out = np.vstack([out, p])
+    return out
+
+
+def _described(classes: DataFrame, pivots: dict[int, np.ndarray], prefix: int, apart: float, within: float) -> DataFrame:
+    """Add ``near``: numbers of the ``prefix`` nearest pivots, nearest first (ties: the smaller number), ``home``:
+    the first of them if its cosine is ``apart`` at least, else -1, and ``lists``: the pivots in whose lists the
+    vector is, those with a cosine of ``within`` at least and, without a home, the ``prefix`` nearest."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for dim, same in pdf.groupby("dim"):
                 for at in range(0, len(same), 2048):
                     some = same.iloc[at:at + 2048].copy()
-                    near = np.argsort(-(unit(matrix(some["embedding"])) @ pivots[dim].T).round(12), axis=1, kind="stable")
-                    some["near"] = list(near[:, :prefix].astype(np.int32))
+                    cos = (unit(matrix(some["embedding"])) @ pivots[dim].T).round(12)
+                    near = np.argsort(-cos, axis=1, kind="stable")[:, :prefix].astype(np.int32)
+                    housed = np.take_along_axis(cos, near[:, :1].astype(int), 1)[:, 0] >= apart
+                    listed = cos >= within
+                    listed[np.flatnonzero(~housed)[:, None], near[~housed]] = True
+                    some["near"], some["home"] = list(near), np.where(housed, near[:, 0], -1).astype(np.int32)
+                    some["lists"] = [np.flatnonzero(x).astype(np.int32) for x in listed]
                     yield some
 
-    return classes.mapInPandas(run, "dim int, cls long, copies long, embedding array<double>, near array<int>")
+    return classes.mapInPandas(run, "dim int, cls long, copies long, embedding array<double>, near array<int>, home int, lists array<int>")
 
 
 def _forest(a: np.ndarray, b: np.ndarray, n: int) -> list[tuple[int, int]]:
-    """Edges (positions) of a spanning forest of the links a[i] - b[i] among n nodes."""
-    root, out = list(range(n)), []
-
-    def top(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for x, y in zip(a.tolist(), b.tolist(), strict=True):
-        u, v = top(x), top(y)
-        if u != v:
-            root[max(u, v)] = min(u, v)
-            out.append((x, y))
-    return out
-
-
-def _compare(threshold: float, shared: int, n_pivots: int):
-    """One pair of blocks of a pivot's list: links as counts per class and a spanning forest."""
+    """Edges (positions) that connect what the links a[i] - b[i] among n nodes connect: every node with the
+    smallest it reaches."""
+    label = np.arange(n)
+    while True:
+        new = label.copy()
+        np.minimum.at(new, a, label[b])
+        np.minimum.at(new, b, label[a])
+        new = new[new]
+        if (new == label).all():
+            nodes = np.flatnonzero(label != np.arange(n))
+            return list(zip(nodes.tolist(), label[nodes].tolist(), strict=True))
+        label = new
+
+
+def _compare(threshold: float, shared: dict[int, int]):
+    """One pair of blocks of a pivot's list: links as counts per class and a spanning forest. ``shared``: by
+    vector length."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pivot = int(pdf["pivot"].iloc[0])
+        pivot, least = int(pdf["pivot"].iloc[0]), shared[int(pdf["dim"].iloc[0])]
         first, second = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
         same = not len(second)
         if same:
             second = first
         xs, ys = unit(matrix(first["embedding"])), unit(matrix(second["embedding"]))
         px, py = np.stack(first["near"]).astype(int), np.stack(second["near"]).astype(int)
-        hot_x, hot_y = np.zeros((len(px), n_pivots), np.float32), np.zeros((len(py), n_pivots), np.float32)
-        np.put_along_axis(hot_x, px, 1, 1)
-        np.put_along_axis(hot_y, py, 1, 1)
-        candidate = hot_x @ hot_y.T >= shared
-        candidate &= ~((hot_x[:, :pivot] @ hot_y[:, :pivot].T) > 0)  # that pair belongs to an earlier pivot's list
+        none = np.iinfo(np.int32).max
+        hx, hy = (np.where(h < 0, none, h) for h in (first["home"].to_numpy(), second["home"].to_numpy()))
+        close = xs @ ys.T >= threshold - 1e-9
         if same:
-            candidate = np.triu(candidate, 1)
-        i, j = np.nonzero(candidate)
+            close = np.triu(close, 1)
+        i, j = np.nonzero(close)
         ok = np.zeros(len(i), bool)
-        for at in range(0, len(i), 1 << 16):
-            s = slice(at, at + (1 << 16))
-            ok[s] = np.einsum("ij,ij->i", xs[i[s]], ys[j[s]]) >= threshold
+        for at in range(0, len(i), 1 << 15):
+            s = slice(at, at + (1 << 15))
+            u, v = i[s], j[s]
+            home = np.minimum(hx[u], hy[v])
+            mine = home == pivot
+            free = np.flatnonzero(home == none)
+            both = (px[u[free]][:, :, None] == py[v[free]][:, None, :]).any(2)
+            mine[free] = (both.sum(1) >= least) & (np.where(both, px[u[free]], none).min(1) == pivot)
+            ok[s] = mine & (np.einsum("ij,ij->i", xs[u], ys[v]) >= threshold)
         i, j = i[ok], j[ok]
         cx, cy = first["cls"].to_numpy(), second["cls"].to_numpy()
         wx, wy = first["copies"].to_numpy(), second["copies"].to_numpy()
@@ -102,7 +129,7 @@ def _compare(threshold: float, shared: int, n_pivots: int):
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.95, prefix: int = 8, shared: int = 2, pivots: int = 64,
-                 per_root: float = 2.0, most: int = 4096, block: int = 512) -> DataFrame:
+                 per_root: float = 2.0, most: int = 4096, block: int = 512, apart: float = 0.7) -> DataFrame:
     """``vectors`` (vec_id, embedding) -> vec_id, n_links, component_id, kept, one row per vector."""
     rows = written(vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
                    .withColumn("dim", F.when(usable(F.col("embedding")), F.size("embedding"))), "vectors")
@@ -117,22 +144,24 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, prefix: int = 8, s
         by_dim.setdefault(r["dim"], []).append(r["embedding"])
     for r in classes.groupBy("dim").agg(F.min_by("embedding", F.xxhash64("embedding")).alias("e")).collect():  # one per vector length
         by_dim.setdefault(r["dim"], [r["e"]])
-    points = {d: unit(matrix(v)) for d, v in by_dim.items()}
-    widest = max((len(p) for p in points.values()), default=1)
+    points = {d: _apart(unit(matrix(v)), apart) for d, v in by_dim.items()}
+    # what links with a vector within the one angle of its home is within the sum of both
+    within = float(np.cos(min(np.pi, np.arccos(apart) + np.arccos(np.clip(threshold, -1, 1))))) - 1e-9
 
-    described = _described(classes.select("dim", "cls", "copies", "embedding"), points, prefix)
+    described = _described(classes.select("dim", "cls", "copies", "embedding"), points, prefix, apart, within)
     listed = written(described, "vector-pivots")
-    entries = listed.select("*", F.explode("near").alias("pivot"))
-    sizes = entries.groupBy("dim", "pivot").agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))  # a row per pivot
+    entries = listed.select("*", F.explode("lists").alias("pivot")).drop("lists")
+    # blocks grow with the root of a crowded list, up to four times their size
+    wide = F.greatest(F.lit(float(block)), F.least(F.lit(4.0 * block), 2 * F.sqrt(F.count("*"))))
+    sizes = entries.groupBy("dim", "pivot").agg(F.ceil(F.count("*") / wide).cast("int").alias("_blocks"))  # a row per pivot
     own = F.pmod(F.xxhash64("cls", "pivot"), F.col("_blocks")).cast("int")
     put = entries.join(sizes, ["dim", "pivot"]).withColumn("_own", own)
     # block pair (x, y), x <= y: side 0 is block x, side 1 block y; a pair (x, x) has side 0 alone
     put = put.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     put = put.select("dim", "pivot", F.least("_own", "_other").alias("x"), F.greatest("_own", "_other").alias("y"),
-                     (F.col("_own") > F.col("_other")).cast("int").alias("side"), "cls", "copies", "embedding", "near")
+                     (F.col("_own") > F.col("_other")).cast("int").alias("side"), "cls", "copies", "embedding", "near", "home")
     found = written(put.groupBy("dim", "pivot", "x", "y").applyInPandas(
-        _compare(threshold, min(shared, prefix, min((len(p) for p in points.values()), default=1)), widest),
-        "a long, b long, links long"), "vector-links")
+        _compare(threshold, {d: min(shared, prefix, len(p)) for d, p in points.items()}), "a long, b long, links long"), "vector-links")
     part = components(found.where("b IS NOT NULL").select("a", "b"))
     linked = found.where("b IS NULL").groupBy(F.col("a").alias("cls")).agg(F.sum("links").alias("_links"))
 

@@ -136,6 +136,25 @@ def test_links_of_vectors(spark):
     assert all(got[i]["n_links"] == 0 and got[i]["component_id"] == i and got[i]["kept"] for i in range(100, 104))
 
 
+def brute_links(vec):
+    unit = vec / np.linalg.norm(vec, axis=1)[:, None]
+    return ((unit @ unit.T) >= 0.95).sum(1) - 1
+
+
+@pytest.mark.parametrize("cosine", [0.95, 0.86])
+def test_links_in_a_crowded_cluster(spark, cosine):
+    """Thousands of vectors around one point, near copies of each other or of one other vector each."""
+    rng = np.random.default_rng(8)
+    centre, noise = rng.normal(size=64), np.sqrt(64 / 63 * (1 / cosine - 1))
+    around = centre + rng.normal(size=(2000, 64)) * noise * np.linalg.norm(centre) / 8
+    pairs = around + rng.normal(size=(2000, 64)) * 0.2 * np.linalg.norm(centre) / 8
+    vec = np.concatenate([around, pairs, rng.normal(size=(3000, 64))])
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": range(len(vec)), "embedding": vec.tolist()}))
+    got = pivot_index.near_vectors(df).toPandas().sort_values("vec_id")
+    want = brute_links(vec)
+    assert want[:4000].min() >= 1 and got.n_links.tolist() == want.tolist()
+
+
 def test_nearest_vectors_recall(spark):
     e = read("embeddings")
     x = np.stack(e["embedding"]).astype(float)
