@@ -391,12 +391,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
 
 
 def one_of_each_group(docs: DataFrame, **kw) -> DataFrame:
-    """The documents without near duplicates: of every group the row with the smallest doc_id stays (of
-    repeated ids any one; documents without words all stay)."""
-    found = near_duplicates(docs, **kw)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
+    """The documents without near duplicates: of every group one row stays, that with the smallest doc_id (nulls
+    last; among repeated ids the smallest hash); documents without words all stay. Rows are told apart by a
+    64-bit hash of all their columns, not by doc_id: a null or repeated id takes no other row along. Rows equal
+    in every column are one."""
     names = docs.columns
-    repeated = found.where("n_shingles > 0 AND doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    again = kept.join(repeated, "doc_id").groupBy("doc_id").agg(*[F.first(c).alias(c) for c in names if c != "doc_id"]).select(*names)
-    return kept.join(repeated, "doc_id", "left_anti").select(*names).unionByName(again)
+    # the hash skips nulls, so it also takes which columns are null
+    keyed = docs.withColumn("_key", F.xxhash64(*names, *[F.col(c).isNull() for c in names]))
+    found = near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"), **kw).where("n_shingles > 0")
+    found = found.groupBy(F.col("doc_id").alias("_key")).agg(F.min("component_id").alias("_group"), F.count("*").alias("_rows"))
+    members = written(found.join(keyed.select("_key", "doc_id").distinct(), "_key"), "shingle-members")
+    first = members.groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "_key")).alias("_first"))
+    members = members.join(first, "_group").withColumn("_stays", F.col("_key") == F.col("_first._key"))
+    kept = keyed.join(members.where("NOT _stays").select("_key"), "_key", "left_anti")
+    repeated = members.where("_stays AND _rows > 1").select("_key")
+    again = kept.join(repeated, "_key").dropDuplicates(["_key"]).select(*names)
+    return kept.join(repeated, "_key", "left_anti").select(*names).unionByName(again)

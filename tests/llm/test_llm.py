@@ -103,6 +103,20 @@ def test_near_copies_of_one_text(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components([t for _, t in rows], range(150))
 
 
+def test_one_row_of_each_group_stays(spark):
+    def text(word, other=""):
+        return " ".join(f"{word}{i}" for i in range(60)) + other
+
+    rows = [(None, text("a"), "en"), (None, text("a", " x"), "fr"), (None, text("b"), None), (None, None, "en"),  # null ids
+            (1, text("c"), "en"), (2, text("c", " x"), "en"), (2, text("d"), "en"),  # a repeated id, one row of it a near copy
+            (3, text("e"), "en"), (3, text("f"), "en"),  # a repeated id with different texts
+            (4, text("g"), "en"), (None, text("g"), "en"), (5, text("h"), "en"), (5, text("h"), "en"), (6, "", "en"), (6, "", "en")]
+    got = ngram_join.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)).collect()
+    got = [tuple(r) for r in got]
+    one = [r for r in got if r in rows[:2]]
+    assert len(one) == 1 and sorted(map(str, got)) == sorted(map(str, one + rows[2:5] + rows[6:10] + rows[11:12] + rows[13:]))
+
+
 def test_index_entries_share_one_for_every_similar_pair():
     rng = np.random.default_rng(5)
     universe = rng.integers(0, 2**46, 4000, dtype=np.uint64)
