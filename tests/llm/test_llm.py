@@ -294,6 +294,21 @@ def test_page_differencing_without_marks(spark):
     assert got[20] == "Site menu\n\nAll about x&c\n\nImprint 1999" and got[21] == ""
 
 
+def test_open_pages_among_copies_and_marked_pages(spark):
+    def page(x):
+        return f"<div>Site menu</div><div>All about <b>{x}</b></div><p>Imprint 1999</p>"
+
+    rows = [(i, f"http://h.com/a{i:02}", page("topic A")) for i in range(5)]  # copies at adjacent paths
+    rows += [(5, "http://h.com/b", page("topic B")), (6, "http://h.com/b", page("topic B")), (7, "http://h.com/b", page("topic B"))]
+    rows += [(10, "http://m.com/a", page("M1")), (11, "http://m.com/b", "<article>Marked</article>"), (12, "http://m.com/c", page("M2")),
+             (13, "http://m.com/d", "<article>Also marked</article>"), (14, "http://m.com/e", page("M3"))]
+    rows += [(20, "http://c.com/a", page("only")), (21, "http://c.com/b", page("only"))]
+    got = {r["page_id"]: r["text"] for r in page_diff.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"All about topic {'A' if i < 5 else 'B'}" for i in range(8))
+    assert [got[i] for i in range(10, 15)] == ["All about M1", "Marked", "All about M2", "Also marked", "All about M3"]
+    assert got[20] == got[21] == "Site menu\n\nAll about only\n\nImprint 1999"
+
+
 def test_base_spans_and_grammar(spark):
     rng = np.random.default_rng(6)
 
