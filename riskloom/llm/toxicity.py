@@ -273,7 +273,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, most: int =
     words, stems, prior = mine_lexicon(rows, most)
     voters = Voters(words, stems)
     n = len(voters.names)
-    found = written(docs.where(~held_out(F.col("doc_id"))).select(voters.of(F.col("text")).alias("v")).select("v.mask", "v.hits")
+    # votes of all documents: no label enters them (labels of the held-out documents stay out of the sample)
+    found = written(docs.select(voters.of(F.col("text")).alias("v")).select("v.mask", "v.hits")
                     .groupBy("mask", "hits").agg(F.count("*").alias("n")), "toxic-votes")
     patterns = found.groupBy("mask").agg(F.sum("n").alias("n"))
     seen = written(rows.select(voters.of(F.col("text"))["mask"].alias("mask"), "toxic"), "toxic-seen")

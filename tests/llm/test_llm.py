@@ -211,6 +211,14 @@ def test_toxicity_words(spark):
     assert len(toxicity.scored(docs, labels.where("false")).collect()) == 302
 
 
+def test_votes_are_counted_over_all_documents(spark, monkeypatch):
+    counted, fit = [], toxicity.fit_label_model
+    monkeypatch.setattr(toxicity, "fit_label_model", lambda patterns, *a: counted.append(patterns.agg(F.sum("n")).first()[0]) or fit(patterns, *a))
+    docs = spark.createDataFrame([(i if i else None, "fine words " + "idiot" * (i % 5 == 0)) for i in range(100)], "doc_id long, text string")
+    toxicity.train(docs, spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(100)], "doc_id long, quality int, toxic int"))
+    assert counted == [100]
+
+
 def test_pieces_round_trip(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
