@@ -28,6 +28,8 @@ from .common import small_batches, written
 
 #: Blank, controls and separators that the vocabulary's split pattern takes as white space.
 _WS = "\t-\r \x85\xa0  -     　"
+#: The vocabulary's added token, which is one id wherever a text holds it, and never part of a unit.
+ADDED, ADDED_ID = "<|endoftext|>", 50256
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -64,8 +66,13 @@ class TokenBytes(dict):
         return ids
 
     def of(self, text: str) -> bytes:
+        """Ids of a text that is all plain text."""
         return b"".join(map(self.__getitem__, self.unit.findall(text)))
 
+    def ids(self, text: str) -> bytes:
+        """Ids of a text that may hold the added token."""
+        return np.array([ADDED_ID], dtype="<u4").tobytes().join(map(self.of, text.split(ADDED)))
+
 
 def cut(n: int, capacity: int) -> list[int]:
     """Piece lengths of a document of ``n`` ids: full ones, preceded by what is left over."""
@@ -82,7 +89,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: i
         for pdf in batches:
             out = []
             for i, text in zip(pdf["_id"], pdf["text"], strict=True):
-                ids, at = tokens.of(text) + end, 0
+                ids, at = tokens.ids(text) + end, 0
                 for k, n in enumerate(cut(len(ids) // 4, capacity)):
                     out.append((i, k, at, n, zlib.crc32(ids[4 * at:4 * (at + n)])))
                     at += n

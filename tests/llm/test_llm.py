@@ -249,6 +249,17 @@ def test_units_have_the_texts_ids(text):
         assert packing.TokenBytes(public_tokenizers.path(name)).of(text) == want
 
 
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y ", "<|endoftext|", ""])
+def test_added_token_is_one_id(spark, text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    want = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
+    for name in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken"):
+        got = packing.pack(spark.createDataFrame([(1, text)], "doc_id long, text string"), public_tokenizers.path(name)).collect()
+        assert [(r["length"], r["ids_crc32"]) for r in got] == [(len(want) + 1, zlib.crc32(np.array([*want, 0], "<u4").tobytes()))]
+
+
 def test_plan_places_every_piece():
     rng = np.random.default_rng(4)
     for lengths in (rng.integers(1, 101, 500), rng.integers(30, 101, 500), [100] * 7, [1], []):
