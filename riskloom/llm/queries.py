@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_format, cross_polytope, cube_mix, ngram_join, packing, page_diff, pivot_index, secret_grammar, toxicity,
-               url_reputation)
+from . import (chat_format, cross_polytope, cube_mix, hard_negatives, id_shards, ngram_join, packing, page_diff, pivot_index, secret_grammar,
+               toxicity, url_reputation, whitening)
 from .common import table
 
 #: Fixed by the task: rule -> verdict.
@@ -64,7 +64,42 @@ def op10_secret_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *n, F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    rows = rows.where(F.col("embedding").isNotNull() & ~F.coalesce(bad, F.lit(False)))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: F.floor(F.lit(256.0) * x.cast("double")))
+    return hard_negatives.mine(rows.select("vec_id", whole.alias("vector"), label.alias("label")), F.col("vec_id") % 100 == 0)
+
+
+#: Every anchor against every row: fine for the sizes of the SQL check.
+OP11_SQL = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+      FROM r a, r b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM p JOIN s USING (anchor_id)
+      WHERE NOT s.same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5"""
+
+
+def op12_id_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return id_shards.write_and_read_back(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"), k=8, scale=1024.0, shift=100000)
+    return out.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_reputation, op2_ngram_join, op3_pivot_index, op4_cube_mix, op5_toxicity, op6_best_fit_packing, op7_cross_polytope,
-    op8_chat_format, op9_page_diff, op10_secret_grammar)}
-ORACLE: dict[str, str] = {}
+    op8_chat_format, op9_page_diff, op10_secret_grammar, op11_hard_negatives, op12_id_shards, op13_whitening)}
+ORACLE: dict[str, str] = {"op11_hard_negatives": OP11_SQL}
