@@ -13,10 +13,11 @@ How it runs:
    costs a block one entry per chunk.
 3. A chunk drops texts that share too few tokens to have a partner, and builds prefixes and index entries of
    the others. Texts with equal sets form one class with a single key, so copies meet as one class.
-4. Per index entry two of its classes are verified against all others (linear in the list); the components of
-   these links settle nearly all entries. Classes that share an entry but are still in different components
-   are then compared in blocks of whole sets (the largest component of a cluster only with the classes
-   outside of it), so no link between components is lost and no row is made per candidate pair.
+4. Every index entry has a leader among its classes, the first in a random order. In each of a few rounds a class
+   is verified against two leaders of its entries at most (linear in the classes, however many entries they share);
+   the components of these links settle nearly all entries. Classes that share an entry but are still in
+   different components are then compared in blocks of whole sets (the largest component of a cluster only with
+   the classes outside of it), so no link between components is lost and no row is made per candidate pair.
 
 Limits of the arithmetic: tokens are 64-bit hashes (40 bits and the block number during the search and the
 verification) and a class is known by the 64-bit sum of its mixed tokens.
@@ -42,12 +43,14 @@ from .common import small_batches, written
 from .components import components
 from .wordhash import mix, shingles, text_buffer, text_slices, word_hashes
 
-CHUNK_TOKENS = 1 << 20
+CHUNK_TOKENS = 1 << 18
 CHUNK_TEXTS = 60_000  # texts of a chunk are numbered in 16 bits
 REM_BITS = np.uint64(40)
 REM = np.uint64((1 << 40) - 1)
 #: Fixed frequency classes: tokens of up to this many documents are indexed alone, up to the next in pairs, others in threes.
 CLASS_LIMITS = (16, 2048)
+#: Rounds of links to leaders before the classes still apart are compared; they decide the work, not the result.
+ROUNDS = 2
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -265,10 +268,11 @@ NO_ID = -(2**63)
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose sets reach the threshold."""
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    sets = sets.join(asked, "cls")
     left = sets.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("t_a"))
     right = sets.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("t_b"))
-    close = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    both = pairs.join(right, "b").join(left, "a").where(close)
+    both = pairs.join(right, "b").join(left, "a").where(_close(percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -303,16 +307,15 @@ def _labelled(lists: DataFrame, part: DataFrame) -> DataFrame:
     return known.select("entry", "cls", "n", F.coalesce("component", "cls").alias("component"))
 
 
-def _to_pivots(lists: DataFrame, percent: int, orders: int = 8) -> DataFrame:
-    """Pairs (a, b) of each list's first and last class, in one of a few orders, with the list's others: linear in
-    the list, and few different pivots for a group that shares many lists."""
-    order = F.xxhash64(F.pmod("entry", F.lit(orders)), "cls")
-    me = F.struct(order.alias("o"), F.col("cls").alias("c"), F.col("n").alias("m"))
-    ends = lists.groupBy("entry").agg(F.min(me).alias("lo"), F.max(me).alias("hi"))
-    each = lists.join(ends, "entry").select("cls", "n", F.explode(F.array("lo", "hi")).alias("_x"))
-    pairs = each.where("cls <> _x.c").select(
-        F.least("cls", "_x.c").alias("a"), F.greatest("cls", "_x.c").alias("b"), F.col("n").alias("n_a"), F.col("_x.m").alias("n_b"))
-    return pairs.where(_close(percent)).select("a", "b").distinct()
+def _to_leaders(lists: DataFrame, percent: int, seed: int) -> DataFrame:
+    """Pairs (a, b) of a class and a leader of one of its lists in another component: the first and the last in the
+    order of the leaders, so two rows a class at most. Lists led by the same class share that row."""
+    order = F.xxhash64(F.lit(seed), "cls")
+    lead = F.min(F.struct(order.alias("o"), F.col("cls").alias("c"), F.col("n").alias("m"), F.col("component").alias("g"))).alias("_x")
+    near = lists.join(lists.groupBy("entry").agg(lead), "entry").where("component <> _x.g").withColumns({"n_a": F.col("n"), "n_b": F.col("_x.m")})
+    ends = near.where(_close(percent)).groupBy("cls").agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
+    pairs = ends.select("cls", F.explode(F.array("lo", "hi")).alias("_x"))
+    return pairs.select(F.least("cls", "_x.c").alias("a"), F.greatest("cls", "_x.c").alias("b")).distinct()
 
 
 def _between(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -367,7 +370,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     component_id (smallest doc_id reachable by links of 100 * |A & B| >= percent * |A | B|)."""
     rows = small_batches(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text")
     size = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    bits = max(7, int(size // (8 << 20)).bit_length())  # about 8 MB of text per block, 128 at least
+    bits = min(24, max(7, int(size // (8 << 20)).bit_length()))  # about 8 MB of text per block, 128 at least
     chunks = rows.mapInArrow(_to_chunks(k, bits), CHUNKS)
     counted = chunks.groupBy("k").applyInPandas(_count_block, CHUNKS)
     sets = written(counted.groupBy("chunk").applyInPandas(_chunk_sets(percent), SETS), "shingle-sets")
@@ -377,9 +380,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     classes = written(classes, "shingle-classes")
     entries = found.select(F.explode("entries").alias("entry"), "cls", "n", F.col("cls").alias("component"))
     lists = _open_lists(entries, "shingle-lists")
-    links = written(_verified(_to_pivots(lists, percent), classes, percent), "shingle-links")
-    rest = _open_lists(_labelled(lists, components(links)), "shingle-rest")
-    part = components(links.unionByName(_between(rest, classes, percent)))
+    links = None
+    for seed in range(ROUNDS):
+        new = written(_verified(_to_leaders(lists, percent, seed), classes, percent), "shingle-links")
+        links = new if links is None else links.unionByName(new)
+        lists = _open_lists(_labelled(lists, components(links)), "shingle-rest")
+    part = components(links.unionByName(_between(lists, classes, percent)))
 
     members = sets.select(F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "cls", "n")
     grouped = members.join(part.select(F.col("node").alias("cls"), "component"), "cls", "left").select(
