@@ -1,16 +1,23 @@
-"""HTML extraction: marked structure first, nearest-URL page differencing for what markup leaves open.
+"""HTML extraction: nearest-URL page differencing, with marked structure as the judge of what it must not delete.
 
-A page becomes lines, one per block, white space collapsed and character references decoded. Lines in
-menus, headers, footers, sidebars, notices, adverts, forms and comments (by element, or by class, id or role)
-go. If the page marks its article, the article's lines are its text. Lines that markup does not decide are
-compared with the nearest other pages of the host that mark no article, the ones before and after it in order of
-URL path: lines are aligned by longest common subsequence, and shared lines are deleted. Pages of a host with the
-same open lines are compared as one, at the place of the first of them, and get the same text.
+A page becomes lines, one per block, white space collapsed and character references decoded. Lines in menus,
+headers, footers, sidebars, notices, adverts, forms and comments (by element, or by class, id or role) go. The
+lines left of every page are compared with the nearest other pages of its host, the ones before and after it in
+order of URL path (pages that mark their article and pages that do not have an order each): lines are aligned by longest common subsequence, and shared lines are deleted. Lines inside a
+marked article are exempt (articles hold passages that other pages have too), and what the comparison leaves outside
+of a marked article goes as well; a page without a marked article keeps all that it does not share.
+
+Pages of a host with the same lines are compared as one, at the place of the first of them, and get the same text. Only
+hashes of lines are sent between pages.
+
+The alignment is bounded: equal heads and tails are matched first, few matches are chained one by one, and many (long
+runs of equal lines) are aligned by bit vectors, in halves where the vectors of all lines would not fit.
 
 Defined cases: null html is an empty page; null or relative urls form one host of their own; a host with a
-single page, or with copies of one page only, has nothing to compare with and keeps its open lines; repeated rows
-are pages of their own, but a page is not compared with one whose open lines are all the same (a copy shares
-everything); unclosed elements end with the page.
+single page, or with copies of one page only, has nothing to compare with and keeps its lines; repeated rows
+are pages of their own, but a page is not compared with one whose lines are all the same (a copy shares
+everything); two pages without marks lose equal lines of their articles too, as no mark tells them apart from a menu;
+unclosed elements end with the page; other columns are ignored; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -18,12 +25,15 @@ from __future__ import annotations
 import html as html_lib
 import re
 from bisect import bisect_left
-from collections import defaultdict
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+from hashlib import blake2b
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql import types as T
 
 from .common import small_batches, written
 from .url_reputation import url_host, url_path
@@ -68,11 +78,12 @@ def _zone(name: str, attrs: str) -> str | None:
 
 
 def page_lines(html: str) -> list[tuple[str, str]]:
-    """(KEEP or OPEN, text) of every line of a page that is not in chrome; with a marked article only its lines."""
+    """(KEEP or OPEN, text) of every line of a page that is not in chrome; KEEP: in a marked article."""
     lines: list[tuple[str, str]] = []
     words: list[str] = []
     stack: list[tuple[str, str | None]] = []
     state = [None]  # the zone in force, per open element
+    open_names: Counter = Counter()
 
     def flush() -> None:
         text = " ".join(html_lib.unescape("".join(words)).split())
@@ -102,8 +113,9 @@ def page_lines(html: str) -> list[tuple[str, str]]:
         if name in VOID and name != "hr":
             continue
         if closing:
-            at_open = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if at_open is not None:
+            if open_names[name]:  # else a stray tag: no search through what is open
+                at_open = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name)
+                open_names.subtract(x for x, _ in stack[at_open:])
                 if name in BLOCK or any(zone for _, zone in stack[at_open:]):
                     flush()
                 del stack[at_open:], state[at_open + 1:]
@@ -118,16 +130,21 @@ def page_lines(html: str) -> list[tuple[str, str]]:
         if name == "p" and any(x == "p" for x, _ in stack[-1:]):  # a paragraph ends the one before
             stack.pop()
             state.pop()
+            open_names["p"] -= 1
         inherited = state[-1]
         stack.append((name, zone))
+        open_names[name] += 1
         state.append(inherited if zone is None or inherited == "chrome" else zone)
     flush()
-    return [x for x in lines if x[0] == KEEP] or lines
+    return lines
+
 
+FEW_MATCHES = 1 << 20  # pairs of equal lines that are chained one by one
+ROOM = 1 << 28  # bits of vectors held at a time
 
-def shared_lines(mine: list[str], other: list[str]) -> set[int]:
-    """Positions of ``mine`` in a longest common subsequence with ``other`` (matches taken as an increasing
-    sequence of positions, shortest ends first)."""
+
+def _chained(mine: list[int], other: list[int]) -> set[int]:
+    """Positions of ``mine`` in a longest common subsequence, by increasing positions of matches, shortest ends first."""
     at = defaultdict(list)
     for j, line in enumerate(other):
         at[line].append(j)
@@ -145,30 +162,97 @@ def shared_lines(mine: list[str], other: list[str]) -> set[int]:
     return found
 
 
-def _lines(html: Column) -> Column:
-    @F.pandas_udf("string")
-    def run(pages: pd.Series) -> pd.Series:
-        return pd.Series(["\n".join(kind + text for kind, text in page_lines(p)) for p in pages], dtype=object)
+def _vectors(mine: list[int], other: list[int]) -> Iterator[int]:
+    """After each line of ``mine``: a number whose bit j is 0 where the common subsequence with other[:j + 1] is longer
+    than with other[:j]."""
+    at = defaultdict(list)
+    for j, line in enumerate(other):
+        at[line].append(j)
+    many = {x: sum(1 << j for j in js) for x, js in at.items() if len(js) >= 64}
+    full = v = (1 << len(other)) - 1
+    for line in mine:
+        u = v & (many[line] if line in many else sum(1 << j for j in at.get(line, ())))
+        v = ((v + u) | (v - u)) & full
+        yield v
+
+
+def _lengths(mine: list[int], other: list[int]) -> np.ndarray:
+    """Length of the common subsequence of ``mine`` with every head of ``other``."""
+    v = (1 << len(other)) - 1
+    for v in _vectors(mine, other):
+        pass
+    bits = np.unpackbits(np.frombuffer(v.to_bytes(len(other) // 8 + 1, "little"), np.uint8), bitorder="little")[:len(other)]
+    return np.r_[0, np.cumsum(bits == 0)]
+
+
+def _by_vectors(mine: list[int], other: list[int]) -> set[int]:
+    if len(mine) > 1 and len(mine) * len(other) > ROOM:  # the best cut of ``other`` for two halves of ``mine``
+        half = len(mine) // 2
+        cut = int((_lengths(mine[:half], other) + _lengths(mine[half:][::-1], other[::-1])[::-1]).argmax())
+        return _by_vectors(mine[:half], other[:cut]) | {half + i for i in _by_vectors(mine[half:], other[cut:])}
+    rows, found, mask = list(_vectors(mine, other)), set(), (1 << len(other)) - 1
+    full = mask
+    for i in range(len(rows) - 1, -1, -1):
+        here = ~rows[i] & mask
+        if not here:
+            break
+        before = ~(rows[i - 1] if i else full) & mask
+        if here.bit_count() > before.bit_count():  # longer by this line, matched where the last step is
+            found.add(i)
+            mask = (1 << (here.bit_length() - 1)) - 1
+    return found
+
+
+def shared_lines(mine: list, other: list) -> set[int]:
+    """Positions of ``mine`` in a longest common subsequence with ``other``."""
+    head = 0
+    while head < min(len(mine), len(other)) and mine[head] == other[head]:
+        head += 1
+    tail = 0
+    while tail < min(len(mine), len(other)) - head and mine[-1 - tail] == other[-1 - tail]:
+        tail += 1
+    both = set(mine[head:len(mine) - tail]) & set(other[head:len(other) - tail])
+    kept = [i for i in range(head, len(mine) - tail) if mine[i] in both]
+    a, b = [mine[i] for i in kept], [x for x in other[head:len(other) - tail] if x in both]
+    times = Counter(b)
+    middle = _chained(a, b) if sum(times[x] for x in a) <= FEW_MATCHES else _by_vectors(a, b)
+    return {*range(head), *range(len(mine) - tail, len(mine)), *(kept[i] for i in middle)}
+
+
+def _parsed(html: Column) -> Column:
+    """struct(marked, lines, hashes): has the page a marked article, the lines (KEEP or OPEN and the text, one a row) and a 64-bit hash of each text. Of a page
+    with a marked article the texts outside of it are not needed any more, and empty."""
+    @F.pandas_udf("marked boolean, lines string, hashes array<long>")
+    def run(pages: pd.Series) -> pd.DataFrame:
+        rows = []
+        for page in pages:
+            lines = page_lines(page)
+            marked = any(kind == KEEP for kind, _ in lines)
+            hashes = [int.from_bytes(blake2b(t.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True) for _, t in lines]
+            rows.append((marked, "\n".join(kind + (t if kind == KEEP or not marked else "") for kind, t in lines), hashes))
+        return pd.DataFrame(rows, columns=["marked", "lines", "hashes"])
 
     return run(F.coalesce(html, F.lit("")))
 
 
-@F.pandas_udf(StringType())
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def _shared(mine: pd.Series, other: pd.Series) -> pd.Series:
-    out = []
-    for a, b in zip(mine, other, strict=True):
-        a, b = a.split("\n"), b.split("\n")
-        out.append("" if a == b else ",".join(map(str, sorted(i for i in shared_lines(a, b) if a[i][0] == OPEN))))
-    return pd.Series(out, dtype=object)
+    return pd.Series([sorted(shared_lines(list(a), list(b))) for a, b in zip(mine, other, strict=True)], dtype=object)
 
 
-@F.pandas_udf(StringType())
-def _text(lines: pd.Series, dropped: pd.Series) -> pd.Series:
+@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("by_difference", T.IntegerType()),
+                              T.StructField("by_markup", T.IntegerType())]))
+def _text(lines: pd.Series, shared: pd.Series) -> pd.DataFrame:
     out = []
-    for page, drop in zip(lines, dropped, strict=True):
-        gone = {int(x) for x in (drop or "").split(",") if x}
-        out.append("\n\n".join(x[1:] for i, x in enumerate(page.split("\n")) if x and i not in gone))
-    return pd.Series(out, dtype=object)
+    for page, gone in zip(lines, shared, strict=True):
+        gone = set() if gone is None else set(gone)
+        kinds = page.split("\n") if page else []
+        marked = any(x[0] == KEEP for x in kinds)
+        deleted = sum(x[0] == OPEN and i in gone for i, x in enumerate(kinds))
+        left = [x for i, x in enumerate(kinds) if x[0] == KEEP or i not in gone]
+        text = [x[1:] for x in left if x[0] == KEEP or not marked]
+        out.append(("\n\n".join(text), deleted, len(left) - len(text)))
+    return pd.DataFrame(out, columns=["text", "by_difference", "by_markup"])
 
 
 def _ranked(keys: DataFrame) -> DataFrame:
@@ -185,26 +269,26 @@ def _ranked(keys: DataFrame) -> DataFrame:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text of every row of ``pages`` (page_id, url, html)."""
-    parsed = written(small_batches(pages).select("page_id", "url", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"),
-                                  _lines(F.col("html")).alias("lines"), F.monotonically_increasing_id().alias("_row")), "page-lines")
-    is_open = F.col("lines").startswith(OPEN)  # without a marked article all lines are open
-    # only open pages take places in the order, and copies one place: a neighbour is a page to compare with
-    key = parsed.where(is_open).select("host", "path", "page_id", "_row", F.sha2("lines", 256).alias("_sha"))
-    firsts = written(key.groupBy("host", "_sha").agg(F.min(F.struct("path", "page_id", "_row")).alias("_first")), "page-firsts")
+    """page_id, url, text of every row of ``pages`` (page_id, url, html), and how many lines outside of a marked article
+    the comparison deleted (by_difference) and how many the mark (by_markup)."""
+    parsed = small_batches(pages).select("page_id", "url", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"),
+                                         _parsed(F.col("html")).alias("p"), F.monotonically_increasing_id().alias("_row"))
+    # pages with and without a marked article are neighbours of their own kind
+    parsed = parsed.withColumn("host", F.concat_ws(" ", "host", F.col("p.marked").cast("string")))
+    parsed = written(parsed.select("page_id", "url", "host", "path", "_row", "p.lines", "p.hashes"), "page-lines")
+    # copies take one place in the order: a neighbour is a page to compare with
+    key = parsed.where(F.size("hashes") > 0).select("host", "path", "page_id", "_row", F.xxhash64("hashes").alias("_same"))
+    firsts = written(key.groupBy("host", "_same").agg(F.min(F.struct("path", "page_id", "_row")).alias("_first")), "page-firsts")
     ranked = _ranked(firsts.select("host", "_first.*"))
     left = ranked.select("host", F.col("_row").alias("_a"), (F.col("_rank") + 1).alias("_rank"))
     near = left.join(ranked.select(F.col("host").alias("_h"), F.col("_row").alias("_b"), "_rank"), "_rank").where("host = _h")
     both = near.select(F.explode(F.array(F.struct(F.col("_a").alias("_row"), F.col("_b").alias("_other")),
                                          F.struct(F.col("_b").alias("_row"), F.col("_a").alias("_other")))).alias("_x")).select("_x.*")
-    mine = parsed.where(is_open).select("_row", "lines").join(both, "_row")
-    # a marked page has marked lines only, which no open line equals
-    other = parsed.where(is_open).select(F.col("_row").alias("_other"), F.col("lines").alias("_theirs"))
-    gone = (mine.join(other, "_other").select("_row", _shared(F.col("lines"), F.col("_theirs")).alias("_gone"))
-            .groupBy(F.col("_row").alias("_of")).agg(F.array_join(F.collect_list("_gone"), ",").alias("_gone")))  # two neighbours at most
-    gone = (key.select("_row", "host", "_sha").join(firsts.select("host", "_sha", F.col("_first._row").alias("_of")), ["host", "_sha"])
+    hashes = parsed.select("_row", "hashes").join(firsts.select(F.col("_first._row").alias("_row")), "_row")
+    other = hashes.select(F.col("_row").alias("_other"), F.col("hashes").alias("_theirs"))
+    gone = (hashes.join(both, "_row").join(other, "_other").select("_row", _shared(F.col("hashes"), F.col("_theirs")).alias("_gone"))
+            .groupBy(F.col("_row").alias("_of")).agg(F.flatten(F.collect_list("_gone")).alias("_gone")))  # two neighbours at most
+    gone = (key.select("_row", "host", "_same").join(firsts.select("host", "_same", F.col("_first._row").alias("_of")), ["host", "_same"])
             .join(gone, "_of").select("_row", "_gone"))
-    # only open pages meet what they share with others; the text of marked pages is settled and not shuffled
-    every = parsed.where(is_open).join(gone, "_row", "left").unionByName(
-        parsed.where(~is_open).withColumn("_gone", F.lit(None).cast("string")))
-    return every.select("page_id", "url", _text(F.col("lines"), F.coalesce("_gone", F.lit(""))).alias("text"))
+    every = parsed.select("_row", "page_id", "url", "lines").join(gone, "_row", "left")
+    return every.select("page_id", "url", _text(F.col("lines"), F.col("_gone")).alias("t")).select("page_id", "url", "t.*")
