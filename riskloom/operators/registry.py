@@ -75,6 +75,17 @@ def latest(versions: DataFrame) -> DataFrame:
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     """Fail with a message when a registry result is empty (M9/M11 error paths)."""
-    if not df.limit(1).collect():
+    if df.isEmpty():
         raise RegistryError(f"no {what} found")
     return df
+
+
+def choose(versions: DataFrame, runs: DataFrame, metric: str, name: str) -> DataFrame:
+    """``best_versions`` of one model; an unknown model, or one without the metric, is an error (M9)."""
+    mine = require_rows(versions.where(F.col("name") == name), f"version of model '{name}'")
+    return require_rows(best_versions(mine, runs, metric), f"version of model '{name}' with metric '{metric}'")
+
+
+def serving(versions: DataFrame, name: str, stage: str = "Production") -> DataFrame:
+    """``resolve`` for one model; nothing at the stage is an error."""
+    return require_rows(resolve(versions, stage, name), f"version of model '{name}' at stage '{stage}'")
