@@ -84,8 +84,10 @@ def accepted_rows(df: DataFrame, schema: T.StructType = PREDICTION_LOG) -> DataF
 def append_predictions(batch: DataFrame, path: str, key: str = "prediction_id", quarantine: str | None = None) -> int:
     """Append the batch rows whose id is new to the Parquet log at ``path``; returns rows written.
 
-    Rows that break a NOT NULL field go to ``quarantine`` (default: the log's path with ``-rejected``)
-    and never to the log. Only a missing path counts as "no log yet"; any other read error is raised."""
+    Rows that break a NOT NULL field go to ``quarantine`` (default: the log's path with ``-rejected``), into a folder
+    that is named after the rows, so that a batch appended again replaces its own, and never to the log. Only a missing
+    path counts as "no log yet"; any other read error is raised. Every id of the log is read; ``sources.idlog`` holds a
+    log that need not."""
     spark = batch.sparkSession
     try:
         log = load_table(spark, path, schema=PREDICTION_LOG)
@@ -94,7 +96,9 @@ def append_predictions(batch: DataFrame, path: str, key: str = "prediction_id",
     rows = materialize(conform(batch))
     broken = not_null_violations(rows)
     if not broken.isEmpty():
-        broken.write.mode("append").parquet(quarantine or f"{path.rstrip('/')}-rejected")
+        # a sum of row hashes: the same rows give the same folder, in any order
+        name = broken.agg(F.sum(F.xxhash64(*broken.columns).cast("decimal(20,0)")).cast("string")).first()[0]
+        broken.write.mode("overwrite").parquet(f"{(quarantine or path.rstrip('/') + '-rejected')}/batch={name}")
     fresh = materialize(new_predictions(accepted_rows(rows), log, key))
     fresh.write.mode("append").parquet(path)
     return fresh.count()
@@ -153,6 +157,32 @@ def drift_history(reports: DataFrame) -> DataFrame:
     return d.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+#: What an evaluation run leaves behind: its tags, its parameters and its metrics (M8).
+RUN_METRICS = ("run_name string, evaluation_type string, model_name string, model_version string, model_stage string, "
+               "source_run_id long, test_data_path string, test_n_samples long, test_n_fraud long, threshold double, "
+               "roc_auc double, average_precision double, precision double, recall double, f1 double, "
+               "tp long, fp long, tn long, fn long, logged_at timestamp")
+
+
+def run_row(metrics: DataFrame, model_name: str, stage: str, source_run_id: int, as_of: Column) -> DataFrame:
+    """The run record of an ``evaluate`` row (M8)."""
+    kinds = {f.name: f.dataType for f in T.StructType.fromDDL(RUN_METRICS).fields}
+    values = {"run_name": F.concat(F.lit(f"eval-{model_name}-v"), F.col("model_version")), "evaluation_type": F.lit("test_set"),
+              "model_name": F.lit(model_name), "model_stage": F.lit(stage), "source_run_id": F.lit(source_run_id),
+              "test_data_path": F.col("path"), "test_n_samples": F.col("n"), "test_n_fraud": F.col("positives"), "logged_at": as_of}
+    return metrics.select(*[values.get(c, F.col(c)).cast(k).alias(c) for c, k in kinds.items()])
+
+
+def write_run_metrics(rows: DataFrame, path: str) -> None:
+    """Sink of run records, one folder per model, version and time: a run that is logged again replaces its record."""
+    stamped = rows.withColumn("run", F.concat_ws("-", "run_name", F.date_format("logged_at", "yyyyMMdd'T'HHmmssSSS")))
+    (stamped.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path))
+
+
+def read_run_metrics(spark: SparkSession, path: str) -> DataFrame:
+    return load_table(spark, path, schema=T.StructType.fromDDL(RUN_METRICS)).drop("run")
+
+
 def write_trigger(payload: DataFrame, path: str) -> int:
     """Retrain-trigger sink (S11): writes only fired decisions, partitioned by their timestamp so a
     re-run replaces its own record instead of adding a second one; returns rows written."""

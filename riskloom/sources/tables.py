@@ -54,6 +54,23 @@ def read_transactions(spark: SparkSession, path: str, fmt: str = "csv") -> DataF
     return load_table(spark, path, fmt)
 
 
+CORRUPT = "_corrupt_line"
+
+
+def read_transaction_lines(spark: SparkSession, path: str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Raw transactions as (accepted rows, rejected lines) (S1 with P6): a line that does not parse against the layout (a
+    value of another type, too few or too many fields) is rejected with its text and an ``errors`` array, as rows that
+    break a rule are. ``read_transactions`` fails on such a line instead."""
+    from ..operators.common import materialize
+
+    schema = T.StructType([*TX_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    lines = load_table(spark, path, "csv", schema=schema, header=str(header).lower(), mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    lines = materialize(lines)  # parsed once, with all fields of a line, whatever a later step selects
+    accepted = lines.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    rejected = lines.where(F.col(CORRUPT).isNotNull())
+    return accepted, rejected.select(F.col(CORRUPT).alias("line"), F.array(F.lit("line does not parse")).alias("errors"))
+
+
 def write_splits(df: DataFrame, path: str, split_col: str = "split") -> None:
     """Split sink (S4): one Parquet dataset partitioned by split name."""
     df.write.partitionBy(split_col).mode("overwrite").parquet(path)
