@@ -30,6 +30,14 @@ DATASET_DRIFT_SHARE = 0.5        # dataset drift when share of drifted columns >
 RETRAIN_SHARE = 0.3              # retrain when share of drifted columns > 0.3
 MIN_SAMPLE_ROWS = 30             # warn below this many rows
 KS_SERIES_TERMS = 100
+FRAUD_PROFILE = {"V1": (-5.0, 0.5), "V2": (3.5, 0.5)}  # mean and sd of the overwritten rows of a full shift (F8)
+FULL_SHIFT_NOISE = ("V1", "V2", "V3")
+
+
+def full_shift(df: DataFrame, key: str, seed: int = 99, overwrite_fraction: float = 0.2) -> DataFrame:
+    """The whole declared shift (F8): Amount times ten, noise on V1 to V3, and one row in five overwritten with the profile
+    of a fraud in V1, V2 and Amount."""
+    return inject_shift(df, key, seed, overwrite_fraction=overwrite_fraction, noise_cols=FULL_SHIFT_NOISE, profile=FRAUD_PROFILE)
 
 
 def to_long(df: DataFrame, columns: Sequence[str], sample: str, value_type: str = "double") -> DataFrame:
@@ -56,11 +64,64 @@ def ks_pvalue(lam: Column) -> Column:
         F.least(F.greatest(F.lit(2.0) * series, F.lit(0.0)), F.lit(1.0)))
 
 
+EXACT_KS_ROWS = 10_000  # samples of up to this many rows have an exact K-S p-value
+
+
+def ks_exact(d: float, m: int, n: int) -> float:
+    """P(D >= d) of the two-sample K-S statistic for samples of ``m`` and ``n`` rows without ties, exactly.
+
+    Every order of the pooled rows is a lattice path from (0, 0) to (m, n), all equally likely, and D >= d when the path
+    leaves the band |i/m - j/n| < d. Paths are counted by the point where they leave it for the first time: the paths
+    inside the band to that point times all paths from there. All terms are positive, so small p-values keep
+    their digits. One row of the lattice is held at a time, scaled to stay within a double."""
+    if m > n:
+        m, n = n, m
+    g = math.gcd(m, n)
+    dm, dn = m // g, n // g
+    edge = round(d * dm * n)  # in steps of 1 / lcm(m, n)
+    if edge <= 0:
+        return 1.0
+    fact = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, m + n + 1)))])
+    total = fact[m + n] - fact[m] - fact[n]
+
+    def rest(i: int, j: np.ndarray) -> np.ndarray:
+        """log of the paths from (i, j) to the end."""
+        return fact[m - i + n - j] - fact[m - i] - fact[n - j]
+
+    p, scale = 0.0, 0.0
+    inside, first = np.ones(1), 0  # paths to (i, first), (i, first + 1), ... inside the band, over exp(scale)
+    for i in range(m + 1):
+        low = max(0, -((edge - 1 - i * dn) // dm))  # smallest j with i * dn - j * dm <= edge - 1
+        high = min(n, (i * dn + edge - 1) // dm)
+        if i:
+            out = np.arange(first, min(low, first + len(inside)))  # a step in i leaves the band below
+            if len(out):
+                p += float(np.sum(inside[:len(out)] * np.exp(scale + rest(i, out) - total)))
+            inside, first = inside[len(out):], max(first, low)
+        if low > high or not len(inside):
+            return min(1.0, p)
+        wide = np.zeros(high - first + 1)
+        wide[:len(inside)] = inside[:len(wide)]
+        inside = np.cumsum(wide)  # steps in j
+        if high < n:  # one more step in j leaves the band above
+            p += float(inside[-1] * np.exp(scale + rest(i, np.array([high + 1]))[0] - total))
+        top = inside.max()
+        inside, scale = inside / top, scale + math.log(top)
+    return min(1.0, p)
+
+
+@F.pandas_udf(T.DoubleType())
+def ks_exact_pvalue(d: pd.Series, m: pd.Series, n: pd.Series) -> pd.Series:
+    """``ks_exact``, one value per column tested (small helper)."""
+    return pd.Series([None if pd.isna(x) else ks_exact(float(x), int(a), int(b)) for x, a, b in zip(d, m, n, strict=True)], dtype="float64")
+
+
 def numeric_tests(long: DataFrame, threshold: float = 0.05, ref_tag: str = "ref", cur_tag: str = "cur",
-                  n_buckets: int | None = DEFAULT_BUCKETS, weight_col: str | None = None) -> DataFrame:
+                  n_buckets: int | None = DEFAULT_BUCKETS, weight_col: str | None = None, exact_ks: bool = False) -> DataFrame:
     """Per numeric column: KS statistic and p-value, normed Wasserstein-1, the chosen test and verdict.
 
-    Test choice follows the reference size: at most 1,000 reference rows -> K-S
+    ``exact_ks``: where the K-S test is the chosen one and the samples have at most ``EXACT_KS_ROWS`` rows, its p-value is
+    that of the exact distribution instead of the series. Test choice follows the reference size: at most 1,000 reference rows -> K-S
     (drift when p < threshold), else normed Wasserstein (drift when score >= threshold).
     """
     e = ecdf_diff(long, ref_tag=ref_tag, cur_tag=cur_tag, n_buckets=n_buckets, weight_col=weight_col)
@@ -79,6 +140,9 @@ def numeric_tests(long: DataFrame, threshold: float = 0.05, ref_tag: str = "ref"
            .withColumn("wasserstein_normed",
                        F.col("wasserstein") / F.greatest(F.col("std_ref"), F.lit(WASSERSTEIN_MIN_NORM))))
     use_ks = F.col("n_ref") <= SMALL_REFERENCE_ROWS
+    if exact_ks:
+        small = use_ks & (F.greatest("n_ref", "n_cur") <= EXACT_KS_ROWS)
+        out = out.withColumn("ks_pvalue", F.coalesce(ks_exact_pvalue(F.when(small, F.col("ks_stat")), "n_ref", "n_cur"), F.col("ks_pvalue")))
     return out.select(
         "column_name", F.lit("num").alias("column_type"),
         F.when(use_ks, F.lit(KS_NAME)).otherwise(F.lit(WASSERSTEIN_NAME)).alias("stattest_name"),
@@ -172,17 +236,25 @@ def categorical_tests(long: DataFrame, threshold: float = 0.05, ref_tag: str = "
         (p < threshold).alias("drift_detected"), "n_ref", "n_cur", "chi2_stat", "k", "new_categories")
 
 
+def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows without a missing value in any of ``columns`` (F5); NaN is missing too."""
+    return nan_as_null(df, columns).na.drop(subset=list(columns))
+
+
 def drift_table(ref: DataFrame, cur: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (),
-                threshold: float = 0.05, n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
+                threshold: float = 0.05, n_buckets: int | None = DEFAULT_BUCKETS, whole_rows: bool = False,
+                exact_ks: bool = False) -> DataFrame:
     """One row per tested column: column_name, column_type, stattest_name, stattest_threshold,
     drift_score, drift_detected, n_ref, n_cur (R5). Rows with nulls in a column are left out of
-    that column's test (F5)."""
+    that column's test, or of every test with ``whole_rows`` (F5)."""
+    if whole_rows:
+        ref, cur = (complete_rows(d, [*numeric, *categorical]) for d in (ref, cur))
     cols = ["column_name", "column_type", "stattest_name", "stattest_threshold", "drift_score",
             "drift_detected", "n_ref", "n_cur"]
     parts = []
     if numeric:
         long = stack(to_long(ref, numeric, "ref"), to_long(cur, numeric, "cur"))
-        parts.append(numeric_tests(long, threshold, n_buckets=n_buckets).select(*cols))
+        parts.append(numeric_tests(long, threshold, n_buckets=n_buckets, exact_ks=exact_ks).select(*cols))
     if categorical:
         long_c = stack(to_long(ref, categorical, "ref", "string"), to_long(cur, categorical, "cur", "string"))
         parts.append(categorical_tests(long_c, threshold).select(*cols))
@@ -275,8 +347,10 @@ def retrain_decision(summary: DataFrame, threshold: float = RETRAIN_SHARE) -> Da
                           F.when(share > threshold, reason).alias("reason"))
 
 
-def trigger_payload(decision: DataFrame, table: DataFrame, warnings: DataFrame, as_of: Column) -> DataFrame:
-    """The retrain trigger record (R13): triggered, reason, drift_metrics struct, timestamp (ISO UTC).
+def trigger_payload(decision: DataFrame, table: DataFrame, warnings: DataFrame, as_of: Column,
+                    report_path: Column | None = None) -> DataFrame:
+    """The retrain trigger record (R13): triggered, reason, drift_metrics struct (with
+    ``report_json_path``, where the report of the check lies; null if none was written), timestamp (ISO UTC).
 
     Only decisions that fired produce a row (S11).
     """
@@ -288,7 +362,8 @@ def trigger_payload(decision: DataFrame, table: DataFrame, warnings: DataFrame,
     metrics = F.struct(
         F.col("share_of_drifted_columns").alias("drift_share"), F.col("dataset_drift").alias("dataset_drift_detected"),
         F.col("number_of_drifted_columns").alias("number_of_drifted_features"),
-        "feature_drift_scores", F.col("n_current").alias("current_sample_size"), "warnings")
+        "feature_drift_scores", (F.lit(None).cast("string") if report_path is None else report_path).alias("report_json_path"),
+        F.col("n_current").alias("current_sample_size"), "warnings")
     return rec.where("triggered").select(
         "triggered", "reason", metrics.alias("drift_metrics"),
         F.date_format(as_of, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"))
@@ -296,9 +371,11 @@ def trigger_payload(decision: DataFrame, table: DataFrame, warnings: DataFrame,
 
 def inject_shift(df: DataFrame, key: str, seed: int = 99, scale_col: str = "Amount", factor: float = 10.0,
                  overwrite_fraction: float = 0.2, low: float = 1000.0, high: float = 5000.0,
-                 noise_cols: Sequence[str] = (), noise_sd: float = 2.0) -> DataFrame:
+                 noise_cols: Sequence[str] = (), noise_sd: float = 2.0,
+                 profile: dict[str, tuple[float, float]] | None = None) -> DataFrame:
     """Declared shift for drift sensitivity analysis (F8).
 
+    ``profile`` overwrites further columns of the same rows with gaussian values of a (mean, sd) each.
     scale_col *= factor; then exactly floor(n * overwrite_fraction) rows, those
     lowest in md5(seed|key) order, get scale_col = low + (high - low) * u with u
     a uniform taken from the row's md5. Optional gaussian noise (Box-Muller over two
@@ -310,14 +387,24 @@ def inject_shift(df: DataFrame, key: str, seed: int = 99, scale_col: str = "Amou
         digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(name), F.col(key).cast("string")))
         return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(16 ** 8))
 
+    def normal(name: str) -> Column:
+        radius = F.sqrt(F.lit(-2.0) * F.log(uniform(f"{name}|r") + F.lit(0.5 / 16 ** 8)))  # never the log of 0
+        return radius * F.cos(F.lit(2 * math.pi) * uniform(f"{name}|a"))
+
     u = uniform("u")
     hit = F.col("stratum_rank") <= F.floor(F.col("stratum_n") * F.lit(overwrite_fraction))
-    out = r.withColumn(scale_col, F.when(hit, F.lit(low) + F.lit(high - low) * u)
-                       .otherwise(F.col(scale_col) * F.lit(factor)))
+    out = r.withColumn("_hit", hit).withColumn(scale_col, F.when(hit, F.lit(low) + F.lit(high - low) * u)
+                                               .otherwise(F.col(scale_col) * F.lit(factor)))
     for c in noise_cols:
-        radius = F.sqrt(F.lit(-2.0) * F.log(uniform(f"{c}|r") + F.lit(0.5 / 16 ** 8)))  # never the log of 0
-        out = out.withColumn(c, F.col(c) + radius * F.cos(F.lit(2 * math.pi) * uniform(f"{c}|a")) * F.lit(noise_sd))
-    return out.drop("_all", "_order", "stratum_rank", "stratum_n")
+        out = out.withColumn(c, F.col(c) + normal(c) * F.lit(noise_sd))
+    for c, (mean, sd) in (profile or {}).items():  # overwritten after the noise
+        out = out.withColumn(c, F.when(F.col("_hit"), F.lit(float(mean)) + normal(f"{c}|profile") * F.lit(float(sd))).otherwise(F.col(c)))
+    return out.drop("_all", "_order", "_hit", "stratum_rank", "stratum_n")
+
+
+def scores_by_name(table: DataFrame) -> DataFrame:
+    """column_name, drift_score, ordered by name (D5); one row per column."""
+    return table.select("column_name", "drift_score").orderBy("column_name")
 
 
 def compare_runs(before: DataFrame, after: DataFrame) -> DataFrame:

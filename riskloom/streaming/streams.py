@@ -21,6 +21,8 @@ from ..functions import validate as va
 from ..operators import features as fe
 from ..operators import models as mo
 from ..plans import monitor
+from ..sources.idlog import IdLog
+from ..sources.versions import ModelVersions
 
 
 def event_time(df: DataFrame, col: str = "ts", out: str = "event_time") -> DataFrame:
@@ -28,36 +30,6 @@ def event_time(df: DataFrame, col: str = "ts", out: str = "event_time") -> DataF
     return df.withColumn(out, F.col(col).cast("timestamp"))
 
 
-def write_replay(df: DataFrame, path: str, ts: str, n_files: int) -> list[str]:
-    """Write ``df`` as ``n_files`` Parquet directories in event-time order with increasing mtimes, so a
-    file source with maxFilesPerTrigger=1 replays them in time order (test and backfill helper).
-
-    Cut points come from approxQuantile (n_files - 1 numbers); every range is written by Spark.
-    """
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    d = df.withColumn("_us", micros)
-    cuts = d.approxQuantile("_us", [i / n_files for i in range(1, n_files)], 0.0) if n_files > 1 else []
-    edges = [None, *cuts, None]
-    out = []
-    for i in range(n_files):
-        lo, hi = edges[i], edges[i + 1]
-        part = d
-        if lo is not None:
-            part = part.where(F.col("_us") > F.lit(int(lo)))
-        if hi is not None:
-            part = part.where(F.col("_us") <= F.lit(int(hi)))
-        p = os.path.join(path, f"part-{i:05d}")
-        part.drop("_us").coalesce(1).write.mode("overwrite").parquet(p + ".tmp")
-        # move the single data file into the source folder with an increasing mtime
-        for name in os.listdir(p + ".tmp"):
-            if name.endswith(".parquet"):
-                dst = os.path.join(path, f"part-{i:05d}.parquet")
-                os.replace(os.path.join(p + ".tmp", name), dst)
-                os.utime(dst, (1_700_000_000 + i, 1_700_000_000 + i))
-                out.append(dst)
-    return out
-
-
 def scoring_query(src: DataFrame, model, stats: DataFrame, rules, out_path: str, quarantine_path: str,
                   checkpoint: str, threshold: float = 0.5, key: Sequence[str] = ("tx_id",),
                   trigger: dict | None = None, model_version: str = "stream") -> StreamingQuery:
@@ -88,6 +60,42 @@ def scoring_query(src: DataFrame, model, stats: DataFrame, rules, out_path: str,
     return w.start()
 
 
+def served_scoring_query(src: DataFrame, versions: ModelVersions, name: str, rules, out_path: str, quarantine_path: str,
+                         checkpoint: str, threshold: float = 0.5, key: Sequence[str] = ("tx_id",), stage: str = "Production",
+                         trigger: dict | None = None) -> StreamingQuery:
+    """T1 with the version served at the time: every micro-batch asks the registry for the version of ``name`` at ``stage``
+    (M11), so a promotion takes effect with the next batch, without a restart. A version is loaded once. Features are
+    made with the version's own statistics and checked against its own signature. Nothing at the stage ends the
+    query with ``RegistryError``; the batch is not committed and runs when a version is there again."""
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        served = versions.serving(name, stage)
+        tagged = va.tag_errors(df, rules).persist()
+        ok = tagged.where(F.size("errors") == 0).drop("errors")
+        feats = ok if served.stats is None else fe.features_v2(ok, served.stats, drop=())
+        va.check_signature(feats, list(served.signature))
+        scored = mo.score(served.model, feats, threshold, keep=[*key, "Amount", "event_time"])
+        log = scored.select(
+            F.sha2(F.concat_ws("|", *[F.col(k).cast("string") for k in key]), 256).alias("prediction_id"),
+            F.col("event_time").cast("timestamp_ntz").alias("timestamp"), F.col("Amount").alias("amount"),
+            "fraud_probability", "is_fraud", F.lit(served.version).alias("model_version"))
+        log.write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
+        tagged.where(F.size("errors") > 0).write.mode("overwrite").parquet(os.path.join(quarantine_path, f"batch_id={batch_id}"))
+        tagged.unpersist()
+
+    return (src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def idempotent_log_query(src: DataFrame, log: IdLog, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """T5 over the full history: every micro-batch adds the ids that the log has never seen (see ``sources.idlog``), however
+    long ago the first of them came. A batch that runs again adds nothing."""
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        log.append(df, batch_id)
+
+    return (src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
 def rollup_stream(src: DataFrame, ts: str = "event_time", every: str = "1 day", slide: str | None = None,
                   watermark: str = "1 hour") -> DataFrame:
     """T4: count, fraud rate, mean probability per tumbling (or sliding) event-time window, closed by a watermark."""
@@ -212,7 +220,8 @@ def drift_check_query(src: DataFrame, ref: DataFrame, numeric: Sequence[str], lo
 
 
 def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Rows the stateful operators dropped as late, summed over the query's recent progress.
+    """Rows the stateful operators dropped as late, summed over the query's recent progress (the last hundred
+    batches; ``late.DroppedRows`` sums them all, ``late.split_late`` keeps the rows themselves).
 
     Spark counts after partial aggregation, so for a windowed aggregate this is
     the number of late (window, input partition) groups, not of input rows.

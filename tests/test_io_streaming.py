@@ -4,6 +4,7 @@ import os
 
 import pandas as pd
 import pytest
+from replay import write_replay
 from pyspark.sql import functions as F
 
 from riskloom.functions.validate import SchemaMismatchError
@@ -97,7 +98,7 @@ def test_append_predictions_is_idempotent(spark, tmp_dir):
 def replay(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("replay"))
     p = fx.pred(spark, SF)
-    st.write_replay(p, path, "timestamp", 4)
+    write_replay(p, path, "timestamp", 4)
     return path, p.schema
 
 
@@ -162,7 +163,7 @@ def test_scoring_stream_logs_every_valid_row(spark, tmp_path_factory, tmp_dir):
                        "Class", quick)
     src_dir = str(tmp_path_factory.mktemp("score_src"))
     rows = fx.feat(spark, SF).drop("split")
-    st.write_replay(rows, src_dir, "ts", 2)
+    write_replay(rows, src_dir, "ts", 2)
     src = st.event_time(st.file_source(spark, src_dir, rows.schema), "ts")
     rules = [("Amount must be >= 0", F.col("Amount") >= 0), ("Amount must be < 300", F.col("Amount") < 300)]
     out, bad = os.path.join(tmp_dir, "log"), os.path.join(tmp_dir, "bad")
@@ -194,7 +195,7 @@ def test_late_rows_are_counted(spark, tmp_path_factory, tmp_dir):
     path = str(tmp_path_factory.mktemp("late"))
     p = fx.pred(spark, SF)
     cut = F.lit("2024-01-05 00:00:00").cast("timestamp_ntz")
-    st.write_replay(p.where(F.col("timestamp") >= cut), path, "timestamp", 2)
+    write_replay(p.where(F.col("timestamp") >= cut), path, "timestamp", 2)
     late_dir = os.path.join(tmp_dir, "late_tmp")
     p.where(F.col("timestamp") < cut).coalesce(1).write.parquet(late_dir)
     for name in os.listdir(late_dir):
@@ -275,7 +276,7 @@ def test_restarted_scoring_query_adds_nothing(spark, tmp_path_factory, tmp_dir):
                        "Class", mo.GBTParams(max_depth=2, step_size=0.1, max_iter=2))
     src_dir = str(tmp_path_factory.mktemp("restart_src"))
     rows = fx.feat(spark, SF)
-    st.write_replay(rows, src_dir, "ts", 2)
+    write_replay(rows, src_dir, "ts", 2)
     out, bad, ck = (os.path.join(tmp_dir, x) for x in ("log", "bad", "ck"))
     for _ in range(2):  # the second run resumes from the checkpoint: every file is already committed
         src = st.event_time(st.file_source(spark, src_dir, rows.schema), "ts")
