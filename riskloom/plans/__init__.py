@@ -4,7 +4,7 @@ from importlib import import_module
 
 from .registry import ORACLE, QUERIES
 
-_MODULES = ["q_eval", "q_profile", "q_features", "q_drift", "q_registry", "q_misc", "q_models"]
+_MODULES = ["q_eval", "q_profile", "q_features", "q_drift", "q_registry", "q_misc", "q_models", "q_logs"]
 
 
 def load_all() -> None:
