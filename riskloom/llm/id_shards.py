@@ -1,9 +1,8 @@
 """Token ids as raw binary shards with a minimal perfect hash index over the document keys.
 
-Writing. Every text is encoded once, in the task that reads it. Ids go to ranges of doc_id (bounds: approximate
-percentiles of all doc_ids; an id that fills several ranges is spread over them), are sorted there and written as
-shard files of about ``shard_ids`` ids: header, raw ids (2 bytes each where the vocabulary allows, else 4, little
-endian), table of documents. A shard is one task's own file, committed by Spark's writer, so a lost executor or a
+Writing. Texts go to ranges of doc_id (and of the row, so an id of very many rows fills several ranges), are sorted
+there, encoded one after another and written as shard files of about ``shard_ids`` ids: header, raw ids (2 bytes each
+where the vocabulary allows, else 4, little endian), table of documents. A shard is one task's own file, committed by Spark's writer, so a lost executor or a
 task that ran twice leaves no partial file and no second one.
 
 Index. Keys (doc_id and number of the copy among equal ids) are dealt by hash into index files of about
@@ -31,12 +30,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from . import byte_bpe
 from .common import small_batches, written
-from .packing import TokenBytes
 from .wordhash import mix
 
 SHARD, INDEX = b"IDSHARD1", b"IDINDEX1"
@@ -47,30 +47,11 @@ INDEX_HEAD = "<8sIIII"
 SHARD_HEAD_SIZE, INDEX_HEAD_SIZE = struct.calcsize(SHARD_HEAD), struct.calcsize(INDEX_HEAD)
 DOC = np.dtype([("doc_id", "<i8"), ("length", "<u4"), ("has_id", "<u4")])
 SLOT = np.dtype([("print", "<u4"), ("shard", "<u4"), ("offset", "<u4"), ("length", "<u4")])
-RECORDS = "part int, seq int, rec int, doc_id long, offset long, length long, ids_crc32 long"
+RECORDS = "part int, seq int, rec int, doc_id long, offset long, length long, ids_crc32 long, file string"
 
 
 # ---- ids and shard files --------------------------------------------------------------------------------------------------
 
-class Ids(TokenBytes):
-    """Text -> ids of ``width`` bytes each (see ``TokenBytes`` for the units)."""
-
-    def __init__(self, tokenizer_path: str, width: int):
-        super().__init__(tokenizer_path)
-        self.kind = np.dtype(f"<u{width}")
-
-    def __missing__(self, unit: str) -> bytes:
-        ids = np.array(self.encode(unit), dtype=self.kind).tobytes()
-        if len(self) < self.most:
-            self[unit] = ids
-        return ids
-
-    def ids(self, text: str) -> bytes:
-        from .packing import ADDED, ADDED_ID
-
-        return np.array([ADDED_ID], dtype=self.kind).tobytes().join(map(self.of, text.split(ADDED)))
-
-
 def vocabulary_size(tokenizer_path: str) -> int:
     from tokenizers import Tokenizer
 
@@ -92,33 +73,14 @@ def shard_content(file: bytes) -> tuple[int, int, int, np.ndarray, np.ndarray]:
     return part, seq, width, ids, np.frombuffer(file, DOC, n_docs, SHARD_HEAD_SIZE + n_ids * width)
 
 
-def _encoded(docs: DataFrame, tokenizer_path: str, end_id: int, width: int, bounds: np.ndarray, nulls: int) -> DataFrame:
-    """part, doc_id, has_id, salt, ids of every row; rows without an id go to ``nulls`` parts after the others."""
+def _files(tokenizer_path: str, end_id: int, width: int, shard_ids: int):
+    """Texts sorted by doc_id -> one row per shard file; a task holds one shard at a time."""
     end = np.array([end_id], dtype=f"<u{width}").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Ids(tokenizer_path, width)
-        for batch in batches:
-            ids, has, salt = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            low, high = np.searchsorted(bounds, ids, "left"), np.searchsorted(bounds, ids, "right")
-            spread = mix(salt.view(np.uint64))
-            part = low + (spread % (high - low + 1).astype(np.uint64)).astype(np.int64)
-            part = np.where(has, part, len(bounds) + 1 + (spread % np.uint64(nulls)).astype(np.int64))
-            made = [tokens.ids(t.as_py()) + end for t in batch.column(3)]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *(batch.column(i) for i in range(3)), pa.array(made, pa.binary())],
-                                             names=["part", "doc_id", "has_id", "salt", "ids"])
-
-    rows = small_batches(docs).select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("has_id"),
-        F.monotonically_increasing_id().alias("salt"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "part int, doc_id long, has_id boolean, salt long, ids binary")
-
-
-def _files(width: int, shard_ids: int):
-    """Rows sorted by part and doc_id -> one row per shard file; a task holds one shard at a time."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, part = byte_bpe.ids(tokenizer_path, width), TaskContext.get().partitionId()
         held: list[tuple[int, bool, bytes]] = []
-        part, seq, n = None, 0, 0
+        seq = n = 0
 
         def flush() -> pa.RecordBatch:
             out = pa.RecordBatch.from_arrays([pa.array([shard_file(part, seq, width, held)], pa.binary())], names=["file"])
@@ -126,14 +88,14 @@ def _files(width: int, shard_ids: int):
             return out
 
         for batch in batches:
-            for p, i, has, _, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and (p != part or n + len(b) // width > shard_ids):
+            ids, has = (batch.column(i).to_pylist() for i in range(2))
+            for i, h, text in zip(ids, has, batch.column(2), strict=True):
+                made = tokens.of(text.as_py()) + end
+                if held and n + len(made) // width > shard_ids:
                     yield flush()
-                    seq, n = (seq + 1 if p == part else 0), 0
-                elif not held:
-                    seq = 0
-                part, n = p, n + len(b) // width
-                held.append((i, has, b))
+                    seq, n = seq + 1, 0
+                n += len(made) // width
+                held.append((i, h, made))
         if held:
             yield flush()
 
@@ -141,26 +103,24 @@ def _files(width: int, shard_ids: int):
 
 
 def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, shard_ids: int = 1 << 21, part_bytes: int = 8 << 20) -> None:
-    """``docs`` (doc_id, text) as shard files in ``path``, in ascending order of doc_id."""
-    known = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size"), F.count("*").alias("n"),
-                     F.count("doc_id").alias("ids")).first()
-    parts = 1 + int(known["size"]) // part_bytes
-    cuts = [i / parts for i in range(1, parts)]
-    bounds = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), cuts, max(10_000, 10 * parts))).first()[0] if cuts else None
-    bounds = np.array(bounds or [], dtype=np.int64)  # 8 bytes per ``part_bytes`` of text
-    nulls = 1 + parts * (known["n"] - known["ids"]) // max(1, known["n"])
+    """``docs`` (doc_id, text) as shard files in ``path``, in ascending order of doc_id; ranges of about ``part_bytes`` of text."""
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     width = 2 if max(vocabulary_size(tokenizer_path), end_id + 1) <= 1 << 16 else 4
-    rows = _encoded(docs, tokenizer_path, end_id, width, bounds, nulls)
-    sorted_ = rows.repartitionById(len(bounds) + 1 + nulls, "part").sortWithinPartitions("part", "doc_id", "salt")
-    files = sorted_.mapInArrow(_files(width, shard_ids), "file binary")
+    rows = small_batches(docs).select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("has_id"),
+        F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"))
+    order = [F.col("has_id").desc(), "doc_id", "row"]
+    sorted_ = rows.repartitionByRange(1 + int(size) // part_bytes, *order).sortWithinPartitions(*order)
+    files = sorted_.select("doc_id", "has_id", "text").mapInArrow(_files(tokenizer_path, end_id, width, shard_ids), "file binary")
     files.select(F.col("file").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
-    """Every document of the shard files: where it is and the checksum of its ids (as 32-bit numbers), in order."""
+    """Every document of the shard files: where it is and the checksum of its ids (as 32-bit numbers), in order; a
+    file's first document also names the file."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file in batch.column(0):
+            for file, name in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 part, seq, _, ids, table = shard_content(memoryview(file.as_buffer()))
                 raw = memoryview(ids.astype("<u4").tobytes())
                 ends = np.cumsum(table["length"].astype(np.int64))
@@ -170,10 +130,10 @@ def records(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, part), pa.int32()), pa.array(np.full(n, seq), pa.int32()), pa.array(np.arange(n), pa.int32()),
                      pa.array(table["doc_id"], pa.int64(), mask=table["has_id"] == 0), pa.array(begins, pa.int64()),
-                     pa.array(table["length"].astype(np.int64)), pa.array(crc, pa.int64())],
-                    names=["part", "seq", "rec", "doc_id", "offset", "length", "ids_crc32"])
+                     pa.array(table["length"].astype(np.int64)), pa.array(crc, pa.int64()), pa.array([name] + [None] * (n - 1), pa.string())],
+                    names=["part", "seq", "rec", "doc_id", "offset", "length", "ids_crc32", "file"])
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, RECORDS)
+    return spark.read.format("binaryFile").load(path).select("content", "path").mapInArrow(run, RECORDS)
 
 
 # ---- minimal perfect hash -------------------------------------------------------------------------------------------------
@@ -260,9 +220,12 @@ class Store:
               index_keys: int = 1 << 18) -> Store:
         spark, path = docs.sparkSession, path.rstrip("/")
         write_shards(docs, f"{path}/shards", tokenizer_path, end_id, shard_ids, part_bytes)
-        records(spark, f"{path}/shards").write.parquet(f"{path}/records")
-        cls._number_shards(spark, path)
-        keyed = _keyed(spark.read.parquet(f"{path}/records")).join(spark.read.parquet(f"{path}/shards-table").select("shard", "part", "seq"), ["part", "seq"])
+        found = written(records(spark, f"{path}/shards"), "id-records")
+        cls._number_shards(spark, found, path)
+        shards = spark.read.parquet(f"{path}/shards-table").select("part", "seq", "shard", F.col("start").alias("_start"))
+        _copies(found).join(shards, ["part", "seq"]).select(
+            "doc_id", "copy", "shard", "offset", "length", (F.col("_start") + F.col("offset")).alias("start"), "ids_crc32").write.parquet(f"{path}/records")
+        keyed = spark.read.parquet(f"{path}/records").where("copy IS NOT NULL")
         of = 1 + keyed.count() // index_keys
 
         def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -290,29 +253,20 @@ class Store:
         return cls(spark, path)
 
     @staticmethod
-    def _number_shards(spark: SparkSession, path: str) -> None:
+    def _number_shards(spark: SparkSession, found: DataFrame, path: str) -> None:
         """The table of shards, numbered in the order of doc_id, with the ids of all shards before (one row a file)."""
-        def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                found = [struct.unpack_from(SHARD_HEAD, c) for c in pdf["content"]]
-                yield pd.DataFrame({"part": [x[2] for x in found], "seq": [x[3] for x in found], "n_docs": [x[4] for x in found],
-                                    "n_ids": [x[5] for x in found], "file": pdf["path"]})
-
-        got = spark.read.format("binaryFile").load(f"{path}/shards").select("path", "content")
-        got = got.mapInPandas(heads, "part int, seq int, n_docs long, n_ids long, file string")
+        got = found.groupBy("part", "seq").agg(
+            F.count("*").alias("n_docs"), F.sum("length").alias("n_ids"), F.max("file").alias("file"))
         order = Window.orderBy("part", "seq")  # one row per file of ``shard_ids`` ids
         got = got.withColumn("shard", F.row_number().over(order) - 1)
         got.withColumn("start", F.sum("n_ids").over(order) - F.col("n_ids")).write.parquet(f"{path}/shards-table")
 
     def records(self) -> DataFrame:
-        """doc_id, copy (null without an id), shard, offset, length, start, ids_crc32 by a scan of the shards."""
-        rows = self.spark.read.parquet(f"{self.path}/records")
-        keyed = _keyed(rows).unionByName(rows.where("doc_id IS NULL").withColumn("copy", F.lit(None).cast("long")))
-        return keyed.join(self.shards.select("part", "seq", "shard", F.col("start").alias("_start")), ["part", "seq"]).select(
-            "doc_id", "copy", "shard", "offset", "length", (F.col("_start") + F.col("offset")).alias("start"), "ids_crc32")
+        """doc_id, copy (null without an id), shard, offset, length, start, ids_crc32, as a scan of the shards gave them."""
+        return self.spark.read.parquet(f"{self.path}/records")
 
     def look_up(self, keys: DataFrame) -> DataFrame:
-        """``keys`` (doc_id, copy) -> doc_id, copy, shard, offset, length by the index; keys not stored give no row."""
+        """``keys`` (doc_id, copy) -> doc_id, copy, shard, offset, length by the index; nulls for keys that are not stored."""
         known = self.indexes.select("of").first()
         of = known["of"] if known else 1
 
@@ -321,12 +275,14 @@ class Store:
                 yield pdf.assign(number=_index_of(key_hash(pdf["doc_id"].to_numpy(), pdf["copy"].to_numpy()), of))
 
         def find(asked: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
-            if not len(index) or not len(asked):
-                return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("doc_id", "copy", "shard", "offset", "length")})
-            index = Index(index["content"].iloc[0])
-            ok, slot = index.find(key_hash(asked["doc_id"].to_numpy(), asked["copy"].to_numpy()))
-            got = index.slots[slot[ok]]
-            return asked[ok][["doc_id", "copy"]].assign(**{c: got[c].astype(np.int64) for c in ("shard", "offset", "length")})
+            out = asked[["doc_id", "copy"]].reset_index(drop=True)
+            columns = {c: pd.array([None] * len(out), dtype="Int64") for c in ("shard", "offset", "length")}
+            if len(index) and len(asked):
+                index = Index(index["content"].iloc[0])
+                ok, slot = index.find(key_hash(asked["doc_id"].to_numpy(), asked["copy"].to_numpy()))
+                for c in columns:
+                    columns[c][ok] = index.slots[c][slot[ok]].astype(np.int64)
+            return out.assign(**columns)
 
         asked = keys.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("copy").cast("long").alias("copy"))
         asked = asked.mapInPandas(numbered, "doc_id long, copy long, number int")
@@ -358,14 +314,14 @@ class Store:
         return bytes(self.spark.read.format("binaryFile").load(file).first()["content"])
 
 
-def _keyed(rows: DataFrame) -> DataFrame:
-    """Records with an id, with ``copy``: their number among records of the same id, in the order of the files. A
-    file's records of one id are numbered in the file; the window holds one row per id and file."""
-    rows = rows.where("doc_id IS NOT NULL")
-    spans = rows.groupBy("doc_id", "part", "seq").agg(F.count("*").alias("_n"), F.min("rec").alias("_first"))
+def _copies(rows: DataFrame) -> DataFrame:
+    """Records with ``copy``: their number among records of the same id, in the order of the files (null without an id).
+    A file's records of one id are numbered in the file; the window holds one row per id and file."""
+    spans = rows.where("doc_id IS NOT NULL").groupBy("doc_id", "part", "seq").agg(F.count("*").alias("_n"), F.min("rec").alias("_first"))
     files = Window.partitionBy("doc_id").orderBy("part", "seq")
-    spans = spans.withColumn("_before", F.sum("_n").over(files) - F.col("_n"))
-    return rows.join(spans.drop("_n"), ["doc_id", "part", "seq"]).withColumn("copy", F.col("_before") + F.col("rec") - F.col("_first")).drop("_before", "_first")
+    spans = spans.withColumn("_before", F.sum("_n").over(files) - F.col("_n")).drop("_n")
+    # rows without an id find no span
+    return rows.join(spans, ["doc_id", "part", "seq"], "left").withColumn("copy", F.col("_before") + F.col("rec") - F.col("_first")).drop("_before", "_first")
 
 
 def write_and_read_back(docs: DataFrame, tokenizer_path: str, end_id: int, path: str | None = None, **kw) -> DataFrame:
@@ -374,10 +330,8 @@ def write_and_read_back(docs: DataFrame, tokenizer_path: str, end_id: int, path:
     path = path or f"{ensure_checkpoint_dir(docs.sparkSession)}/ids-{uuid.uuid4().hex}"
     store = Store.write(docs, path, tokenizer_path, end_id, **kw)
     keys = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.count("*").alias("_n")).where("doc_id IS NOT NULL")
-    keys = written(keys.select("doc_id", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("copy")), "id-keys")
-    found = store.look_up(keys)
+    found = store.look_up(keys.select("doc_id", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("copy")))
     at = store.records()
-    by_key = found.join(at.drop("doc_id", "copy"), ["shard", "offset", "length"])
-    listed = keys.join(by_key.select("doc_id", "copy", "start", "length", "ids_crc32"), ["doc_id", "copy"], "left")
-    out = listed.drop("copy").unionByName(at.where("doc_id IS NULL").select("doc_id", "start", "length", "ids_crc32"))
+    by_key = found.join(at.drop("doc_id", "copy"), ["shard", "offset", "length"], "left").select("doc_id", "start", "length", "ids_crc32")
+    out = by_key.unionByName(at.where("doc_id IS NULL").select("doc_id", "start", "length", "ids_crc32"))
     return out.select("doc_id", "start", F.col("length").alias("n_tokens"), "ids_crc32")

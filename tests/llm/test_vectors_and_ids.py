@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from riskloom.llm import byte_bpe
 from riskloom.llm import hard_negatives as hn
 from riskloom.llm import id_shards as ids
 from riskloom.llm import queries as Q
@@ -141,7 +142,9 @@ def test_ids_of_repeated_and_null_keys(spark, tmp_dir):
     run = sorted(got, key=lambda r: r[1])
     assert [r[0] for r in run] == [r[0] for r in want]
     assert [r[1] for r in run] == np.cumsum([0] + [r[2] for r in run])[:-1].tolist()
-    parts = {r.part for r in ids.Store(spark, path).records().where("doc_id = 7").join(ids.Store(spark, path).shards, "shard").collect()}
+    store = ids.Store(spark, path)
+    parts = {r.part for r in store.records().where("doc_id = 7").join(store.shards, "shard").collect()}
+    assert store.look_up(spark.createDataFrame([(7, 200), (7, 201), (-5, 0)], "doc_id long, copy long")).where("shard IS NULL").count() == 2
     assert len(parts) > 3  # one id is no single task
 
 
@@ -152,6 +155,28 @@ def test_ids_of_an_empty_table(spark, tmp_dir):
     assert ids.Store(spark, path).get(1) is None
 
 
+@pytest.mark.parametrize("text", ["", " ", "a  b\n\n c\t\u00a0d\u3000 e", "don't we'll I'M 12 ab12cd ...!?", "x <|endoftext|><|endoftext|>y <|endoftext", "naïve \x00 \U0001f600é ñ" * 50,
+                                  "-" * 70000, "深い学び 文字 \u200b\ufeff \x85 \x1f\x1c", " \n" * 3000 + "end "])
+def test_units_of_one_text(text):
+    for most in (300_000, 3):  # 3: hardly anything is remembered
+        tokens = byte_bpe.Ids(BPE, 2, most)
+        assert tokens.byte_level
+        for _ in range(2):
+            assert np.frombuffer(tokens.of(text), "<u2").tolist() == Tokenizer.from_file(BPE).encode(text, add_special_tokens=False).ids
+
+
+def test_other_tokenizers_take_whole_texts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokens = byte_bpe.Ids(path, 4)
+    assert not tokens.byte_level
+    assert np.frombuffer(tokens.of("Some  Words"), "<u4").tolist() == Tokenizer.from_file(path).encode("Some  Words", add_special_tokens=False).ids
+
+
+def test_a_word_of_the_vocabulary_is_one_id():
+    t = Tokenizer.from_file(BPE)
+    assert all([x.id for x in t.model.tokenize(w)] == [i] for w, i in t.get_vocab().items() if w != "<|endoftext|>")
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 100, 20000])
 def test_index_is_minimal_and_perfect(n):
     rng = np.random.default_rng(n)
