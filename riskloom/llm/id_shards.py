@@ -102,15 +102,14 @@ def _files(tokenizer_path: str, end_id: int, width: int, shard_ids: int):
     return run
 
 
-def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, shard_ids: int = 1 << 21, part_bytes: int = 8 << 20) -> None:
-    """``docs`` (doc_id, text) as shard files in ``path``, in ascending order of doc_id; ranges of about ``part_bytes`` of text."""
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, shard_ids: int = 1 << 21, part_rows: int = 2048) -> None:
+    """``docs`` (doc_id, text) as shard files in ``path``, in ascending order of doc_id; ranges of about ``part_rows`` rows."""
     width = 2 if max(vocabulary_size(tokenizer_path), end_id + 1) <= 1 << 16 else 4
     rows = small_batches(docs).select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("has_id"),
         F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"))
     order = [F.col("has_id").desc(), "doc_id", "row"]
-    sorted_ = rows.repartitionByRange(1 + int(size) // part_bytes, *order).sortWithinPartitions(*order)
+    sorted_ = rows.repartitionByRange(1 + docs.count() // part_rows, *order).sortWithinPartitions(*order)
     files = sorted_.select("doc_id", "has_id", "text").mapInArrow(_files(tokenizer_path, end_id, width, shard_ids), "file binary")
     files.select(F.col("file").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
 
@@ -216,10 +215,10 @@ class Store:
         self.indexes = spark.read.parquet(f"{self.path}/index-table")
 
     @classmethod
-    def write(cls, docs: DataFrame, path: str, tokenizer_path: str, end_id: int, shard_ids: int = 1 << 21, part_bytes: int = 8 << 20,
+    def write(cls, docs: DataFrame, path: str, tokenizer_path: str, end_id: int, shard_ids: int = 1 << 21, part_rows: int = 2048,
               index_keys: int = 1 << 18) -> Store:
         spark, path = docs.sparkSession, path.rstrip("/")
-        write_shards(docs, f"{path}/shards", tokenizer_path, end_id, shard_ids, part_bytes)
+        write_shards(docs, f"{path}/shards", tokenizer_path, end_id, shard_ids, part_rows)
         found = written(records(spark, f"{path}/shards"), "id-records")
         cls._number_shards(spark, found, path)
         shards = spark.read.parquet(f"{path}/shards-table").select("part", "seq", "shard", F.col("start").alias("_start"))

@@ -1,12 +1,15 @@
 """Embedding near-dedup with a pivot-permutation index.
 
-A vector is described by its nearest reference points (pivots), in order. Pivots are kept apart (no two have a
+A vector is described by its nearest reference points (pivots), in order, as seen from the mean of all unit vectors:
+embeddings share a direction, which would bring every vector near every pivot. Pivots are kept apart (no two have a
 cosine above ``apart``), so a crowded region holds a few and not its share of them. Inverted lists hold the vectors
 of each pivot, in two ways:
 
-- A vector whose nearest pivot has a cosine of ``apart`` at least has that pivot as its home. Whatever may link
-  with it lies within the sum of the two angles of its home and is in the home's list, and the vector is compared
-  with all of that list: every link of a vector with a home is found.
+- A vector whose nearest pivot has a cosine of ``apart`` at least has that pivot as its home. Two unit vectors that link
+  are at most d = sqrt(2 - 2 threshold) apart, so from the mean they are seen under an angle of at most
+  asin(d / r), r being the distance of either one from the mean. Whatever links with a vector therefore lies
+  within that angle and the angle of its home, is in the home's list, and the vector is compared with all of that list:
+  every link of a vector with a home is found.
 - Vectors without a home, in thin regions, are in the lists of their first ``prefix`` pivots, and two of them are
   candidates when they share at least ``shared`` of these. Only links between two such vectors can be missed.
 
@@ -48,20 +51,32 @@ def _apart(points: np.ndarray, most: float) -> np.ndarray:
     return out
 
 
-def _described(classes: DataFrame, pivots: dict[int, np.ndarray], prefix: int, apart: float, within: float) -> DataFrame:
+def _seen(x: np.ndarray, mean: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors as directions from ``mean``, and their distances from it (one at the mean has no direction)."""
+    away = unit(x) - mean
+    far = np.sqrt((away * away).sum(axis=1))
+    return away / np.where(far > 0, far, 1.0)[:, None], far
+
+
+def _described(classes: DataFrame, means: dict[int, np.ndarray], pivots: dict[int, np.ndarray], prefix: int, apart: float,
+               threshold: float) -> DataFrame:
     """Add ``near``: numbers of the ``prefix`` nearest pivots, nearest first (ties: the smaller number), ``home``:
     the first of them if its cosine is ``apart`` at least, else -1, and ``lists``: the pivots in whose lists the
-    vector is, those with a cosine of ``within`` at least and, without a home, the ``prefix`` nearest."""
+    vector is, those whose homes may hold a vector linked with it and, without a home, the ``prefix`` nearest."""
+    reach = np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for dim, same in pdf.groupby("dim"):
                 for at in range(0, len(same), 2048):
                     some = same.iloc[at:at + 2048].copy()
-                    cos = (unit(matrix(some["embedding"])) @ pivots[dim].T).round(12)
+                    x, far = _seen(matrix(some["embedding"]), means[dim])
+                    cos = (x @ pivots[dim].T).round(12)
+                    angle = np.arccos(apart) + np.arcsin(np.minimum(1.0, reach / np.maximum(far, 1e-300)))
+                    within = np.where(far > reach, np.cos(np.minimum(np.pi, angle)) - 1e-9, -2.0)
                     near = np.argsort(-cos, axis=1, kind="stable")[:, :prefix].astype(np.int32)
                     housed = np.take_along_axis(cos, near[:, :1].astype(int), 1)[:, 0] >= apart
-                    listed = cos >= within
+                    listed = cos >= within[:, None]
                     listed[np.flatnonzero(~housed)[:, None], near[~housed]] = True
                     some["near"], some["home"] = list(near), np.where(housed, near[:, 0], -1).astype(np.int32)
                     some["lists"] = [np.flatnonzero(x).astype(np.int32) for x in listed]
@@ -70,6 +85,23 @@ def _described(classes: DataFrame, pivots: dict[int, np.ndarray], prefix: int, a
     return classes.mapInPandas(run, "dim int, cls long, copies long, embedding array<double>, near array<int>, home int, lists array<int>")
 
 
+def _means(classes: DataFrame) -> dict[int, np.ndarray]:
+    """The mean of the unit vectors of each length, from one sum a task and length."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[int, np.ndarray] = {}
+        for pdf in batches:
+            for dim, same in pdf.groupby("dim"):
+                total[dim] = total.get(dim, 0.0) + unit(matrix(same["embedding"])).sum(axis=0)
+        yield pd.DataFrame([(d, i, x) for d, v in total.items() for i, x in enumerate(v)], columns=["dim", "i", "x"])
+
+    n = {r["dim"]: r["count"] for r in classes.groupBy("dim").count().collect()}  # one row per vector length
+    sums = classes.select("dim", "embedding").mapInPandas(run, "dim int, i int, x double").groupBy("dim", "i").agg(F.sum("x").alias("x"))
+    out = {d: np.zeros(d) for d in n}
+    for r in sums.collect():  # a row per dimension
+        out[r["dim"]][r["i"]] = r["x"] / n[r["dim"]]
+    return out
+
+
 def _forest(a: np.ndarray, b: np.ndarray, n: int) -> list[tuple[int, int]]:
     """Edges (positions) that connect what the links a[i] - b[i] among n nodes connect: every node with the
     smallest it reaches."""
@@ -144,11 +176,10 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, prefix: int = 8, s
         by_dim.setdefault(r["dim"], []).append(r["embedding"])
     for r in classes.groupBy("dim").agg(F.min_by("embedding", F.xxhash64("embedding")).alias("e")).collect():  # one per vector length
         by_dim.setdefault(r["dim"], [r["e"]])
-    points = {d: _apart(unit(matrix(v)), apart) for d, v in by_dim.items()}
-    # what links with a vector within the one angle of its home is within the sum of both
-    within = float(np.cos(min(np.pi, np.arccos(apart) + np.arccos(np.clip(threshold, -1, 1))))) - 1e-9
+    means = _means(classes)
+    points = {d: _apart(_seen(matrix(v), means[d])[0], apart) for d, v in by_dim.items()}
 
-    described = _described(classes.select("dim", "cls", "copies", "embedding"), points, prefix, apart, within)
+    described = _described(classes.select("dim", "cls", "copies", "embedding"), means, points, prefix, apart, threshold)
     listed = written(described, "vector-pivots")
     entries = listed.select("*", F.explode("lists").alias("pivot")).drop("lists")
     # blocks grow with the root of a crowded list, up to four times their size

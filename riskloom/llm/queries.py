@@ -54,6 +54,21 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.expand(rows))
 
 
+#: Turns by place, their escaped lengths, and for every example the length of its turns up to the target.
+OP8_SQL = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (SELECT *, length('<s>[INST]' || regexp_replace(role, '([<\[])(\\*)(/?s>|/?INST\])', '\1\\\2\3', 'g') || '[/INST]'
+                       || regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\])', '\1\\\2\3', 'g') || '</s>') AS chars,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, count(*) OVER (PARTITION BY conv_id) AS n FROM c),
+p AS (SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY i) AS upto FROM t)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(upto) FILTER (role = 'assistant' OR i = n) AS BIGINT) AS formatted_chars
+FROM p GROUP BY conv_id"""
+
+
 def op9_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_diff.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
@@ -76,9 +91,9 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Every anchor against every row: fine for the sizes of the SQL check.
 OP11_SQL = """
 WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-                  list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
            FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
-             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
       FROM r a, r b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
 p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
@@ -102,4 +117,4 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_url_reputation, op2_ngram_join, op3_pivot_index, op4_cube_mix, op5_toxicity, op6_best_fit_packing, op7_cross_polytope,
     op8_chat_format, op9_page_diff, op10_secret_grammar, op11_hard_negatives, op12_id_shards, op13_whitening)}
-ORACLE: dict[str, str] = {"op11_hard_negatives": OP11_SQL}
+ORACLE: dict[str, str] = {"op8_chat_format": OP8_SQL, "op11_hard_negatives": OP11_SQL}

@@ -121,7 +121,7 @@ def test_ids_in_many_small_shards(spark, tmp_dir):
     rows += [(500, None), (501, ""), (502, "long text \x00ü\n" * 20000), (2**62, "a <|endoftext|> b"), (-2**63, "least")]
     df = spark.createDataFrame([(*r, "x", 3) for r in rows], DOCS).repartition(6)
     path = os.path.join(tmp_dir, "store")
-    got = ids.write_and_read_back(df, BPE, 2, path=path, shard_ids=2000, part_bytes=4000, index_keys=20)
+    got = ids.write_and_read_back(df, BPE, 2, path=path, shard_ids=2000, part_rows=10, index_keys=20)
     assert sorted((tuple(r) for r in got.collect()), key=key) == written_ids(rows)
     store = ids.Store(spark, path)
     assert store.shards.count() > 20 and store.indexes.count() > 5
@@ -136,7 +136,7 @@ def test_ids_of_repeated_and_null_keys(spark, tmp_dir):
     rows = [(7, f"hot {i % 5}") for i in range(200)] + [(None, f"none {i % 3}") for i in range(200)] + [(i, f"doc {i}") for i in range(200)]
     df = spark.createDataFrame([(*r, "x", 3) for r in rows], DOCS).repartition(5)
     path = os.path.join(tmp_dir, "store")
-    got = [tuple(r) for r in ids.write_and_read_back(df, BPE, 2, path=path, shard_ids=50, part_bytes=200, index_keys=64).collect()]
+    got = [tuple(r) for r in ids.write_and_read_back(df, BPE, 2, path=path, shard_ids=50, part_rows=30, index_keys=64).collect()]
     want = written_ids(rows)
     assert sorted(((r[0], *r[2:]) for r in got), key=key) == sorted(((r[0], *r[2:]) for r in want), key=key)
     run = sorted(got, key=lambda r: r[1])
