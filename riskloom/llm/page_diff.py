@@ -1,11 +1,12 @@
 """HTML extraction: nearest-URL page differencing, with marked structure as the judge of what it must not delete.
 
-A page becomes lines, one per block, white space collapsed and character references decoded. Lines in menus,
-headers, footers, sidebars, notices, adverts, forms and comments (by element, or by class, id or role) go. The
-lines left of every page are compared with the nearest other pages of its host, the ones before and after it in
-order of URL path (pages that mark their article and pages that do not have an order each): lines are aligned by longest common subsequence, and shared lines are deleted. Lines inside a
-marked article are exempt (articles hold passages that other pages have too), and what the comparison leaves outside
-of a marked article goes as well; a page without a marked article keeps all that it does not share.
+A page becomes lines, one per block, white space collapsed and character references decoded. The lines of every page
+are compared with the nearest other pages of its host, the ones before and after it in order of URL path (pages that
+mark their article and pages that do not have an order each): lines are aligned by longest common subsequence,
+and shared lines are deleted. Markup judges the rest: lines inside a marked article are exempt (articles hold passages
+that other pages have too); menus, headers, footers, sidebars, notices, adverts, forms and comments (by element, or by
+class, id or role) that the comparison left go, as they may be drawn anew for every page; so does what it left outside
+of a marked article. A page without a marked article keeps all other lines that it does not share.
 
 Pages of a host with the same lines are compared as one, at the place of the first of them, and get the same text. Only
 hashes of lines are sent between pages.
@@ -56,7 +57,7 @@ ARTICLE_NAME = re.compile(r"(?:^|[\s_-])(?:article(?:-?(?:body|content|text))?|p
 _CHROME_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
 _ATTR = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
-KEEP, OPEN = "+", "?"
+KEEP, OPEN, CHROME_LINE = "+", "?", "-"
 
 
 def _zone(name: str, attrs: str) -> str | None:
@@ -78,7 +79,8 @@ def _zone(name: str, attrs: str) -> str | None:
 
 
 def page_lines(html: str) -> list[tuple[str, str]]:
-    """(KEEP or OPEN, text) of every line of a page that is not in chrome; KEEP: in a marked article."""
+    """(kind, text) of every line of a page. KEEP: in a marked article; CHROME_LINE: in what is no article by its markup;
+    OPEN: markup does not say."""
     lines: list[tuple[str, str]] = []
     words: list[str] = []
     stack: list[tuple[str, str | None]] = []
@@ -88,8 +90,8 @@ def page_lines(html: str) -> list[tuple[str, str]]:
     def flush() -> None:
         text = " ".join(html_lib.unescape("".join(words)).split())
         words.clear()
-        if text and state[-1] != "chrome":
-            lines.append((KEEP if state[-1] == "article" else OPEN, text))
+        if text:
+            lines.append(({"article": KEEP, "chrome": CHROME_LINE}.get(state[-1], OPEN), text))
 
     at, n = 0, len(html)
     while at < n:
@@ -220,8 +222,8 @@ def shared_lines(mine: list, other: list) -> set[int]:
 
 
 def _parsed(html: Column) -> Column:
-    """struct(marked, lines, hashes): has the page a marked article, the lines (KEEP or OPEN and the text, one a row) and a 64-bit hash of each text. Of a page
-    with a marked article the texts outside of it are not needed any more, and empty."""
+    """struct(marked, lines, hashes): has the page a marked article, the lines (kind and text, one a row) and a 64-bit
+    hash of each text. Texts that markup takes out anyway are empty."""
     @F.pandas_udf("marked boolean, lines string, hashes array<long>")
     def run(pages: pd.Series) -> pd.DataFrame:
         rows = []
@@ -229,15 +231,20 @@ def _parsed(html: Column) -> Column:
             lines = page_lines(page)
             marked = any(kind == KEEP for kind, _ in lines)
             hashes = [int.from_bytes(blake2b(t.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True) for _, t in lines]
-            rows.append((marked, "\n".join(kind + (t if kind == KEEP or not marked else "") for kind, t in lines), hashes))
+            rows.append((marked, "\n".join(kind + (t if kind == KEEP or kind == OPEN and not marked else "") for kind, t in lines), hashes))
         return pd.DataFrame(rows, columns=["marked", "lines", "hashes"])
 
     return run(F.coalesce(html, F.lit("")))
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _shared(mine: pd.Series, other: pd.Series) -> pd.Series:
-    return pd.Series([sorted(shared_lines(list(a), list(b))) for a, b in zip(mine, other, strict=True)], dtype=object)
+_POSITIONS = T.ArrayType(T.IntegerType())
+
+
+@F.pandas_udf(T.StructType([T.StructField("mine", _POSITIONS), T.StructField("theirs", _POSITIONS)]))
+def _shared(mine: pd.Series, theirs: pd.Series) -> pd.DataFrame:
+    """Positions of the lines that two pages share, in each of them."""
+    rows = [(sorted(shared_lines(list(a), list(b))), sorted(shared_lines(list(b), list(a)))) for a, b in zip(mine, theirs, strict=True)]
+    return pd.DataFrame(rows, columns=["mine", "theirs"])
 
 
 @F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("by_difference", T.IntegerType()),
@@ -248,47 +255,42 @@ def _text(lines: pd.Series, shared: pd.Series) -> pd.DataFrame:
         gone = set() if gone is None else set(gone)
         kinds = page.split("\n") if page else []
         marked = any(x[0] == KEEP for x in kinds)
-        deleted = sum(x[0] == OPEN and i in gone for i, x in enumerate(kinds))
+        deleted = sum(x[0] != KEEP and i in gone for i, x in enumerate(kinds))
         left = [x for i, x in enumerate(kinds) if x[0] == KEEP or i not in gone]
-        text = [x[1:] for x in left if x[0] == KEEP or not marked]
+        text = [x[1:] for x in left if x[0] == KEEP or x[0] == OPEN and not marked]
         out.append(("\n\n".join(text), deleted, len(left) - len(text)))
     return pd.DataFrame(out, columns=["text", "by_difference", "by_markup"])
 
 
-def _ranked(keys: DataFrame) -> DataFrame:
-    """Add ``_rank``: the row's place (0, 1, ...) in order of host, path, page and row. The sorted rows are
+def _in_order(pages: DataFrame) -> DataFrame:
+    """Add ``_rank``: the row's place (0, 1, ...) in order of host, path, page and lines. The sorted rows are
     written; a row's partition and place in it follow from its id, and the partitions' sizes (one row per
     partition) are summed up."""
-    ordered = written(keys.orderBy("host", "path", "page_id", "_row").withColumn("_m", F.monotonically_increasing_id()), "url-order")
+    ordered = written(pages.orderBy("host", "path", "page_id", "same").withColumn("_m", F.monotonically_increasing_id()), "url-order")
     part = F.shiftright("_m", 33)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shift = ordered.groupBy(part.alias("_part")).agg(F.count("*").alias("_n")).select(
         "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
     place = F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))
-    return ordered.withColumn("_part", part).join(shift, "_part").select("host", "_row", (F.col("_shift") + place).alias("_rank"))
+    return ordered.withColumn("_part", part).join(F.broadcast(shift), "_part").select("host", "same", "hashes", (F.col("_shift") + place).alias("_rank"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text of every row of ``pages`` (page_id, url, html), and how many lines outside of a marked article
-    the comparison deleted (by_difference) and how many the mark (by_markup)."""
-    parsed = small_batches(pages).select("page_id", "url", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"),
-                                         _parsed(F.col("html")).alias("p"), F.monotonically_increasing_id().alias("_row"))
+    the comparison deleted (by_difference) and how many of the others markup (by_markup). Pages are parsed twice, for their hashes
+    and for their text, instead of keeping all lines in between."""
+    parsed = small_batches(pages).select("page_id", "url", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"), _parsed(F.col("html")).alias("p"))
     # pages with and without a marked article are neighbours of their own kind
-    parsed = parsed.withColumn("host", F.concat_ws(" ", "host", F.col("p.marked").cast("string")))
-    parsed = written(parsed.select("page_id", "url", "host", "path", "_row", "p.lines", "p.hashes"), "page-lines")
+    parsed = parsed.select("page_id", "url", F.concat_ws(" ", "host", F.col("p.marked").cast("string")).alias("host"), "path", "p.lines", "p.hashes",
+                           F.xxhash64("p.hashes").alias("same"))
     # copies take one place in the order: a neighbour is a page to compare with
-    key = parsed.where(F.size("hashes") > 0).select("host", "path", "page_id", "_row", F.xxhash64("hashes").alias("_same"))
-    firsts = written(key.groupBy("host", "_same").agg(F.min(F.struct("path", "page_id", "_row")).alias("_first")), "page-firsts")
-    ranked = _ranked(firsts.select("host", "_first.*"))
-    left = ranked.select("host", F.col("_row").alias("_a"), (F.col("_rank") + 1).alias("_rank"))
-    near = left.join(ranked.select(F.col("host").alias("_h"), F.col("_row").alias("_b"), "_rank"), "_rank").where("host = _h")
-    both = near.select(F.explode(F.array(F.struct(F.col("_a").alias("_row"), F.col("_b").alias("_other")),
-                                         F.struct(F.col("_b").alias("_row"), F.col("_a").alias("_other")))).alias("_x")).select("_x.*")
-    hashes = parsed.select("_row", "hashes").join(firsts.select(F.col("_first._row").alias("_row")), "_row")
-    other = hashes.select(F.col("_row").alias("_other"), F.col("hashes").alias("_theirs"))
-    gone = (hashes.join(both, "_row").join(other, "_other").select("_row", _shared(F.col("hashes"), F.col("_theirs")).alias("_gone"))
-            .groupBy(F.col("_row").alias("_of")).agg(F.flatten(F.collect_list("_gone")).alias("_gone")))  # two neighbours at most
-    gone = (key.select("_row", "host", "_same").join(firsts.select("host", "_same", F.col("_first._row").alias("_of")), ["host", "_same"])
-            .join(gone, "_of").select("_row", "_gone"))
-    every = parsed.select("_row", "page_id", "url", "lines").join(gone, "_row", "left")
-    return every.select("page_id", "url", _text(F.col("lines"), F.col("_gone")).alias("t")).select("page_id", "url", "t.*")
+    firsts = (parsed.where(F.size("hashes") > 0).groupBy("host", "same")
+              .agg(F.min(F.struct("path", "page_id")).alias("_first"), F.first("hashes").alias("hashes")))
+    ranked = _in_order(firsts.select("host", "same", "hashes", "_first.*"))
+    after = ranked.select(F.col("host").alias("_h"), F.col("same").alias("_other"), F.col("hashes").alias("_theirs"), (F.col("_rank") - 1).alias("_rank"))
+    both = ranked.join(after, "_rank").where("host = _h").select("host", "same", "_other", _shared(F.col("hashes"), F.col("_theirs")).alias("_s"))
+    each = both.select("host", F.explode(F.array(F.struct("same", F.col("_s.mine").alias("gone")),
+                                                 F.struct(F.col("_other").alias("same"), F.col("_s.theirs").alias("gone")))).alias("_x"))
+    gone = each.select("host", "_x.*").groupBy("host", "same").agg(F.flatten(F.collect_list("gone")).alias("gone"))  # two neighbours at most
+    every = parsed.select("page_id", "url", "host", "same", "lines").join(gone, ["host", "same"], "left")
+    return every.select("page_id", "url", _text(F.col("lines"), F.col("gone")).alias("t")).select("page_id", "url", "t.*")
