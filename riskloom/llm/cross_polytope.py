@@ -90,45 +90,47 @@ def _hashed(vectors: DataFrame, plans: dict[int, tuple[int, int]], tables: int,
                 for t in range(tables):
                     along = [rotated(x, t * joined + j, seed) for j in range(joined)]
                     wide = along[0].shape[1]
-                    at, code = np.arange(len(x)), np.zeros(len(x), np.int64)
-                    if asks:
+                    if asks:  # the last axes of a query's buckets, by table and other axes
                         found = [probed([y[i] for y in along], probes) for i in range(len(x))]
-                        at, code = np.repeat(at, [len(f) for f in found]), np.concatenate(found)
+                        at, code = np.repeat(np.arange(len(x)), [len(f) for f in found]), np.concatenate(found)
+                        order = np.lexsort((code, at))
+                        at, code = at[order], code[order]
+                        begin = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (code[1:] // wide != code[:-1] // wide)])
+                        last, at, slot = np.split((code % wide).astype(np.int32), begin[1:]), at[begin], code[begin] // wide
                     else:
-                        for y in along:
-                            code = code * wide + y.argmax(axis=1)
-                    slots = pd.DataFrame({"at": at, "slot": code // wide, "last": (code % wide).astype(np.int32)})
-                    slots = slots.groupby(["at", "slot"], sort=False)["last"].agg(list).reset_index()
-                    own = same.iloc[slots["at"].to_numpy()]
-                    yield pd.DataFrame({"dim": own["dim"].to_numpy(), "slot": slots["slot"].to_numpy() * tables + t, "last": slots["last"].to_numpy(),
-                                        "vec_id": own["vec_id"].to_numpy(), "embedding": own["embedding"].to_numpy()})
+                        at, slot = np.arange(len(x)), np.zeros(len(x), np.int64)
+                        for y in along[:-1]:
+                            slot = slot * wide + y.argmax(axis=1)
+                        last = list(along[-1].argmax(axis=1).astype(np.int32)[:, None])
+                    own = same.iloc[at]
+                    yield pd.DataFrame({"dim": dim, "slot": slot * tables + t, "last": last, "vec_id": own["vec_id"].to_numpy(), "embedding": own["embedding"].to_numpy()})
 
     return vectors.mapInPandas(run, "dim int, slot long, last array<int>, vec_id long, embedding array<double>")
 
 
-def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k best, ties to the smaller id."""
-    return np.lexsort((ids, -score))[:k]
-
-
-def _rerank(k: int):
+def _rerank(k: int, strip: int = 512):
     """Queries against the members of one part: those whose last axis a query probes, or all of them (no axes)."""
     def run(key, queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(queries) and len(members):
+            members = members.sort_values("vec_id", kind="stable")
             ids, x = members["vec_id"].to_numpy(), unit(matrix(members["embedding"]))
-            last = np.array([z[0] if len(z) else -1 for z in members["last"]])
-            q = unit(matrix(queries["embedding"]))
-            for n, (own, asked) in enumerate(zip(queries["vec_id"].to_numpy(), queries["last"], strict=True)):
-                near = np.flatnonzero(np.isin(last, asked) if len(asked) else np.ones(len(last), bool))
-                near = near[ids[near] != own]
-                s = x[near] @ q[n]
-                if len(s) > 4 * k:  # everything that ties with the k-th stays in
-                    some = np.flatnonzero(s >= np.partition(s, len(s) - k)[len(s) - k] - 1e-12)
-                    near, s = near[some], s[some]
-                # one by one: a sum of products in one order, whatever the part's size
-                s = np.array([float(np.sum(x[j] * q[n])) for j in near])
-                out += [(own, ids[near[j]], s[j]) for j in _best(s, ids[near], k)]
+            last = np.array([z[0] if len(z) else 0 for z in members["last"]])
+            for at in range(0, len(queries), strip):
+                some = queries.iloc[at:at + strip]
+                own, q = some["vec_id"].to_numpy(), unit(matrix(some["embedding"]))
+                asked = np.zeros((len(some), 1 + max(last.max(), max((max(z, default=0) for z in some["last"]), default=0))), bool)
+                for n, z in enumerate(some["last"]):
+                    asked[n, z if len(z) else slice(None)] = True
+                scores = np.where(asked[:, last] & (ids != own[:, None]), q @ x.T, -np.inf)
+                kth = np.partition(scores, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(some), -2.0)
+                near = scores >= np.maximum(kth, -2.0)[:, None] - 1e-12  # everything that ties with the k-th stays in
+                for n in range(len(some)):
+                    j = np.flatnonzero(near[n])
+                    if len(j):
+                        s = np.einsum("ij,j->i", x[j], q[n])  # a row's sum in one order, whatever the part's size
+                        best = np.argsort(-s, kind="stable")[:k]  # members are in order of their ids
+                        out += zip([own[n]] * len(best), ids[j[best]].tolist(), s[best].tolist(), strict=True)
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
     return run
