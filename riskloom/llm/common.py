@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,15 @@ def small_batches(docs: DataFrame, most: int = 4 << 20) -> DataFrame:
     return docs
 
 
+def give_back() -> None:
+    """Return the memory that this Python worker has freed to the system: workers wait for their next task, and what
+    they keep counts as the executor's while JVM stages run."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
+
+
 def lower_ascii(c: Column) -> Column:
     """A-Z to a-z and nothing else (``lower`` also folds other scripts)."""
     return F.translate(c, UPPER, LOWER)

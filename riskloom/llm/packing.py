@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import give_back, small_batches, written
 
 #: Blank, controls and separators that the vocabulary's split pattern takes as white space.
 _WS = "\t-\r \x85\xa0  -     　"
@@ -94,6 +94,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: i
                     out.append((i, k, at, n, zlib.crc32(ids[4 * at:4 * (at + n)])))
                     at += n
             yield pd.DataFrame(out, columns=["_id", "piece", "start", "length", "ids_crc32"])
+        del tokens
+        give_back()
 
     rows = small_batches(docs).select(F.col("doc_id").cast("string").alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
     return (rows.mapInPandas(run, PIECES.replace("doc_id long", "_id string"))
