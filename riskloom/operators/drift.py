@@ -29,6 +29,8 @@ WASSERSTEIN_MIN_NORM = 0.001     # floor on the reference std used as divisor
 DATASET_DRIFT_SHARE = 0.5        # dataset drift when share of drifted columns >= 0.5
 RETRAIN_SHARE = 0.3              # retrain when share of drifted columns > 0.3
 MIN_SAMPLE_ROWS = 30             # warn below this many rows
+# Fixed text of a fired decision: part of the trigger's format, which readers may match.
+REASON_TEXT = "drift_share (%.4f) exceeded threshold (%.2f).  %d feature(s) showed statistically significant drift."
 KS_SERIES_TERMS = 100
 FRAUD_PROFILE = {"V1": (-5.0, 0.5), "V2": (3.5, 0.5)}  # mean and sd of the overwritten rows of a full shift (F8)
 FULL_SHIFT_NOISE = ("V1", "V2", "V3")
@@ -339,9 +341,7 @@ def sample_warnings(ref: DataFrame, cur: DataFrame, expected: Sequence[str] = ()
 def retrain_decision(summary: DataFrame, threshold: float = RETRAIN_SHARE) -> DataFrame:
     """triggered = share > threshold (strict), with the reason text."""
     share = F.col("share_of_drifted_columns")
-    reason = F.format_string(
-        "drift_share (%.4f) exceeded threshold (%.2f).  %d feature(s) showed statistically significant drift.",
-        share, F.lit(float(threshold)), F.col("number_of_drifted_columns"))
+    reason = F.format_string(REASON_TEXT, share, F.lit(float(threshold)), F.col("number_of_drifted_columns"))
     return summary.select("*", F.lit(float(threshold)).alias("retrain_threshold"),
                           (share > threshold).alias("triggered"),
                           F.when(share > threshold, reason).alias("reason"))

@@ -180,7 +180,7 @@ def r6_drift_summary(spark, sf):
 @query("r12_retrain_decision", f"""WITH {numeric_drift_sql('fref', 'fcur', FEAT_NUM)}, {summary_sql()}
 SELECT {_SUMMARY}, CAST(0.3 AS DOUBLE) AS retrain_threshold, share_of_drifted_columns > 0.3 AS triggered,
        CASE WHEN share_of_drifted_columns > 0.3 THEN
-         printf('drift_share (%.4f) exceeded threshold (%.2f).  %d feature(s) showed statistically significant drift.',
+         printf('{dr.REASON_TEXT}',
                 share_of_drifted_columns, 0.3, number_of_drifted_columns) END AS reason
 FROM sm""", ("fref", "fcur"))
 def r12_retrain_decision(spark, sf):
@@ -191,7 +191,7 @@ def r12_retrain_decision(spark, sf):
 
 @query("r7_sample_warnings", """
 WITH n AS (SELECT (SELECT CAST(count(*) AS BIGINT) FROM ref) AS n_reference,
-                  (SELECT CAST(count(*) AS BIGINT) FROM (SELECT * FROM cur ORDER BY ts DESC LIMIT 20) c) AS n_current)
+                  (SELECT CAST(count(*) AS BIGINT) FROM (SELECT * FROM cur ORDER BY ts DESC, tx_id LIMIT 20) c) AS n_current)
 SELECT n_reference, n_current, list_filter([
   CASE WHEN n_current = 0 THEN 'current sample is empty; drift not computed' END,
   CASE WHEN n_current > 0 AND n_current < 30 THEN printf('current sample has only %d rows (< %d); results may be unreliable', n_current, 30) END,
@@ -200,7 +200,7 @@ SELECT n_reference, n_current, list_filter([
 def r7_sample_warnings(spark, sf):
     """Warnings for a current sample of the newest 20 rows (a top-k by design: the monitor's newest-n window)."""
     ref, cur = fx.ref_cur(spark, sf)
-    return dr.sample_warnings(ref, cur.orderBy(F.desc("ts")).limit(20), TX_NUM)
+    return dr.sample_warnings(ref, cur.orderBy(F.desc("ts"), "tx_id").limit(20), TX_NUM)
 
 
 @query("f8_inject_shift", """
