@@ -13,7 +13,7 @@ How it runs:
    costs a block one entry per chunk.
 3. A chunk drops texts that share too few tokens to have a partner, and builds prefixes and index entries of
    the others. Texts with equal sets form one class with a single key, so copies meet as one class.
-4. Every index entry has a leader among its classes, the first in a random order. In each of a few rounds a class
+4. Every index entry has a leader among its classes, the first in a random order. For each of a few orders a class
    is verified against two leaders of its entries at most (linear in the classes, however many entries they share);
    the components of these links settle nearly all entries. Classes that share an entry but are still in
    different components are then compared in blocks of whole sets (the largest component of a cluster only with
@@ -30,6 +30,7 @@ component if its text links with nothing else that has an id; an empty table giv
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -39,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import give_back, small_batches, written
 from .components import components
 from .wordhash import mix, shingles, text_buffer, text_slices, word_hashes
 
@@ -49,8 +50,8 @@ REM_BITS = np.uint64(40)
 REM = np.uint64((1 << 40) - 1)
 #: Fixed frequency classes: tokens of up to this many documents are indexed alone, up to the next in pairs, others in threes.
 CLASS_LIMITS = (16, 2048)
-#: Rounds of links to leaders before the classes still apart are compared; they decide the work, not the result.
-ROUNDS = 2
+#: Random orders of the classes, by which leaders are chosen; they decide the work, not the result.
+ORDERS = 2
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -142,6 +143,7 @@ def _to_chunks(k: int, bits: int):
                         yield flush()
         if held:
             yield flush()
+        give_back()
 
     return run
 
@@ -169,6 +171,7 @@ def _count_block(pdf: pd.DataFrame) -> pd.DataFrame:
                 back.append((0, chunk, 1, block, _pack(single[i][hit]), np.frombuffer(numbers, "<u2")[hit].tobytes(),
                              d[hit].tobytes(), _pack(shared[i]), g.tobytes()))
         out.append(pd.DataFrame(back, columns=pdf.columns))
+    give_back()
     return pd.concat(out, ignore_index=True)
 
 
@@ -255,6 +258,7 @@ def _chunk_sets(percent: int):
                 e = index_entries(tok[s], df[s], int(size[i]), percent)
                 if len(e):
                     tokens[i], entries[i] = np.sort(tok[s]).astype("<u8").tobytes(), e.view(np.int64)
+        give_back()
         return pd.DataFrame({"doc_id": ids, "no_id": ids == NO_ID, "cls": cls.view(np.int64), "n": size, "tokens": tokens, "entries": entries})
 
     return run
@@ -308,8 +312,8 @@ def _labelled(lists: DataFrame, part: DataFrame) -> DataFrame:
 
 
 def _to_leaders(lists: DataFrame, percent: int, seed: int) -> DataFrame:
-    """Pairs (a, b) of a class and a leader of one of its lists in another component: the first and the last in the
-    order of the leaders, so two rows a class at most. Lists led by the same class share that row."""
+    """Pairs (a, b) of a class and a leader of one of its lists: the first and the last in the order of the leaders, so
+    two rows a class at most. Lists led by the same class share that row."""
     order = F.xxhash64(F.lit(seed), "cls")
     lead = F.min(F.struct(order.alias("o"), F.col("cls").alias("c"), F.col("n").alias("m"), F.col("component").alias("g"))).alias("_x")
     near = lists.join(lists.groupBy("entry").agg(lead), "entry").where("component <> _x.g").withColumns({"n_a": F.col("n"), "n_b": F.col("_x.m")})
@@ -347,7 +351,15 @@ def _between(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     columns = [*key, "cls", "component", "n", "tokens"]
 
     def run(_, ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        """The links that bring components of this block together: one fewer than its components at most."""
+        found: list[tuple[int, int]] = []
+        top: dict[int, int] = {}
+
+        def root(g: int) -> int:
+            while top.setdefault(g, g) != g:
+                top[g] = g = top[top[g]]
+            return g
+
         if len(ours) and len(theirs):
             sets = [np.frombuffer(t, "<u8") for t in ours["tokens"]]
             tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(t) for t in sets])
@@ -359,7 +371,11 @@ def _between(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 a, b = np.searchsorted(tokens, t), np.searchsorted(tokens, t, "right")
                 hit = np.repeat(a - np.cumsum(np.r_[0, (b - a)[:-1]]), b - a) + np.arange((b - a).sum())
                 common = np.bincount(owner[hit], minlength=len(sets))
-                found += [(x, c) for x in cls[(100 * common >= percent * (size + n - common)) & (group != g)]]
+                for i in np.flatnonzero((100 * common >= percent * (size + n - common)) & (group != g)):
+                    a, b = root(int(group[i])), root(int(g))
+                    if a != b:
+                        top[a] = b
+                        found.append((cls[i], c))
         return pd.DataFrame(found, columns=["a", "b"])
 
     return ours.select(*columns).toDF(*columns).groupBy(*key).cogroup(theirs.select(*columns).toDF(*columns).groupBy(*key)).applyInPandas(run, "a long, b long")
@@ -380,11 +396,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     classes = written(classes, "shingle-classes")
     entries = found.select(F.explode("entries").alias("entry"), "cls", "n", F.col("cls").alias("component"))
     lists = _open_lists(entries, "shingle-lists")
-    links = None
-    for seed in range(ROUNDS):
-        new = written(_verified(_to_leaders(lists, percent, seed), classes, percent), "shingle-links")
-        links = new if links is None else links.unionByName(new)
-        lists = _open_lists(_labelled(lists, components(links)), "shingle-rest")
+    pairs = reduce(DataFrame.unionByName, [_to_leaders(lists, percent, seed) for seed in range(ORDERS)]).distinct()
+    links = written(_verified(pairs, classes, percent), "shingle-links")
+    lists = _open_lists(_labelled(lists, components(links)), "shingle-rest")
     part = components(links.unionByName(_between(lists, classes, percent)))
 
     members = sets.select(F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "cls", "n")
