@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import ctypes
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,12 +22,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of every job are removed as soon as the job has ended, instead of when the driver
+    next happens to collect its garbage: for jobs whose result is stored, so that nothing reads these files again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    own = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet into the shared folder of ``spark.checkpoint.dir`` and
     read it back. Unlike a checkpoint the copy is columnar and compressed; a lost executor re-reads it."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
