@@ -165,6 +165,50 @@ def test_units_of_one_text(text):
             assert np.frombuffer(tokens.of(text), "<u2").tolist() == Tokenizer.from_file(BPE).encode(text, add_special_tokens=False).ids
 
 
+class Counted(byte_bpe.Ids):
+    """Counts the units that are not remembered."""
+
+    asked = 0
+
+    def __missing__(self, unit):
+        self.asked += 1
+        return super().__missing__(unit)
+
+
+def test_units_that_repeat_stay_remembered_beside_many_that_do_not():
+    def letters(n):
+        return "".join("abcdefghij"[int(x)] for x in str(n))
+
+    tokens, model = Counted(BPE, 2, 400), Tokenizer.from_file(BPE)
+    often = "".join(f" q{letters(i)}" for i in range(300))
+    tokens.of(often)
+    for k in range(5):
+        before, rare = tokens.asked, "".join(f" z{letters(1000 * (k + 1) + i)}" for i in range(300))
+        text = rare + often
+        assert np.frombuffer(tokens.of(text), "<u2").tolist() == model.encode(text, add_special_tokens=False).ids
+        assert tokens.asked - before == 300  # the rare ones alone
+        assert len(tokens) <= 400
+
+
+def test_remembered_units_follow_texts_that_change():
+    tokens = Counted(BPE, 2, 10, renew=50)
+    first, second = (" ".join(f"{x}{y}" for x in s for y in "abcdefghij") for s in ("q", "z"))
+    tokens.of(first)
+    for _ in range(6):
+        tokens.of(second)
+    before = tokens.asked
+    tokens.of(second)
+    assert tokens.asked == before
+
+
+@pytest.mark.parametrize("text", ["word, word. word-word word's it'll ab12 word_word 'tis", "e\u0301te\u0301 caf\u00e9, na\u00efve\u0301 \u00e9\u6587x x\u00b2 a\u00aab \u00d7a a\u00f7 \u00ff\u0100",
+                                  "a\u0300, \u0141\u00f3d\u017a. x\u00a0y don\u2019t don't,can't", "ABC<|endoftext|>abc<|endoftext|>, z",
+                                  "a   b     c  ", "  ", "   x  <|endoftext|>   "])
+def test_units_end_behind_letters(text):
+    got = np.frombuffer(byte_bpe.Ids(BPE, 2).of(text), "<u2").tolist()
+    assert got == Tokenizer.from_file(BPE).encode(text, add_special_tokens=False).ids
+
+
 def test_other_tokenizers_take_whole_texts():
     path = public_tokenizers.path("word_bpe_49k.json")
     tokens = byte_bpe.Ids(path, 4)
