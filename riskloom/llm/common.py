@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @contextmanager
 def shuffles_removed(spark: SparkSession) -> Iterator[None]:
     """Inside, the shuffle files of every job are removed as soon as the job has ended, instead of when the driver
-    next happens to collect its garbage: for jobs whose result is stored, so that nothing reads these files again."""
+    next happens to collect its garbage: for jobs whose result is stored, so that nothing reads these files again. At
+    the end the driver gives back the memory that it took to plan and run them."""
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     own = spark.conf.get(name, "false")
     spark.conf.set(name, "true")
@@ -33,6 +35,7 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(name, own)
+        driver_gives_back(spark)
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
@@ -65,6 +68,28 @@ def give_back() -> None:
         trim(0)
 
 
+def driver_gives_back(spark: SparkSession) -> None:
+    """The same for the driver, over a long row of jobs: planning, compiling and event logs leave freed memory with the
+    JVM's allocator, which keeps it, and a heap that has once grown shrinks only in a full collection (done when the heap
+    takes more than half of what it may)."""
+    give_back()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the driver is another process
+        return
+    jvm = sc._jvm
+    runtime = jvm.java.lang.Runtime.getRuntime()
+    if 2 * runtime.totalMemory() > runtime.maxMemory():
+        jvm.java.lang.System.gc()
+    try:  # malloc_trim, by the JVM's own diagnostic command; its class is not open to py4j, so by reflection
+        call = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServerConnection").getMethods() if m.getName() == "invoke")
+        args = sc._gateway.new_array(jvm.java.lang.Object, 4)
+        args[0], args[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        call.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), args)
+    except Py4JError:  # other JVMs, and those before 17.0.9, have no such command
+        pass
+
+
 def lower_ascii(c: Column) -> Column:
     """A-Z to a-z and nothing else (``lower`` also folds other scripts)."""
     return F.translate(c, UPPER, LOWER)

@@ -1,4 +1,4 @@
-"""What workers hold while queries run on tables larger than the test tables."""
+"""What the driver and its workers hold while queries run on tables larger than the test tables."""
 
 import threading
 import time
@@ -8,7 +8,7 @@ import pandas as pd
 import psutil
 from pyspark.sql import functions as F
 
-from riskloom.llm import cross_polytope
+from riskloom.llm import common, cross_polytope
 
 
 class LargestWorker:
@@ -62,3 +62,58 @@ def test_turns_and_parts_do_not_change_the_nearest(spark, monkeypatch):
     monkeypatch.setattr(cross_polytope, "PASS_BYTES", 1)  # one table at a time
     monkeypatch.setattr(cross_polytope, "PAIRS", 1)
     pd.testing.assert_frame_equal(found(part=7), want)
+
+
+def test_the_driver_gives_back_what_jobs_have_left(spark):
+    jvm = spark.sparkContext._jvm
+    driver = psutil.Process(jvm.java.lang.ProcessHandle.current().pid())
+
+    def mb():
+        return driver.memory_info().rss / 2**20
+
+    text, out = (spark.sparkContext._gateway.new_array(jvm.byte, n) for n in (70_000, 100))
+    for _ in range(2):
+        common.written(spark.range(10), "test-before")
+    before = mb()
+    native = [jvm.java.util.zip.Deflater() for _ in range(1200)]  # each holds memory outside the heap
+    for x in native:
+        x.setInput(text)
+        x.deflate(out)
+    grown = mb() - before
+    for i, x in enumerate(native):
+        if i % 20:  # what stays keeps the freed memory between it from going back by itself
+            x.end()
+    common.written(spark.range(10), "test-after")
+    assert grown > 100
+    assert mb() - before < grown / 2
+
+
+def test_the_drivers_heap_is_collected_when_it_has_grown():
+    class Jvm:
+        def __init__(self, total):
+            self.total, self.collected = total, 0
+            self.java = self.lang = self.Runtime = self.System = self
+
+        def getRuntime(self):
+            return self
+
+        def totalMemory(self):
+            return self.total
+
+        def maxMemory(self):
+            return 100
+
+        def gc(self):
+            self.collected += 1
+
+        @property
+        def Class(self):
+            raise common.Py4JError("no command")
+
+    class Spark:
+        def __init__(self, total):
+            self.sparkContext, self._jvm = self, Jvm(total)
+
+    for total, times in ((40, 0), (60, 1)):
+        common.driver_gives_back(s := Spark(total))
+        assert s._jvm.collected == times
